@@ -11,12 +11,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 from starloom import schemas
 from starloom.operators import loads, quality
-from starloom.operators.conflicts import without_known
 from starloom.plans import music, travel
 from starloom.session import materialize
 from starloom.sources import labels, staging
@@ -62,21 +61,24 @@ def run_music_lake(
     return paths
 
 
-def refresh_music_lake(spark: SparkSession, source: str, target: str, run_ts: datetime) -> dict[str, str]:
+def refresh_music_lake(
+    spark: SparkSession, source: str, target: str, run_ts: datetime,
+    logs: str = "log_data/{run.year}/{run.month}",
+) -> dict[str, str]:
     """Load only the run's month: ``source/log_data/<year>/<month>``.
 
     The month's directories of ``time`` and ``songplays`` are replaced, so a rerun changes
-    nothing; dimension rows that are not stored yet are appended.
+    nothing; dimension rows that are not stored yet are appended. The lake must exist.
     """
-    songs, events = _lake_sources(spark, source, staging.scoped_path("log_data/{run.year}/{run.month}", run_ts))
+    songs, events = _lake_sources(spark, source, staging.scoped_path(logs, run_ts))
     tables = music.build_star(events, songs, "lake")
     paths = {name: f"{target}/{name}" for name in tables}
 
     def add_rows(name: str) -> None:
-        stored = spark.read.schema(tables[name].schema).parquet(paths[name])
+        df = tables[name]
+        stored = spark.read.schema(df.schema).parquet(paths[name]).select(*df.columns)
         partitions = ("year",) if name == "songs" else ()
-        new = without_known(_null_safe(tables[name]), _null_safe(stored), [ROW_KEY]).drop(ROW_KEY)
-        loads.write_parquet(new, paths[name], partitions, mode="append")
+        loads.write_parquet(df.subtract(stored), paths[name], partitions, mode="append")
 
     run_together(spark, [
         *[lambda name=name: loads.write_parquet(
@@ -87,21 +89,14 @@ def refresh_music_lake(spark: SparkSession, source: str, target: str, run_ts: da
     return paths
 
 
-ROW_KEY = "_row"
-
-
-def _null_safe(df: DataFrame) -> DataFrame:
-    """Add the whole row as one JSON text, so that rows with nulls can be matched."""
-    return df.withColumn(ROW_KEY, F.to_json(F.struct(*sorted(df.columns))))
-
-
 # --- scheduled music warehouse --------------------------------------------------------------
 @dataclass(frozen=True)
 class WarehouseConfig:
     """Where a scheduled load reads from and how it writes.
 
     ``log_path`` may hold ``{run.year}`` and ``{run.month}``. ``fact_mode`` is ``append-new``
-    (a rerun adds nothing) or ``append`` (a rerun appends the plays again).
+    (a rerun adds nothing) or ``append`` (a rerun appends the plays again). ``long_ids`` widens
+    user and session ids to 64 bits.
     """
 
     database: str
@@ -111,6 +106,7 @@ class WarehouseConfig:
     fact_mode: str = "append-new"
     dimension_mode: str = "delete-load"
     location: str | None = None
+    long_ids: bool = False
 
 
 def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: datetime) -> DataFrame:
@@ -118,13 +114,16 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
 
     Returns the check results; raises if a table is empty.
     """
-    loads.create_tables(spark, config.database, schemas.WAREHOUSE, config.location)
+    declared = schemas.WAREHOUSE
+    if config.long_ids:
+        declared = {t: schemas.with_long_ids(s) for t, s in declared.items()}
+    loads.create_tables(spark, config.database, declared, config.location)
 
     def name(table: str) -> str:
         return f"{config.database}.`{table}`"
 
     def stage_events() -> None:
-        path, schema = staging.scoped_path(config.log_path, run_ts), schemas.WAREHOUSE["staging_events"]
+        path, schema = staging.scoped_path(config.log_path, run_ts), declared["staging_events"]
         if config.json_paths is None:
             events = staging.load_json(spark, path, schema)
         else:
@@ -132,7 +131,7 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
         loads.restage(events, name("staging_events"))
 
     def stage_songs() -> None:
-        songs = staging.load_json_repaired(spark, config.song_path, schemas.WAREHOUSE["staging_songs"])
+        songs = staging.load_json_repaired(spark, config.song_path, declared["staging_songs"])
         loads.restage(songs, name("staging_songs"))
 
     run_together(spark, [stage_events, stage_songs])

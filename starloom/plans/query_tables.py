@@ -27,19 +27,25 @@ def _stored(events: DataFrame, schema: T.StructType, keys: Sequence[str], order:
     return conflict(rows, keys, order).select(*schema.fieldNames())
 
 
-def plays_by_session(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def plays_by_session(
+    events: DataFrame, order: Sequence[str] = (), schema: T.StructType = PLAYS_BY_SESSION,
+) -> DataFrame:
     """Artist, song and length by (sessionId, itemInSession); the last write wins."""
-    return _stored(events, PLAYS_BY_SESSION, ["sessionId", "itemInSession"], order, last_write_wins)
+    return _stored(events, schema, ["sessionId", "itemInSession"], order, last_write_wins)
 
 
-def plays_by_user(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def plays_by_user(
+    events: DataFrame, order: Sequence[str] = (), schema: T.StructType = PLAYS_BY_USER,
+) -> DataFrame:
     """Plays by ((userId, sessionId), itemInSession); the last write wins."""
-    return _stored(events, PLAYS_BY_USER, ["userId", "sessionId", "itemInSession"], order, last_write_wins)
+    return _stored(events, schema, ["userId", "sessionId", "itemInSession"], order, last_write_wins)
 
 
-def listeners_by_song(events: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def listeners_by_song(
+    events: DataFrame, order: Sequence[str] = (), schema: T.StructType = LISTENERS_BY_SONG,
+) -> DataFrame:
     """Listeners by (song, userId); the first write wins."""
-    return _stored(events, LISTENERS_BY_SONG, ["song", "userId"], order, first_write_wins)
+    return _stored(events, schema, ["song", "userId"], order, first_write_wins)
 
 
 # Partition key and clustering columns each table is laid out by.
