@@ -30,7 +30,7 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A directory tree of JSON files, keys quoted as text."""
     path = scratch_path(spark, "json")
     rows = _orders(spark, sf_dir).withColumn("o_custkey", F.col("o_custkey").cast("string"))
-    rows.withColumn("year", F.year("o_orderdate")).write.partitionBy("year").json(path)
+    loads.write_json(rows.withColumn("year", F.year("o_orderdate")), path, ["year"])
     return staging.load_json(spark, path, _ORDERS)
 
 
@@ -59,7 +59,7 @@ def scoped_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the run's month is read; the month in the path has no leading zero."""
     path = scratch_path(spark, "scoped")
     dated = _orders(spark, sf_dir).withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
-    dated.write.partitionBy("year", "month").json(path)
+    loads.write_json(dated, path, ["year", "month"])
     month = staging.scoped_path(path + "/year={run.year}/month={run.month}", datetime(1997, 3, 5))
     return staging.load_json(spark, month, _ORDERS)
 
@@ -85,7 +85,7 @@ def first_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    orders.write.partitionBy("o_orderpriority").json(path)
+    loads.write_json(orders, path, ["o_orderpriority"])
     report = files.load_report(files.read_json(spark, path, table(o_orderkey=LONG)))
     folder = F.regexp_replace(F.regexp_extract("file", "o_orderpriority=([^/]*)/", 1), "%20", " ")
     return report.groupBy(folder.alias("folder")).agg(F.sum("row_count").alias("row_count"))
@@ -184,7 +184,7 @@ def _write_music_sources(spark: SparkSession, sf_dir: str) -> str:
     log = play_log(spark, sf_dir)
     day = F.timestamp_millis("ts")
     dated = log.withColumns({"y": F.year(day), "m": F.month(day)})
-    dated.write.partitionBy("y", "m").json(f"{source}/log_data")
+    loads.write_json(dated, f"{source}/log_data", ["y", "m"])
     return source
 
 

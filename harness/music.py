@@ -317,17 +317,17 @@ def listeners_by_song(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _built(spark, sf_dir, "listeners_by_song")
 
 
-@query("song_at", f"WITH {_BY_SESSION} SELECT artist, song, length FROM by_session WHERE sessionId = 338 AND itemInSession = 4")
+@query("song_at", f"WITH {_BY_SESSION} SELECT artist, song, length FROM by_session WHERE sessionId = 359 AND itemInSession = 2")
 def song_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _length_as_double(reports.song_at(_stored(spark, sf_dir, "plays_by_session"), 338, 4))
+    return _length_as_double(reports.song_at(_stored(spark, sf_dir, "plays_by_session"), 359, 2))
 
 
 @query("session_history", f"""WITH {_BY_USER}
 SELECT artist, song, firstName, lastName FROM by_user
-WHERE sessionId = 182 AND userId = (SELECT o_custkey FROM orders WHERE o_orderkey = 182)""")
+WHERE sessionId = 359 AND userId = (SELECT o_custkey FROM orders WHERE o_orderkey = 359)""")
 def session_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = read(spark, sf_dir, "orders").filter("o_orderkey = 182").first()["o_custkey"]
-    return reports.session_history(_stored(spark, sf_dir, "plays_by_user"), user, 182)
+    user = read(spark, sf_dir, "orders").filter("o_orderkey = 359").first()["o_custkey"]
+    return reports.session_history(_stored(spark, sf_dir, "plays_by_user"), user, 359)
 
 
 @query("listeners_of", f"WITH {_BY_SONG} SELECT firstName, lastName FROM by_song WHERE song = 'red widget'")

@@ -22,7 +22,7 @@ def airports_like(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("airport_id"),
         F.col("c_mktsegment").alias("type"),
         F.concat(F.lit("Field "), "c_custkey").alias("name"),
-        F.round("c_acctbal").cast("int").alias("elevation_ft"),
+        F.bround("c_acctbal").cast("int").alias("elevation_ft"),
         F.lit("NA").alias("continent"),
         F.when(F.col("c_nationkey") < 13, "US").otherwise("XX").alias("iso_country"),
         F.concat(F.lit("US-"), "c_nationkey").alias("iso_region"),

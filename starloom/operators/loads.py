@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from starloom.operators.conflicts import append_new as rows_not_stored
 from starloom.session import materialize
 
 
+def _writer(
+    df: DataFrame, partition_by: Sequence[str], mode: str, files: int | None, sort_by: Sequence[str],
+) -> DataFrameWriter:
+    """Rows are rebalanced on the partition columns: a directory gets few files, and a directory
+    that holds much of the data is still written by many tasks."""
+    if files is not None:
+        df = df.repartition(files)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    writer = df.write.mode(mode)
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -21,26 +36,23 @@ def write_parquet(
 ) -> None:
     """Write Parquet, in directories by ``partition_by``.
 
-    Rows are rebalanced on the partition columns: a directory gets few files, and a directory
-    that holds much of the data is still written by many tasks. ``files`` asks for that many
-    files instead and is meant for small dimensions. ``sort_by`` orders the rows of each file, so
-    that lookups on those columns skip row groups. ``refresh_partitions`` replaces only the
-    directories that occur in ``df``.
+    ``files`` asks for that many files and is meant for small dimensions. ``sort_by`` orders the
+    rows of each file, so that lookups on those columns skip row groups. ``refresh_partitions``
+    replaces only the directories that occur in ``df``.
     """
-    if files is not None:
-        df = df.repartition(files)
-    elif partition_by:
-        df = df.hint("rebalance", *partition_by)
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    writer = _writer(df, partition_by, mode, files, sort_by)
     if refresh_partitions:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def write_json(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+) -> None:
+    """JSON lines, in directories by ``partition_by``."""
+    _writer(df, partition_by, mode, None, ()).json(path)
+
+
 def write_csv(df: DataFrame, path: str, separator: str = ",", mode: str = "overwrite") -> None:
     """CSV with a header and every field in quotes."""
     df.write.mode(mode).csv(path, header=True, quoteAll=True, sep=separator, escape='"')
@@ -82,9 +94,13 @@ def drop_tables(spark: SparkSession, database: str, names: Sequence[str]) -> Non
         spark.sql(f"DROP TABLE IF EXISTS {database}.`{name}`")
 
 
-def refresh_statistics(spark: SparkSession, table: str) -> None:
-    """Column statistics for the optimizer, after a load."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def refresh_statistics(spark: SparkSession, table: str, columns: bool = True) -> None:
+    """Statistics for the optimizer, after a load.
+
+    Column statistics read the whole table; ``columns=False`` only updates its size, which is
+    enough for a fact that grows with every run.
+    """
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {'FOR ALL COLUMNS' if columns else 'NOSCAN'}")
 
 
 def _fit(df: DataFrame, table: str) -> DataFrame:
@@ -100,10 +116,18 @@ def append(df: DataFrame, table: str) -> None:
     _fit(df, table).write.insertInto(table)
 
 
-def append_new(df: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Append the rows whose key the table does not hold yet; a rerun adds nothing."""
-    fitted = _fit(df, table)
-    rows_not_stored(fitted, df.sparkSession.table(table), keys).write.insertInto(table)
+def append_new(df: DataFrame, table: str, keys: Sequence[str], within: str | None = None) -> None:
+    """Append the rows whose key the table does not hold yet; a rerun adds nothing.
+
+    ``within`` names a column that the key determines, such as an event time. Stored rows
+    outside the batch's range of that column cannot share a key with it and are not read, so
+    the cost follows the batch, not the table.
+    """
+    fitted, stored = _fit(df, table), df.sparkSession.table(table)
+    if within is not None:
+        low, high = fitted.agg(F.min(within), F.max(within)).first()
+        stored = stored.filter(F.col(within).between(F.lit(low), F.lit(high)))
+    rows_not_stored(fitted, stored, keys).write.insertInto(table)
 
 
 def insert_columns(df: DataFrame, table: str, columns: Sequence[str]) -> None:

@@ -139,7 +139,7 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
 
     tables = music.build_star(events, songs, "scheduled")
     if config.fact_mode == "append-new":
-        loads.append_new(tables["songplays"], name("songplays"), ["songplay_id"])
+        loads.append_new(tables["songplays"], name("songplays"), ["songplay_id"], within="start_time")
     elif config.fact_mode == "append":
         loads.append(tables["songplays"], name("songplays"))
     else:
@@ -152,7 +152,8 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
         lambda t=t: loads.load_dimension(tables[t], name(t), config.dimension_mode) for t in dimensions
     ])
     run_together(spark, [
-        lambda t=t: loads.refresh_statistics(spark, name(t)) for t in (*dimensions, "songplays")
+        lambda t=t: loads.refresh_statistics(spark, name(t), columns=t not in ("songplays", "time"))
+        for t in (*dimensions, "songplays")
     ])
     return quality.run_sql_checks(spark, quality.not_empty_checks([name(t) for t in (*dimensions, "songplays")]))
 
