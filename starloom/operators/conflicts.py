@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starloom.operators.joins import lookup_join
+
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Column, list[str]]:
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -43,7 +45,7 @@ first_write_wins = keep_first
 
 def without_known(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``; a null key never matches."""
-    return new.join(existing.select(*keys), list(keys), "left_anti").select(*new.columns)
+    return lookup_join(new, existing, keys, "left_anti").select(*new.columns)
 
 
 def insert_if_absent(

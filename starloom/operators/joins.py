@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A key that holds more than this share of the rows is spread over several tasks. At most
-# 1 / HOT_SHARE keys can, which bounds the list that is broadcast.
+# 1 / HOT_SHARE keys can, which bounds every list of such keys that is broadcast.
 HOT_SHARE = 0.005
 SALTS = 64
+# Keys with many rows on both sides are cut into SIDE x SIDE tasks.
+SIDE = 8
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -24,38 +26,80 @@ def replicated(dim: DataFrame) -> DataFrame:
     return F.broadcast(dim) if fits_broadcast(dim) else dim
 
 
-def hot_keys(df: DataFrame, key_hash: str, share: float = HOT_SHARE) -> DataFrame:
+def hot_hashes(df: DataFrame, column: str, share: float = HOT_SHARE) -> DataFrame:
     """Values of a hash column that may hold more than ``share`` of the rows.
 
     One pass without a shuffle. The list holds every such value, at most ``1 / share`` in all,
-    and possibly a few cooler ones, which only cost some needless copies.
+    and possibly a few cooler ones.
     """
-    frequent = df.select(key_hash).stat.freqItems([key_hash], share)
-    return frequent.select(F.explode(f"{key_hash}_freqItems").alias(key_hash))
+    frequent = df.select(column).stat.freqItems([column], share)
+    return frequent.select(F.explode(f"{column}_freqItems").alias(column))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, at_least: int = 0) -> DataFrame:
+    """The keys that hold more than ``share`` of the rows, and more than ``at_least`` rows.
+
+    Keys with a null are left out.
+    """
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_key")).dropna(subset=list(keys))
+    counted = hashed.join(F.broadcast(hot_hashes(hashed, "_key", share)), "_key").groupBy(*keys).agg(F.count("*").alias("_n"))
+    return counted.filter(F.col("_n") > F.lit(max(share * df.count(), at_least))).select(*keys)
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner",
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", unique: bool = False,
 ) -> DataFrame:
-    """Join a large frame with a lookup table on equally named keys (``inner`` or ``left``).
+    """Join a large frame with a lookup table on equally named keys.
 
-    A lookup below the broadcast limit is replicated and nothing shuffles. Beyond it both sides
-    shuffle on the keys; rows of hot keys (null keys included) are then spread over ``SALTS``
-    tasks and the few lookup rows of those keys are copied to each. The salt is a hash of the
-    row, so a task that runs again sends its rows to the same place.
+    ``how`` is ``inner``, ``left`` or ``left_anti``. A lookup below the broadcast limit is
+    replicated and nothing shuffles. Beyond it both sides shuffle on the keys, and keys that
+    hold many rows on either side are spread over ``SALTS`` tasks. Set ``unique`` when the
+    lookup has one row per key; its keys then need no examination.
     """
-    if how not in ("inner", "left"):
+    keys = list(keys)
+    if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
+    if how == "left_anti" and not unique:
+        lookup, unique = lookup.select(*keys).distinct(), True
     if fits_broadcast(lookup):
-        return rows.join(F.broadcast(lookup), list(keys), how)
-    key_hash = F.xxhash64(*keys)
-    hashed = rows.withColumn("_key", key_hash)
-    hot = F.broadcast(hot_keys(hashed, "_key").withColumn("_hot", F.lit(True)))
+        return rows.join(F.broadcast(lookup), keys, how)
+    if unique:
+        return _salted(rows, lookup, keys, how)
+    heavy = F.broadcast(hot_keys(lookup, keys, at_least=SALTS))
+    matched = _in_squares(rows.join(heavy, keys, "left_semi"), lookup.join(heavy, keys, "left_semi"), keys)
+    others = _salted(rows.join(heavy, keys, "left_anti"), lookup.join(heavy, keys, "left_anti"), keys, how)
+    return others.unionByName(matched)
+
+
+def _salted(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Spread the rows of hot keys (null keys included) and copy their few lookup rows.
+
+    The salt is a hash of the row, so a task that runs again sends its rows to the same place.
+    """
+    key = F.xxhash64(*keys)
+    hashed = rows.withColumn("_key", key)
+    hot = F.broadcast(hot_hashes(hashed, "_key").withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(F.lit(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     salted = hashed.join(hot, "_key", "left").withColumn("_salt", salt.cast("int")).drop("_key", "_hot")
     copied = (
-        lookup.withColumn("_key", key_hash).join(hot, "_key", "left")
+        lookup.withColumn("_key", key).join(hot, "_key", "left")
         .withColumn("_salt", F.explode(copies)).drop("_key", "_hot")
     )
     return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
+def _in_squares(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on keys that all have many lookup rows: either side is cut into ``SIDE`` parts, and
+    each task gets one part of both.
+
+    Every key here has a match, so an inner join serves left joins too, and the copies of a row
+    are fewer than the rows it yields.
+    """
+    def part(df: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(SIDE)).cast("int")
+
+    every = F.explode(F.sequence(F.lit(0), F.lit(SIDE - 1)))
+    left = rows.withColumn("_part", part(rows)).withColumn("_other", every)
+    right = lookup.withColumn("_other", part(lookup)).withColumn("_part", every)
+    return left.join(right, [*keys, "_part", "_other"]).drop("_part", "_other")

@@ -92,10 +92,10 @@ def not_empty_checks(tables: Sequence[str]) -> list[dict]:
 def orphans(fact: DataFrame, foreign_key: str, dim: DataFrame, key: str) -> DataFrame:
     """Values of ``foreign_key`` that ``dim`` does not hold, with their row counts; null is allowed.
 
-    The fact is reduced to one row per value before it meets the dimension.
+    Both sides are reduced to one row per value before they meet.
     """
     used = fact.filter(F.col(foreign_key).isNotNull()).groupBy(F.col(foreign_key).alias("value")).agg(F.count("*").alias("n"))
-    return used.join(dim.select(F.col(key).alias("value")), "value", "left_anti")
+    return used.join(dim.select(F.col(key).alias("value")).distinct(), "value", "left_anti")
 
 
 def check_constraints(

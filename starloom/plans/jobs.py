@@ -17,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 from starloom import schemas
 from starloom.operators import loads, quality
 from starloom.plans import music, travel
-from starloom.session import materialize
+from starloom.session import materialize, scratch_tables
 from starloom.sources import labels, staging
 from starloom.sources.files import read_csv, read_table
 
@@ -48,6 +48,11 @@ def run_music_lake(
     ``("year", "artist_id")`` for one directory per artist where the artists are few.
     Returns the path of each table.
     """
+    with scratch_tables(spark):
+        return _write_lake(spark, source, target, song_partitions)
+
+
+def _write_lake(spark: SparkSession, source: str, target: str, song_partitions: Sequence[str]) -> dict[str, str]:
     songs, events = _lake_sources(spark, source, "log_data")
     tables = music.build_star(events, songs, "lake")
     layouts = {"songs": tuple(song_partitions), "time": TIME_PARTITIONS, "songplays": TIME_PARTITIONS}
@@ -70,7 +75,12 @@ def refresh_music_lake(
     The month's directories of ``time`` and ``songplays`` are replaced, so a rerun changes
     nothing; dimension rows that are not stored yet are appended. The lake must exist.
     """
-    songs, events = _lake_sources(spark, source, staging.scoped_path(logs, run_ts))
+    with scratch_tables(spark):
+        return _refresh_lake(spark, source, target, staging.scoped_path(logs, run_ts))
+
+
+def _refresh_lake(spark: SparkSession, source: str, target: str, logs: str) -> dict[str, str]:
+    songs, events = _lake_sources(spark, source, logs)
     tables = music.build_star(events, songs, "lake")
     paths = {name: f"{target}/{name}" for name in tables}
 
@@ -180,6 +190,11 @@ def run_travel_lake(spark: SparkSession, sources: TravelSources, target: str) ->
     Generated ids are unique by construction, so tables keyed by one are only checked for rows.
     Returns the path of each table.
     """
+    with scratch_tables(spark):
+        return _write_travel(spark, sources, target)
+
+
+def _write_travel(spark: SparkSession, sources: TravelSources, target: str) -> dict[str, str]:
     lines = labels.numbered_lines(spark, sources.labels)
     airports = travel.build_airports(read_csv(spark, sources.airports, schemas.AIRPORTS_CSV))
     demographics = travel.build_demographics(read_csv(spark, sources.demographics, schemas.DEMOGRAPHICS_CSV, ";"))

@@ -150,7 +150,7 @@ def build_time(start_times: DataFrame, weekday: str = "mon0", distinct: bool = T
 def catalogue_of(songs: DataFrame, artists: DataFrame) -> DataFrame:
     """Songs with their artist's name, from the two dimensions."""
     names = artists.select("artist_id", F.col("name").alias("artist_name"))
-    return songs.join(names, "artist_id").select("song_id", "artist_id", "title", "artist_name", "duration")
+    return lookup_join(songs, names, ["artist_id"]).select("song_id", "artist_id", "title", "artist_name", "duration")
 
 
 def _lookup(songs: DataFrame, keys: Sequence[str], duration: T.DataType, single: bool, distinct: bool) -> DataFrame:
@@ -203,7 +203,8 @@ def build_songplays(
         F.col("userAgent").alias("user_agent"),
         *[F.col(k).cast(duration).alias(k) if k == "length" else F.col(k) for k in keys],
     )
-    joined = lookup_join(plays, _lookup(songs, keys, duration, single_match, distinct), keys, how)
+    lookup = _lookup(songs, keys, duration, single_match, distinct)
+    joined = lookup_join(plays, lookup, keys, how, unique=single_match)
     columns = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
     fact = joined.select(*columns)
     if ids == "hash":
@@ -226,7 +227,7 @@ def artist_match_counts(events: DataFrame, songs: DataFrame) -> DataFrame:
     plays = only_plays(events).groupBy("artist").agg(F.count("*").alias("plays"))
     entries = songs.groupBy("song_id", "artist_id", F.col("artist_name").alias("artist")).agg(F.count("*").alias("entries"))
     return (
-        entries.join(plays, "artist")
+        lookup_join(entries, plays, ["artist"], unique=True)
         .groupBy("song_id", "artist_id")
         .agg(F.sum(F.col("plays") * F.col("entries")).alias("plays"))
     )

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starloom.operators.joins import lookup_join
+
 
 def _top(df: DataFrame, count: str, tie: str, limit: int | None, descending: bool) -> DataFrame:
     """Sort by a count, ties by name, and keep the first ``limit`` rows if a limit is given."""
@@ -16,10 +18,16 @@ def _top(df: DataFrame, count: str, tie: str, limit: int | None, descending: boo
     return ordered if limit is None else ordered.limit(limit)
 
 
+def _joined_counts(fact: DataFrame, dim: DataFrame, key: str, name: str, count: str) -> DataFrame:
+    """Rows of ``fact JOIN dim USING (key)`` per name, from the counts of either side."""
+    used = fact.groupBy(key).agg(F.count("*").alias("_used"))
+    named = dim.groupBy(key, name).agg(F.count("*").alias("_named"))
+    return used.join(named, key).groupBy(name).agg(F.sum(F.col("_used") * F.col("_named")).alias(count))
+
+
 def popular_artists(songplays: DataFrame, artists: DataFrame, limit: int | None = None, descending: bool = False) -> DataFrame:
     """Plays per artist name: (name, popularity)."""
-    plays = songplays.groupBy("artist_id").agg(F.count("*").alias("n"))
-    counts = plays.join(artists.select("artist_id", "name"), "artist_id").groupBy("name").agg(F.sum("n").alias("popularity"))
+    counts = _joined_counts(songplays, artists, "artist_id", "name", "popularity")
     return _top(counts, "popularity", "name", limit, descending)
 
 
@@ -31,8 +39,7 @@ def active_users(songplays: DataFrame, limit: int | None = 5) -> DataFrame:
 
 def active_first_names(songplays: DataFrame, users: DataFrame, limit: int | None = 5) -> DataFrame:
     """Plays per first name, most active first: (first_name, song_played)."""
-    plays = songplays.groupBy("user_id").agg(F.count("*").alias("n"))
-    counts = plays.join(users.select("user_id", "first_name"), "user_id").groupBy("first_name").agg(F.sum("n").alias("song_played"))
+    counts = _joined_counts(songplays, users, "user_id", "first_name", "song_played")
     return _top(counts, "song_played", "first_name", limit, descending=True)
 
 
@@ -58,17 +65,15 @@ def listeners_of(listeners_by_song: DataFrame, song: str) -> DataFrame:
 def immigrants_with_countries(immigration: DataFrame, countries: DataFrame) -> DataFrame:
     """Immigrants with the names of their citizenship and residence countries, by ``cic_id``."""
     def named(role: str) -> DataFrame:
-        return countries.select(F.col("country_code").alias(f"{role}_code"), F.col("country").alias(f"{role}_name"))
+        return countries.select(F.col("country_code").alias(role), F.col("country").alias(f"{role}_name"))
 
-    joined = (
-        immigration.select("cic_id", "gender", "citizen_country", "residence_country")
-        .join(named("citizen"), F.col("citizen_country") == F.col("citizen_code"), "left")
-        .join(named("residence"), F.col("residence_country") == F.col("residence_code"), "left")
-    )
+    joined = immigration.select("cic_id", "gender", "citizen_country", "residence_country")
+    for role in ("citizen_country", "residence_country"):
+        joined = lookup_join(joined, named(role), [role], "left")
     return joined.select(
         "cic_id", "gender",
-        F.col("citizen_name").alias("citizen_country"),
-        F.col("residence_name").alias("residence_country"),
+        F.col("citizen_country_name").alias("citizen_country"),
+        F.col("residence_country_name").alias("residence_country"),
     ).orderBy("cic_id", "gender", "citizen_country", "residence_country")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,7 @@ SETTINGS = {
 }
 
 _own_scratch: dict[str, str] = {}
+_open_blocks: ContextVar[list[str] | None] = ContextVar("open_blocks", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -52,7 +56,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage like a reliable checkpoint, but later readers get column pruning and
     pushed-down filters, and a lost executor costs a re-read instead of a recomputation.
+    Inside ``scratch_tables`` the files go away with the block; elsewhere the frame may still be
+    needed, and they stay as long as the folder does.
     """
     path = scratch_path(df.sparkSession, label)
+    kept = _open_blocks.get()
+    if kept is not None:
+        kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables materialized inside the block when it ends."""
+    paths: list[str] = []
+    token = _open_blocks.set(paths)
+    try:
+        yield
+    finally:
+        _open_blocks.reset(token)
+        jvm = spark._jvm
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

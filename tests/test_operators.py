@@ -70,47 +70,68 @@ def test_plain_ids_are_unique(spark):
 
 
 # --- joins ----------------------------------------------------------------------------------
+def frames(spark, left, right):
+    lookup = materialize(spark.createDataFrame(right, "a string, b string, s int"), "lookup")  # a file has a known size
+    return spark.createDataFrame(left, "a string, b string, n int"), lookup, left, right
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows share one key, a tenth have none; the lookup repeats some keys."""
     rng = random.Random(3)
     left = [(rng.choice([("hot", "x")] * 10 + [(None, "x")] * 3 + [(f"k{rng.randrange(60)}", "x")] * 17)) + (i,) for i in range(3000)]
     right = [("hot", "x", 1), ("hot", "x", 2), (None, "x", 3)] + [(f"k{i}", "x", i) for i in range(0, 60, 2)]
-    lookup = materialize(spark.createDataFrame(right, "a string, b string, s int"), "lookup")  # a file has a known size
-    return spark.createDataFrame(left, "a string, b string, n int"), lookup, left, right
+    return frames(spark, left, right)
+
+
+@pytest.fixture(scope="module")
+def skewed_lookup(spark):
+    """A third of the lookup shares one key, which few rows have; one hot key has no row at all."""
+    left = [(f"k{i % 400}", "x", i) for i in range(500)] + [("hot", "x", -1), ("hot", "x", -2), (None, "x", -3)]
+    left += [("both", "x", i) for i in range(1000, 1200)]
+    right = [("both", "x", i) for i in range(100)] + [("hot", "x", i) for i in range(300)] + [("idle", "x", i) for i in range(300)] + [(f"k{i}", "x", i) for i in range(0, 300)]
+    return frames(spark, left, right + [(None, "x", 5)])
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("case", ["skewed", "skewed_lookup"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 @pytest.mark.parametrize("limit", ["10485760b", "-1"])
-def test_lookup_join_equals_nested_loops(spark, conf, skewed, how, limit):
+def test_lookup_join_equals_nested_loops(spark, conf, request, case, how, limit):
     conf(spark__sql__autoBroadcastJoinThreshold=limit)
-    left, right, left_rows, right_rows = skewed
+    left, right, left_rows, right_rows = request.getfixturevalue(case)
     expected = []
     for a, b, n in left_rows:
         found = [s for ra, rb, s in right_rows if a is not None and (a, b) == (ra, rb)]
-        expected += [(a, b, n, s) for s in found] or ([(a, b, n, None)] if how == "left" else [])
+        if how == "left_anti":
+            expected += [] if found else [(a, b, n)]
+        else:
+            expected += [(a, b, n, s) for s in found] or ([(a, b, n, None)] if how == "left" else [])
     joined = joins.lookup_join(left, right, ["a", "b"], how)
-    assert rows(joined, "a", "b", "n", "s") == sorted(expected, key=repr)
+    assert rows(joined, "a", "b", "n", *(["s"] if how != "left_anti" else [])) == sorted(expected, key=repr)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert ("_salt" in plan) == (limit == "-1")
 
 
-def test_hot_rows_are_spread(spark, conf, skewed):
+@pytest.mark.parametrize("case", ["skewed", "skewed_lookup"])
+def test_hot_rows_are_spread(conf, request, case):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16")
-    joined = joins.lookup_join(skewed[0], skewed[1], ["a", "b"], "left")
+    left, right, *_ = request.getfixturevalue(case)
+    joined = joins.lookup_join(left, right, ["a", "b"], "left")
     sizes = [r["n"] for r in joined.filter("a = 'hot'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) > 8 and max(sizes) < sum(sizes) / 4
 
 
-def test_hot_keys_are_bounded_and_complete(spark):
+def test_hot_lists_are_bounded_and_complete(spark):
     df = spark.range(10000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("h"))
-    hot = [r["h"] for r in joins.hot_keys(df, "h", 0.01).collect()]
+    hot = [r["h"] for r in joins.hot_hashes(df, "h", 0.01).collect()]
     assert 0 in hot and len(hot) <= 100
+    assert rows(joins.hot_keys(df, ["h"], 0.01)) == [(0,)]
+    assert joins.hot_keys(df.limit(0), ["h"]).collect() == []
 
 
 def test_join_type_is_checked(spark, skewed):
     with pytest.raises(ValueError):
-        joins.lookup_join(skewed[0], skewed[1], ["a"], "full")
+        joins.lookup_join(*skewed[:2], ["a"], "full")
 
 
 # --- tables and load modes ------------------------------------------------------------------
