@@ -330,6 +330,6 @@ def session_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.session_history(_stored(spark, sf_dir, "plays_by_user"), user, 359)
 
 
-@query("listeners_of", f"WITH {_BY_SONG} SELECT firstName, lastName FROM by_song WHERE song = 'red widget'")
+@query("listeners_of", f"WITH {_BY_SONG} SELECT firstName, lastName FROM by_song WHERE song = 'No. 7'")
 def listeners_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.listeners_of(_stored(spark, sf_dir, "listeners_by_song"), "red widget")
+    return reports.listeners_of(_stored(spark, sf_dir, "listeners_by_song"), "No. 7")

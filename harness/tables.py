@@ -27,6 +27,16 @@ def scratch_database(spark: SparkSession) -> str:
 
 
 # --- catalogue: one entry per part ----------------------------------------------------------
+# Twenty neighbouring parts share a title and five a duration, at any table size, so a play
+# matches more than one entry but never a share of the catalogue.
+def _title() -> Column:
+    return F.concat(F.lit("No. "), F.expr("p_partkey div 20"))
+
+
+def _duration() -> Column:
+    return F.floor(F.col("p_retailprice") * 2) / 2
+
+
 def catalogue(spark: SparkSession, sf_dir: str, shared_ids: bool = False) -> DataFrame:
     """Parts as songs. With ``shared_ids`` parts of one brand and name share a song id."""
     song_id = F.concat_ws("/", "p_brand", "p_name") if shared_ids else F.concat(F.lit("SO"), F.col("p_partkey"))
@@ -38,8 +48,8 @@ def catalogue(spark: SparkSession, sf_dir: str, shared_ids: bool = False) -> Dat
         (-F.col("p_retailprice")).cast("decimal(18,5)").alias("artist_longitude"),
         F.col("p_type").alias("artist_location"),
         song_id.alias("song_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_retailprice").cast("decimal(18,5)").alias("duration"),
+        _title().alias("title"),
+        _duration().cast("decimal(18,5)").alias("duration"),
         F.col("p_size").alias("year"),
     )
 
@@ -49,15 +59,15 @@ CATALOGUE = """catalogue AS (
          'AR' || split_part(p_brand, '#', 2) AS artist_id, p_brand AS artist_name,
          CAST(p_size AS DECIMAL(18,5)) AS artist_latitude,
          CAST(-p_retailprice AS DECIMAL(18,5)) AS artist_longitude,
-         p_type AS artist_location, p_name AS title,
-         CAST(p_retailprice AS DECIMAL(18,5)) AS duration, p_size AS year
+         p_type AS artist_location, 'No. ' || (p_partkey // 20) AS title,
+         CAST(floor(p_retailprice * 2) / 2 AS DECIMAL(18,5)) AS duration, p_size AS year
   FROM part)"""
 
 
 # --- play log: one event per order line -----------------------------------------------------
 def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as an event log; lines sold at a discount have a length the catalogue lacks."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", _title().alias("title"), _duration().alias("duration"))
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     lines = (
@@ -73,14 +83,14 @@ def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("gender"),
         F.col("l_linenumber").alias("itemInSession"),
         F.col("c_mktsegment").alias("lastName"),
-        (F.col("p_retailprice") + F.col("l_discount")).cast("decimal(18,5)").alias("length"),
+        (F.col("duration") + F.col("l_discount")).cast("decimal(18,5)").alias("length"),
         F.when(F.col("l_linestatus") == "O", "paid").otherwise("free").alias("level"),
         F.col("o_orderpriority").alias("location"),
         F.lit("PUT").alias("method"),
         F.when(F.col("l_returnflag") == "R", "Home").otherwise("NextSong").alias("page"),
         millis(F.col("o_orderdate")).alias("registration"),
         F.col("l_orderkey").alias("sessionId"),
-        F.col("p_name").alias("song"),
+        F.col("title").alias("song"),
         F.lit(200).alias("status"),
         (millis(F.col("l_shipdate")) + F.col("l_partkey")).alias("ts"),
         F.col("l_returnflag").alias("userAgent"),
@@ -91,12 +101,12 @@ def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLAY_LOG = """play_log AS (
   SELECT p_brand AS artist, 'Logged In' AS auth, c_name AS firstName, o_orderstatus AS gender,
          l_linenumber AS itemInSession, c_mktsegment AS lastName,
-         CAST(p_retailprice + l_discount AS DECIMAL(18,5)) AS length,
+         CAST(floor(p_retailprice * 2) / 2 + l_discount AS DECIMAL(18,5)) AS length,
          CASE WHEN l_linestatus = 'O' THEN 'paid' ELSE 'free' END AS level,
          o_orderpriority AS location, 'PUT' AS method,
          CASE WHEN l_returnflag = 'R' THEN 'Home' ELSE 'NextSong' END AS page,
          epoch_us(o_orderdate) // 1000 AS registration,
-         l_orderkey AS sessionId, p_name AS song, 200 AS status,
+         l_orderkey AS sessionId, 'No. ' || (p_partkey // 20) AS song, 200 AS status,
          epoch_us(l_shipdate) // 1000 + l_partkey AS ts, l_returnflag AS userAgent,
          o_custkey AS userId
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
