@@ -9,8 +9,9 @@ from harness.tables import ACTIVITY_LOG, CATALOGUE, PLAY_LOG, activity_log, cata
 from starloom.functions import calendar
 from starloom.functions.keys import hash_key
 from starloom.operators.conflicts import keep_first
+from starloom.operators.quality import check_declared
 from starloom.plans import music, query_tables, reports
-from starloom.schemas import LISTENERS_BY_SONG, PLAYS_BY_SESSION, PLAYS_BY_USER, SCALE0, with_long_ids
+from starloom.schemas import CONSTRAINTS, LISTENERS_BY_SONG, PLAYS_BY_SESSION, PLAYS_BY_USER, SCALE0, with_long_ids
 from starloom.session import scratch_path
 
 # --- time dimension -------------------------------------------------------------------------
@@ -220,6 +221,27 @@ def plays_hashed_scale0(spark: SparkSession, sf_dir: str) -> DataFrame:
         precision="s", duration=SCALE0)
 
 
+@query("dq_star", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (SELECT * FROM play_log WHERE page = 'NextSong'),
+  users AS (SELECT DISTINCT userId, firstName, lastName, gender, level FROM plays),
+  artists AS (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM catalogue)
+SELECT 'users' AS table_name, 'primary key user_id' AS "constraint", count(*) - count(DISTINCT userId) AS violations FROM users
+UNION ALL SELECT 'users', 'not null user_id', 0
+UNION ALL SELECT 'users', 'length gender', 0
+UNION ALL SELECT 'songs', 'primary key song_id', 0
+UNION ALL SELECT 'songs', 'not null song_id', 0
+UNION ALL SELECT 'songs', 'length title', 0
+UNION ALL SELECT 'artists', 'primary key artist_id', count(*) - count(DISTINCT artist_id) FROM artists
+UNION ALL SELECT 'artists', 'not null artist_id', 0
+UNION ALL SELECT 'artists', 'length name', 0
+UNION ALL SELECT 'artists', 'length location', 0
+UNION ALL SELECT 'time', 'primary key start_time', 0
+UNION ALL SELECT 'time', 'not null start_time', 0""")
+def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct dimensions are not unique by key once attributes change."""
+    star = music.build_star(play_log(spark, sf_dir), catalogue(spark, sf_dir), "lake")
+    return check_declared(star, {t: rules for t, rules in CONSTRAINTS.items() if t != "songplays"})
+
+
 # --- reports --------------------------------------------------------------------------------
 _ARTIST_NAMES = "(SELECT DISTINCT artist_id, artist_name AS name FROM catalogue)"
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from starloom.operators import loads
 from starloom.operators.joins import replicated
 from starloom.session import configure, scratch_path
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is looked up in the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = configure(spark).read.parquet(path).schema
+    return configure(spark).read.schema(_schemas[path]).parquet(path)
 
 
 def millis(ts: Column) -> Column:

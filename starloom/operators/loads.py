@@ -116,18 +116,26 @@ def append(df: DataFrame, table: str) -> None:
     _fit(df, table).write.insertInto(table)
 
 
-def append_new(df: DataFrame, table: str, keys: Sequence[str], within: str | None = None) -> None:
-    """Append the rows whose key the table does not hold yet; a rerun adds nothing.
+def stored_within(df: DataFrame, stored: DataFrame, column: str) -> DataFrame:
+    """The stored rows within the range of ``column`` in ``df``; the range is pushed to the scan."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return stored.filter(F.col(column).between(F.lit(low), F.lit(high)))
+
+
+def new_rows(df: DataFrame, table: str, keys: Sequence[str], within: str | None = None) -> DataFrame:
+    """The rows, fitted to the table, whose key the table does not hold yet.
 
     ``within`` names a column that the key determines, such as an event time. Stored rows
     outside the batch's range of that column cannot share a key with it and are not read, so
     the cost follows the batch, not the table.
     """
     fitted, stored = _fit(df, table), df.sparkSession.table(table)
-    if within is not None:
-        low, high = fitted.agg(F.min(within), F.max(within)).first()
-        stored = stored.filter(F.col(within).between(F.lit(low), F.lit(high)))
-    rows_not_stored(fitted, stored, keys).write.insertInto(table)
+    return rows_not_stored(fitted, stored if within is None else stored_within(fitted, stored, within), keys)
+
+
+def append_new(df: DataFrame, table: str, keys: Sequence[str], within: str | None = None) -> None:
+    """Append the rows whose key the table does not hold yet; a rerun adds nothing."""
+    new_rows(df, table, keys, within).write.insertInto(table)
 
 
 def insert_columns(df: DataFrame, table: str, columns: Sequence[str]) -> None:

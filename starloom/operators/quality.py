@@ -134,6 +134,24 @@ def check_constraints(
     return report
 
 
+def check_declared(tables: Mapping[str, DataFrame], declared: Mapping[str, Mapping]) -> DataFrame:
+    """Violations of every declared constraint of a set of tables: (table_name, constraint, violations).
+
+    ``declared`` gives ``not_null``, ``primary_key``, ``lengths`` and ``references`` (column ->
+    (table, key)) per table name, as ``schemas.CONSTRAINTS`` does.
+    """
+    report = None
+    for name, rules in declared.items():
+        references = {c: (tables[t], key) for c, (t, key) in rules.get("references", {}).items()}
+        found = check_constraints(
+            tables[name], rules.get("not_null", ()), rules.get("primary_key", ()), references, rules.get("lengths"),
+        ).select(F.lit(name).alias("table_name"), "constraint", "violations")
+        report = found if report is None else report.unionByName(found)
+    if report is None:
+        raise ValueError("no constraint given")
+    return report
+
+
 def enforce(report: DataFrame) -> None:
     """Raise if a constraint report shows a violation; the report has one row per constraint."""
     broken = report.filter("violations > 0").collect()

@@ -1,4 +1,4 @@
-"""End-to-end loads: the music lake, the scheduled music warehouse and the travel lake.
+"""End-to-end loads: the music lake, store and warehouse, and the travel lake.
 
 Text sources are parsed once into columnar scratch tables and every output is built from those.
 Outputs that do not depend on each other are submitted to the session together.
@@ -11,11 +11,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.util import inheritable_thread_target
 
 from starloom import schemas
 from starloom.operators import loads, quality
+from starloom.operators.conflicts import append_new, insert_if_absent
+from starloom.operators.ids import surrogate_id
 from starloom.plans import music, travel
 from starloom.session import materialize, scratch_tables
 from starloom.sources import labels, staging
@@ -99,14 +101,88 @@ def _refresh_lake(spark: SparkSession, source: str, target: str, logs: str) -> d
     return paths
 
 
+def _declared(tables: dict[str, T.StructType], long_ids: bool) -> dict[str, T.StructType]:
+    return {t: schemas.with_long_ids(s) for t, s in tables.items()} if long_ids else tables
+
+
+def _next_id(songplays: DataFrame) -> int:
+    """The id after the largest stored one."""
+    return (songplays.agg(F.max("songplay_id")).first()[0] or 0) + 1
+
+
+# --- relational music store -----------------------------------------------------------------
+@dataclass(frozen=True)
+class StoreConfig:
+    """Where the store load reads from and what makes a play known already.
+
+    Without ``plays_key`` a rerun appends the plays again, as generated ids never conflict; with
+    it, plays whose key is stored are skipped. ``first_song_per_file`` reads one song per file.
+    """
+
+    database: str
+    song_path: str
+    log_path: str
+    plays_key: tuple[str, ...] = ()
+    first_song_per_file: bool = False
+    location: str | None = None
+    long_ids: bool = False
+
+
+def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
+    """Songs and artists first, then time, users and songplays; existing keys are respected.
+
+    Songs, artists and times already stored stay as they are, users get the level of their
+    latest play, plays are appended. The declared constraints are checked on the dimensions and
+    on the new plays, so the check does not grow with the stored fact. Returns the violations
+    per constraint; raises if there are any.
+    """
+    declared = _declared(schemas.STORE, config.long_ids)
+    loads.create_tables(spark, config.database, declared, config.location)
+    names = {t: f"{config.database}.`{t}`" for t in declared}
+    events_schema = schemas.with_long_ids(schemas.STAGING_EVENTS) if config.long_ids else schemas.STAGING_EVENTS
+
+    def add_absent(table: str, rows: DataFrame, key: str) -> None:
+        loads.append(insert_if_absent(rows, spark.table(names[table]), [key]), names[table])
+
+    with scratch_tables(spark):
+        songs = materialize(staging.load_json(
+            spark, config.song_path, schemas.STAGING_SONGS, first_only=config.first_song_per_file), "songs")
+        events = materialize(music.only_plays(staging.load_json(spark, config.log_path, events_schema)), "plays")
+        run_together(spark, [
+            lambda: add_absent("songs", music.build_songs(songs, "none"), "song_id"),
+            lambda: add_absent("artists", music.build_artists(songs, "none"), "artist_id"),
+            lambda: add_absent("time", music.build_time(music.play_times(events)), "start_time"),
+        ])
+        loads.replace_contents(music.build_users(events, existing=spark.table(names["users"])), names["users"])
+        catalogue = music.catalogue_of(spark.table(names["songs"]), spark.table(names["artists"]))
+        plays = music.build_songplays(events, catalogue, ids=None)
+        if config.plays_key:
+            stored = spark.table(names["songplays"])
+            if "start_time" in config.plays_key:
+                stored = loads.stored_within(plays, stored, "start_time")
+            plays = append_new(plays, stored, config.plays_key)
+        numbered = surrogate_id(plays, "songplay_id", dense=True, order=["start_time"], start=_next_id(spark.table(names["songplays"])))
+        batch = numbered.select(*declared["songplays"].fieldNames())
+        loads.append(batch, names["songplays"])
+        checked = {t: spark.table(n) for t, n in names.items()} | {"songplays": batch}
+        report = quality.check_declared(checked, schemas.CONSTRAINTS)
+        found = report.collect()  # one row per constraint
+    report = spark.createDataFrame(found, report.schema)
+    quality.enforce(report)
+    return report
+
+
 # --- scheduled music warehouse --------------------------------------------------------------
 @dataclass(frozen=True)
 class WarehouseConfig:
     """Where a scheduled load reads from and how it writes.
 
-    ``log_path`` may hold ``{run.year}`` and ``{run.month}``. ``fact_mode`` is ``append-new``
-    (a rerun adds nothing) or ``append`` (a rerun appends the plays again). ``long_ids`` widens
-    user and session ids to 64 bits.
+    ``log_path`` may hold ``{run.year}`` and ``{run.month}``. ``variant`` is ``scheduled`` (hashed
+    play ids) or ``warehouse`` (ids that count up). ``fact_mode`` is ``append-new`` (a rerun adds
+    nothing, needs hashed ids) or ``append`` (a rerun appends the plays again).
+    ``incremental_time`` adds the new plays' times instead of deriving the time table from every
+    stored play on each run; the outcome is the same. ``long_ids`` widens user and session ids
+    to 64 bits.
     """
 
     database: str
@@ -117,6 +193,8 @@ class WarehouseConfig:
     dimension_mode: str = "delete-load"
     location: str | None = None
     long_ids: bool = False
+    variant: str = "scheduled"
+    incremental_time: bool = False
 
 
 def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: datetime) -> DataFrame:
@@ -124,9 +202,11 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
 
     Returns the check results; raises if a table is empty.
     """
-    declared = schemas.WAREHOUSE
-    if config.long_ids:
-        declared = {t: schemas.with_long_ids(s) for t, s in declared.items()}
+    if config.fact_mode not in ("append", "append-new"):
+        raise ValueError(f"unknown fact mode {config.fact_mode!r}")
+    if config.variant != "scheduled" and (config.fact_mode == "append-new" or config.incremental_time):
+        raise ValueError("ids that count up differ on every run; use fact_mode='append', incremental_time=False")
+    declared = _declared(schemas.WAREHOUSE if config.variant == "scheduled" else schemas.COUNTED_WAREHOUSE, config.long_ids)
     loads.create_tables(spark, config.database, declared, config.location)
 
     def name(table: str) -> str:
@@ -147,20 +227,25 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
     run_together(spark, [stage_events, stage_songs])
     events, songs = spark.table(name("staging_events")), spark.table(name("staging_songs"))
 
-    tables = music.build_star(events, songs, "scheduled")
-    if config.fact_mode == "append-new":
-        loads.append_new(tables["songplays"], name("songplays"), ["songplay_id"], within="start_time")
-    elif config.fact_mode == "append":
-        loads.append(tables["songplays"], name("songplays"))
-    else:
-        raise ValueError(f"unknown fact mode {config.fact_mode!r}")
-
-    variant = music.VARIANTS["scheduled"]
-    tables["time"] = music.build_time(spark.table(name("songplays")), variant.weekday, variant.time_distinct)
-    dimensions = ("songs", "users", "artists", "time")
-    run_together(spark, [
-        lambda t=t: loads.load_dimension(tables[t], name(t), config.dimension_mode) for t in dimensions
-    ])
+    variant = music.VARIANTS[config.variant]
+    first_id = _next_id(spark.table(name("songplays"))) if variant.ids == "dense" else 1
+    tables = music.build_star(events, songs, variant, first_id)
+    modes = dict.fromkeys(("songs", "users", "artists", "time"), config.dimension_mode)
+    with scratch_tables(spark):
+        plays = tables["songplays"]
+        if config.fact_mode == "append-new":
+            plays = loads.new_rows(plays, name("songplays"), ["songplay_id"], within="start_time")
+        if config.incremental_time:
+            plays = materialize(plays, "plays")
+        loads.append(plays, name("songplays"))
+        if config.incremental_time:
+            tables["time"], modes["time"] = music.build_time(plays, variant.weekday, distinct=False), "append-only"
+        elif not variant.time_distinct:
+            tables["time"] = music.build_time(spark.table(name("songplays")), variant.weekday, distinct=False)
+        run_together(spark, [
+            lambda t=t, mode=mode: loads.load_dimension(tables[t], name(t), mode) for t, mode in modes.items()
+        ])
+    dimensions = tuple(modes)
     run_together(spark, [
         lambda t=t: loads.refresh_statistics(spark, name(t), columns=t not in ("songplays", "time"))
         for t in (*dimensions, "songplays")

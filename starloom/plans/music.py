@@ -176,6 +176,7 @@ def build_songplays(
     precision: str = "ms",
     duration: T.DataType = NUMERIC,
     calendar: bool = False,
+    first_id: int = 1,
 ) -> DataFrame:
     """One row per play and matching catalogue entry.
 
@@ -185,7 +186,8 @@ def build_songplays(
     entry per key before the join, so that no play fans out. ``distinct`` removes repeated
     events and catalogue entries before the join, which gives the distinct joined rows without
     shuffling them.
-    ``ids`` is ``dense``, ``monotonic``, ``hash`` (md5 of session and start time) or None.
+    ``ids`` is ``dense`` (counting up from ``first_id``), ``monotonic``, ``hash`` (md5 of session
+    and start time) or None.
     The ``artist`` rule pairs a play with every song of its artist; to count its rows use
     ``artist_match_counts``.
     """
@@ -212,7 +214,7 @@ def build_songplays(
     elif ids is not None:
         if ids not in ("dense", "monotonic"):
             raise ValueError(f"unknown id strategy {ids!r}")
-        fact = surrogate_id(fact, "songplay_id", dense=ids == "dense", order=["start_time"], start=1 if ids == "dense" else 0)
+        fact = surrogate_id(fact, "songplay_id", dense=ids == "dense", order=["start_time"], start=first_id if ids == "dense" else 0)
         fact = fact.select("songplay_id", *columns)
     if calendar:
         fact = fact.select("*", F.year("start_time").alias("year"), F.month("start_time").alias("month"))
@@ -233,14 +235,16 @@ def artist_match_counts(events: DataFrame, songs: DataFrame) -> DataFrame:
     )
 
 
-def build_star(events: DataFrame, songs: DataFrame, variant: str | Variant = "row_store") -> dict[str, DataFrame]:
+def build_star(
+    events: DataFrame, songs: DataFrame, variant: str | Variant = "row_store", first_id: int = 1,
+) -> dict[str, DataFrame]:
     """All five tables by one loader's rules."""
     v = VARIANTS[variant] if isinstance(variant, str) else variant
     song_dim, artist_dim = build_songs(songs, v.songs), build_artists(songs, v.artists)
     catalogue = catalogue_of(song_dim, artist_dim) if v.single_match else songs
     songplays = build_songplays(
         events, catalogue, v.match, v.how, v.single_match, v.ids, v.distinct, v.precision,
-        v.numeric, v.calendar,
+        v.numeric, v.calendar, first_id,
     )
     times = play_times(events, v.precision) if v.time_distinct else songplays
     return {

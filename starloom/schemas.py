@@ -69,7 +69,21 @@ TIME_TEXT = table(
     start_time=TIMESTAMP, hour=INT, day=INT, week=INT, month=STRING, year=INT, weekday=STRING,
 )
 
-# Tables of the scheduled warehouse, in the order their keys depend on each other.
+# Tables of the relational store, in the order their keys depend on each other.
+STORE = {"users": USERS, "songs": SONGS, "artists": ARTISTS, "time": TIME, "songplays": SONGPLAYS}
+
+# Tables of the warehouse whose ids count up; staging keeps fractions, inserts round them.
+COUNTED_WAREHOUSE = {
+    "staging_events": STAGING_EVENTS,
+    "staging_songs": STAGING_SONGS,
+    "users": USERS,
+    "songs": with_scale0(SONGS),
+    "artists": with_scale0(ARTISTS),
+    "time": TIME,
+    "songplays": SONGPLAYS,
+}
+
+# Tables of the scheduled warehouse.
 WAREHOUSE = {
     "staging_events": with_scale0(STAGING_EVENTS),
     "staging_songs": with_scale0(STAGING_SONGS),

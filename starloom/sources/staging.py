@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from starloom.functions.coerce import conform
 from starloom.functions.text import replace_invalid
 from starloom.schemas import as_text
-from starloom.sources.files import read_json
+from starloom.sources.files import first_per_file, read_json
 
 _TOP_LEVEL = re.compile(r"^\$(?:\.(\w+)|\['([^']+)'\])$")
 
@@ -27,12 +27,15 @@ def load_json(
     schema: T.StructType,
     on_error: str = "fail",
     rounding: str = "truncate",
+    first_only: bool = False,
 ) -> DataFrame:
     """JSON objects whose fields carry the table's column names.
 
     Fields are read as text and cast afterwards, so a number that arrives quoted is kept.
+    ``first_only`` keeps the first record of each file.
     """
-    return conform(read_json(spark, path, as_text(schema)), schema, on_error=on_error, rounding=rounding)
+    text = read_json(spark, path, as_text(schema))
+    return conform(first_per_file(text) if first_only else text, schema, on_error=on_error, rounding=rounding)
 
 
 def load_json_paths(

@@ -64,7 +64,8 @@ def test_music_lake_refresh_reads_one_month(spark, source, tmp_path):
     assert counts(spark, paths) == FULL | {"users": 6, "time": 5, "songplays": 7}
 
 
-def test_warehouse(spark, source, tmp_path):
+@pytest.mark.parametrize("incremental_time", [False, True])
+def test_warehouse(spark, source, tmp_path, incremental_time):
     (tmp_path / "paths.json").write_text(json.dumps({"jsonpaths": [f"$['{f.name}']" for f in STAGING_EVENTS]}))
     config = jobs.WarehouseConfig(
         "wh_test", f"{source}/log_data/{{run.year}}/{{run.month}}", f"{source}/song_data",
@@ -75,6 +76,7 @@ def test_warehouse(spark, source, tmp_path):
 
     # bulk loads cut 200.5 and 200.9 to 200, so both match
     november = {"songs": 5, "artists": 3, "users": 4, "time": 5, "songplays": 5}
+    config = jobs.WarehouseConfig(**(config.__dict__ | {"incremental_time": incremental_time}))
     for _ in range(2):
         report = jobs.run_music_warehouse(spark, config, datetime(2018, 11, 30))
         assert sizes() == november
@@ -82,6 +84,8 @@ def test_warehouse(spark, source, tmp_path):
     jobs.run_music_warehouse(spark, config, datetime(2018, 12, 31))
     assert sizes() == november | {"users": 1, "time": 9, "songplays": 9}
     assert dict(spark.table("wh_test.`time`").dtypes)["weekday"] == "string"
+    times = spark.table("wh_test.`time`").select("start_time")
+    assert rows(times) == rows(spark.table("wh_test.songplays").select("start_time"))
     again = jobs.WarehouseConfig(**(config.__dict__ | {"fact_mode": "append", "dimension_mode": "append-only"}))
     jobs.run_music_warehouse(spark, again, datetime(2018, 12, 31))
     assert sizes()["songplays"] == 13 and sizes()["songs"] == 10
@@ -90,6 +94,47 @@ def test_warehouse(spark, source, tmp_path):
     spark.sql("DROP DATABASE wh_test CASCADE")
 
 
+def test_warehouse_with_counted_ids(spark, source, tmp_path):
+    config = jobs.WarehouseConfig(
+        "wh_counted", f"{source}/log_data", f"{source}/song_data", location=str(tmp_path / "wh"),
+        variant="warehouse", fact_mode="append")
+    for run in (1, 2):
+        jobs.run_music_warehouse(spark, config, datetime(2018, 11, 30))
+        ids = sorted(r[0] for r in spark.table("wh_counted.songplays").select("songplay_id").collect())
+        assert ids == list(range(1, 14 * run + 1))
+    assert spark.table("wh_counted.`time`").count() == 3
+    assert {str(r["duration"]) for r in spark.table("wh_counted.songs").filter("song_id = 'S1'").collect()} == {"201"}
+    with pytest.raises(ValueError, match="count up"):
+        jobs.run_music_warehouse(spark, jobs.WarehouseConfig(**(config.__dict__ | {"fact_mode": "append-new"})), datetime(2018, 11, 30))
+    spark.sql("DROP DATABASE wh_counted CASCADE")
+
+
+def test_store(spark, source, tmp_path):
+    config = jobs.StoreConfig("store_test", f"{source}/song_data", f"{source}/log_data/2018/11", location=str(tmp_path / "st"))
+
+    def table(name):
+        return spark.table(f"store_test.`{name}`")
+
+    def sizes():
+        return {t: table(t).count() for t in FULL}
+
+    jobs.run_music_store(spark, config)
+    november = {"songs": 4, "artists": 2, "users": 2, "time": 3, "songplays": 4}
+    assert sizes() == november
+    assert rows(table("users"), "user_id", "first_name", "level") == [(1, "Ann", "paid"), (2, "Bob", "free")]
+    jobs.run_music_store(spark, config)  # generated ids never conflict: the plays are there twice
+    assert sizes() == november | {"songplays": 8}
+    keyed = jobs.StoreConfig(**(config.__dict__ | {"plays_key": ("start_time", "user_id", "session_id")}))
+    jobs.run_music_store(spark, keyed)
+    assert sizes() == november | {"songplays": 8}
+    december = jobs.StoreConfig(**(keyed.__dict__ | {"log_path": f"{source}/log_data/2018/12", "first_song_per_file": True}))
+    report = jobs.run_music_store(spark, december)
+    assert sizes() == november | {"users": 3, "time": 4, "songplays": 10}
+    assert sorted(r["songplay_id"] for r in table("songplays").collect()) == list(range(1, 11))
+    assert report.filter("violations > 0").isEmpty() and report.count() == 18
+    spark.sql("DROP DATABASE store_test CASCADE")
+
+
 def test_warehouse_fails_on_an_empty_table(spark, source, tmp_path):
     write_json(source / "log_data" / "2018" / "11" / "e.json", STAGING_EVENTS, EVENTS[4:5])
     config = jobs.WarehouseConfig("wh_empty", f"{source}/log_data/2018/11", f"{source}/song_data", location=str(tmp_path / "wh"))

@@ -274,6 +274,15 @@ def test_constraints(spark):
         quality.check_constraints(fact)
 
 
+def test_declared_constraints(spark):
+    tables = {"user": spark.createDataFrame([(1,), (1,)], "id int"), "play": spark.createDataFrame([(1, 1), (2, 7)], "id int, user int")}
+    declared = {"user": {"primary_key": ["id"]}, "play": {"not_null": ["id"], "references": {"user": ("user", "id")}}}
+    assert rows(quality.check_declared(tables, declared)) == [
+        ("play", "foreign key user", 1), ("play", "not null id", 0), ("user", "primary key id", 1)]
+    with pytest.raises(ValueError):
+        quality.check_declared(tables, {})
+
+
 def test_gated_write_does_not_write_bad_rows(spark):
     written = []
     with pytest.raises(QualityError):
