@@ -34,6 +34,16 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.load_json(spark, path, _ORDERS)
 
 
+@query("multi_path_read", f"SELECT {_ORDER_COLUMNS} FROM orders")
+def multi_path_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of several directories read as one table."""
+    path = scratch_path(spark, "paths")
+    finished = F.col("o_orderstatus") == "F"
+    for name, rows in (("finished", _orders(spark, sf_dir).filter(finished)), ("open", _orders(spark, sf_dir).filter(~finished))):
+        loads.write_json(rows, f"{path}/{name}/deep")
+    return staging.load_json(spark, [f"{path}/finished", f"{path}/open"], _ORDERS)
+
+
 @query("jsonpaths_load", "SELECT o_orderkey AS order_id, o_orderpriority AS priority, o_totalprice AS price, o_orderstatus AS status FROM orders")
 def jsonpaths_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "jsonpaths")

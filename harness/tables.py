@@ -153,7 +153,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as the immigration source table; country 30 is in no code list."""
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     orders = read(spark, sf_dir, "orders")
-    priority = F.substring("o_orderpriority", 1, 1).cast("int")
+    priority = F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int")
     joined = orders.join(replicated(customer), F.col("o_custkey") == F.col("c_custkey"))
     days = F.datediff(F.col("o_orderdate"), F.to_date(F.lit("1960-01-01"))).cast("double")
     text = F.lit(None).cast("string")
@@ -166,7 +166,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("i94port"),
         days.alias("arrdate"),
         priority.cast("double").alias("i94mode"),
-        F.substring("c_mktsegment", 1, 2).alias("i94addr"),
+        F.col("c_mktsegment").alias("i94addr"),
         (days + priority).alias("depdate"),
         F.lit(40.0).alias("i94bir"),
         F.when(priority <= 3, priority.cast("double")).alias("i94visa"),
@@ -183,8 +183,8 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS = """arrivals AS (
   SELECT CAST(o_orderkey AS INTEGER) AS cic_id, CAST(year(o_orderdate) AS INTEGER) AS year,
          CAST(month(o_orderdate) AS INTEGER) AS month, c_nationkey AS citizen_country,
-         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority,
-         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 6 AS residence_country,
+         CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS priority,
+         CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) * 6 AS residence_country,
          c_mktsegment AS city_code, o_orderdate,
          date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS days,
          CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS gender, o_totalprice AS admin_num

@@ -51,10 +51,11 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large frame with a lookup table on equally named keys.
 
-    ``how`` is ``inner``, ``left`` or ``left_anti``. A lookup below the broadcast limit is
-    replicated and nothing shuffles. Beyond it both sides shuffle on the keys, and keys that
-    hold many rows on either side are spread over ``SALTS`` tasks. Set ``unique`` when the
-    lookup has one row per key; its keys then need no examination.
+    ``how`` is ``inner``, ``left`` or ``left_anti``. A lookup below the broadcast limit is left to
+    Spark, which replicates it, and nothing shuffles. Beyond it both sides shuffle on the keys,
+    and keys that hold many rows on either side are spread over ``SALTS`` tasks. ``unique`` says
+    that the lookup has few rows per key, so its keys need no examination; it never changes the
+    result.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_anti"):
@@ -62,7 +63,7 @@ def lookup_join(
     if how == "left_anti" and not unique:
         lookup, unique = lookup.select(*keys).distinct(), True
     if fits_broadcast(lookup):
-        return rows.join(F.broadcast(lookup), keys, how)
+        return rows.join(lookup, keys, how)
     if unique:
         return _salted(rows, lookup, keys, how)
     heavy = F.broadcast(hot_keys(lookup, keys, at_least=SALTS))

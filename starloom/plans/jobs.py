@@ -141,8 +141,10 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
     names = {t: f"{config.database}.`{t}`" for t in declared}
     events_schema = schemas.with_long_ids(schemas.STAGING_EVENTS) if config.long_ids else schemas.STAGING_EVENTS
 
-    def add_absent(table: str, rows: DataFrame, key: str) -> None:
-        loads.append(insert_if_absent(rows, spark.table(names[table]), [key]), names[table])
+    def add_absent(table: str, rows: DataFrame, key: str, within: bool = False) -> None:
+        stored = spark.table(names[table])
+        stored = loads.stored_within(rows, stored, key) if within else stored
+        loads.append(insert_if_absent(rows, stored, [key]), names[table])
 
     with scratch_tables(spark):
         songs = materialize(staging.load_json(
@@ -151,7 +153,7 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
         run_together(spark, [
             lambda: add_absent("songs", music.build_songs(songs, "none"), "song_id"),
             lambda: add_absent("artists", music.build_artists(songs, "none"), "artist_id"),
-            lambda: add_absent("time", music.build_time(music.play_times(events)), "start_time"),
+            lambda: add_absent("time", music.build_time(music.play_times(events)), "start_time", within=True),
         ])
         loads.replace_contents(music.build_users(events, existing=spark.table(names["users"])), names["users"])
         catalogue = music.catalogue_of(spark.table(names["songs"]), spark.table(names["artists"]))

@@ -150,7 +150,7 @@ def build_time(start_times: DataFrame, weekday: str = "mon0", distinct: bool = T
 def catalogue_of(songs: DataFrame, artists: DataFrame) -> DataFrame:
     """Songs with their artist's name, from the two dimensions."""
     names = artists.select("artist_id", F.col("name").alias("artist_name"))
-    return lookup_join(songs, names, ["artist_id"]).select("song_id", "artist_id", "title", "artist_name", "duration")
+    return lookup_join(songs, names, ["artist_id"], unique=True).select("song_id", "artist_id", "title", "artist_name", "duration")
 
 
 def _lookup(songs: DataFrame, keys: Sequence[str], duration: T.DataType, single: bool, distinct: bool) -> DataFrame:
