@@ -9,6 +9,7 @@ from conftest import rows
 from fixtures import EVENTS, SONGS, SUNDAY, event
 from pyspark.sql import functions as F
 
+from starloom.__main__ import run
 from starloom.operators.quality import QualityError
 from starloom.plans import jobs
 from starloom.schemas import IMMIGRATION_SOURCE, STAGING_EVENTS, STAGING_SONGS
@@ -185,3 +186,21 @@ def test_jobs_run_together_and_report_errors(spark):
     with pytest.raises(RuntimeError):
         jobs.run_together(spark, [fail])
     assert rows(spark.range(1)) == [(0,)]
+
+
+def test_command_line(spark, source, tmp_path):
+    target = str(tmp_path / "lake")
+    paths = run(spark, ["music-lake", str(source), target])
+    assert counts(spark, paths) == FULL
+    assert run(spark, ["music-lake", str(source), target, "--month", "2018-12"]) == paths
+    assert counts(spark, paths) == FULL
+    report = run(spark, [
+        "music-warehouse", "cli_wh", f"{source}/log_data/{{run.year}}/{{run.month}}", f"{source}/song_data",
+        "--run", "2018-11-30", "--location", str(tmp_path / "wh")])
+    assert report.count() == 5
+    run(spark, ["music-store", "cli_st", f"{source}/song_data", f"{source}/log_data", "--plays-key", "start_time,user_id", "--location", str(tmp_path / "st")])
+    assert spark.table("cli_st.songplays").count() == 6
+    for database in ("cli_wh", "cli_st"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    with pytest.raises(SystemExit):
+        run(spark, ["unknown"])

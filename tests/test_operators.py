@@ -218,11 +218,12 @@ def test_one_file(spark, tmp_path):
     assert len(list(path.glob("*.parquet"))) == 1
 
 
-def test_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path):
+@pytest.mark.parametrize("sort_by", [(), ("v",)])
+def test_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path, sort_by):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="100000")
     path = tmp_path / "hot"
     df = spark.range(0, 200000, 1, 8).select(F.xxhash64("id").alias("v"), F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id") % 10).alias("p"))
-    loads.write_parquet(df, str(path), ["p"])
+    loads.write_parquet(df, str(path), ["p"], sort_by=sort_by)
     assert len(list((path / "p=1").glob("*.parquet"))) > 1
     assert spark.read.parquet(str(path)).count() == 200000
 
