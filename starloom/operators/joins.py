@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starloom.session import materialize
+
 # A key that holds more than this share of the rows is spread over several tasks. At most
 # 1 / HOT_SHARE keys can, which bounds every list of such keys that is broadcast.
 HOT_SHARE = 0.005
@@ -53,9 +55,8 @@ def lookup_join(
 
     ``how`` is ``inner``, ``left`` or ``left_anti``. A lookup below the broadcast limit is left to
     Spark, which replicates it, and nothing shuffles. Beyond it both sides shuffle on the keys,
-    and keys that hold many rows on either side are spread over ``SALTS`` tasks. ``unique`` says
-    that the lookup has few rows per key, so its keys need no examination; it never changes the
-    result.
+    and keys that hold many rows on either side are spread over several tasks. ``unique`` says
+    that the lookup was reduced to one row per key; it never changes the result.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_anti"):
@@ -65,11 +66,27 @@ def lookup_join(
     if fits_broadcast(lookup):
         return rows.join(lookup, keys, how)
     if unique:
-        return _salted(rows, lookup, keys, how)
-    heavy = F.broadcast(hot_keys(lookup, keys, at_least=SALTS))
-    matched = _in_squares(rows.join(heavy, keys, "left_semi"), lookup.join(heavy, keys, "left_semi"), keys)
-    others = _salted(rows.join(heavy, keys, "left_anti"), lookup.join(heavy, keys, "left_anti"), keys, how)
-    return others.unionByName(matched)
+        # Grouped on the same keys it would be joined as it is partitioned, which keeps adaptive
+        # execution from splitting hot keys of the rows; a written table shuffles afresh.
+        lookup = materialize(lookup, "lookup")
+    elif how == "left":
+        # A left join cannot split its right side, so keys with many lookup rows go separately.
+        hot = hot_keys(lookup, keys, at_least=SALTS).collect()  # at most 1 / HOT_SHARE keys
+        if hot:
+            heavy = F.broadcast(lookup.sparkSession.createDataFrame(hot, lookup.select(*keys).schema))
+            matched = _in_squares(rows.join(heavy, keys, "left_semi"), lookup.join(heavy, keys, "left_semi"), keys)
+            others = _shuffled(rows.join(heavy, keys, "left_anti"), lookup.join(heavy, keys, "left_anti"), keys, how)
+            return others.unionByName(matched)
+    return _shuffled(rows, lookup, keys, how)
+
+
+def _shuffled(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Adaptive execution splits hot keys while the join runs; without it they are salted."""
+    conf = rows.sparkSession.conf
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    if all(conf.get(s) == "true" for s in settings):
+        return rows.join(lookup, keys, how)
+    return _salted(rows, lookup, keys, how)
 
 
 def _salted(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:

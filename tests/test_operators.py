@@ -95,9 +95,9 @@ def skewed_lookup(spark):
 
 @pytest.mark.parametrize("case", ["skewed", "skewed_lookup"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-@pytest.mark.parametrize("limit", ["10485760b", "-1"])
-def test_lookup_join_equals_nested_loops(spark, conf, request, case, how, limit):
-    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+@pytest.mark.parametrize("limit,adaptive", [("10485760b", "true"), ("-1", "true"), ("-1", "false")])
+def test_lookup_join_equals_nested_loops(spark, conf, request, case, how, limit, adaptive):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit, spark__sql__adaptive__enabled=adaptive)
     left, right, left_rows, right_rows = request.getfixturevalue(case)
     expected = []
     for a, b, n in left_rows:
@@ -109,11 +109,12 @@ def test_lookup_join_equals_nested_loops(spark, conf, request, case, how, limit)
     joined = joins.lookup_join(left, right, ["a", "b"], how)
     assert rows(joined, "a", "b", "n", *(["s"] if how != "left_anti" else [])) == sorted(expected, key=repr)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_salt" in plan) == (limit == "-1")
+    assert ("_salt" in plan) == (adaptive == "false")
+    assert ("_part" in plan) == (limit == "-1" and how == "left" and case == "skewed_lookup")
 
 
 @pytest.mark.parametrize("case", ["skewed", "skewed_lookup"])
-def test_hot_rows_are_spread(conf, request, case):
+def test_hot_rows_are_salted_without_adaptive_execution(conf, request, case):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16")
     left, right, *_ = request.getfixturevalue(case)
     joined = joins.lookup_join(left, right, ["a", "b"], "left")
@@ -121,6 +122,19 @@ def test_hot_rows_are_spread(conf, request, case):
     assert len(sizes) > 8 and max(sizes) < sum(sizes) / 4
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_hot_rows_are_split_by_adaptive_execution(spark, conf, how):
+    """Also when the lookup was grouped on the join keys, which would hide its shuffle."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16",
+         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2", spark__sql__adaptive__advisoryPartitionSizeInBytes="20000")
+    left = spark.range(0, 60000, 1, 16).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"))
+    lookup = conflicts.keep_first(left.filter("n % 2 = 0").withColumnRenamed("n", "first"), ["k"])
+    joined = joins.lookup_join(left, lookup, ["k"], how, unique=True)
+    assert len(joined.collect()) == (60000 if how == "left" else 20000)
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_lists_are_bounded_and_complete(spark):
     df = spark.range(10000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("h"))
     hot = [r["h"] for r in joins.hot_hashes(df, "h", 0.01).collect()]
