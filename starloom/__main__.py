@@ -60,9 +60,10 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> object:
     """Run the load the arguments name; returns what the load returns."""
     args = _parser().parse_args(arguments)
     if args.load == "music-lake":
+        partitions = _columns(args.song_partitions)
         if args.month:
-            return jobs.refresh_music_lake(spark, args.source, args.target, args.month)
-        return jobs.run_music_lake(spark, args.source, args.target, _columns(args.song_partitions))
+            return jobs.refresh_music_lake(spark, args.source, args.target, args.month, song_partitions=partitions)
+        return jobs.run_music_lake(spark, args.source, args.target, partitions)
     if args.load == "music-store":
         return jobs.run_music_store(spark, jobs.StoreConfig(
             args.database, args.song_path, args.log_path, _columns(args.plays_key), args.first_song_per_file,

@@ -11,14 +11,18 @@ from starloom.session import materialize
 
 def surrogate_id(
     df: DataFrame, name: str, dense: bool = False, order: Sequence[str] = (), start: int = 0,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Add a unique long id.
 
     The default ids are unique but have gaps and follow the plan's partitions; write the frame
-    before using them twice. ``dense=True`` numbers the rows without gaps in the order of
+    before using them twice. Say ``shuffled`` when the rows come out of a shuffle: a task that
+    runs again may see them in another order, so they are sorted within their partition first
+    and get the same ids again. ``dense=True`` numbers the rows without gaps in the order of
     ``order`` (remaining columns break ties), so the ids depend on the data alone.
     """
     if not dense:
+        df = df.sortWithinPartitions(*df.columns) if shuffled else df
         return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start))
     return _dense_id(df, name, order, start)
 

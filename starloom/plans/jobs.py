@@ -70,26 +70,34 @@ def _write_lake(spark: SparkSession, source: str, target: str, song_partitions:
 
 def refresh_music_lake(
     spark: SparkSession, source: str, target: str, run_ts: datetime,
-    logs: str = "log_data/{run.year}/{run.month}",
+    logs: str = "log_data/{run.year}/{run.month}", song_partitions: Sequence[str] = ("year",),
 ) -> dict[str, str]:
     """Load only the run's month: ``source/log_data/<year>/<month>``.
 
     The month's directories of ``time`` and ``songplays`` are replaced, so a rerun changes
-    nothing; dimension rows that are not stored yet are appended. The lake must exist.
+    nothing; dimension rows that are not stored yet are appended. The lake must exist, and the
+    month's files must hold plays of that month only: others would replace their own month's
+    directories, so they are refused.
     """
     with scratch_tables(spark):
-        return _refresh_lake(spark, source, target, staging.scoped_path(logs, run_ts))
+        return _refresh_lake(spark, source, target, run_ts, staging.scoped_path(logs, run_ts), song_partitions)
 
 
-def _refresh_lake(spark: SparkSession, source: str, target: str, logs: str) -> dict[str, str]:
+def _refresh_lake(
+    spark: SparkSession, source: str, target: str, run_ts: datetime, logs: str, song_partitions: Sequence[str],
+) -> dict[str, str]:
     songs, events = _lake_sources(spark, source, logs)
+    start = F.col("start_time")
+    strays = music.play_times(events).filter((F.year(start) != run_ts.year) | (F.month(start) != run_ts.month))
+    if not strays.isEmpty():
+        raise quality.QualityError(f"{logs} holds plays of other months")
     tables = music.build_star(events, songs, "lake")
     paths = {name: f"{target}/{name}" for name in tables}
 
     def add_rows(name: str) -> None:
         df = tables[name]
         stored = spark.read.schema(df.schema).parquet(paths[name]).select(*df.columns)
-        partitions = ("year",) if name == "songs" else ()
+        partitions = tuple(song_partitions) if name == "songs" else ()
         loads.write_parquet(df.subtract(stored), paths[name], partitions, mode="append")
 
     run_together(spark, [
@@ -132,9 +140,9 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
     """Songs and artists first, then time, users and songplays; existing keys are respected.
 
     Songs, artists and times already stored stay as they are, users get the level of their
-    latest play, plays are appended. The declared constraints are checked on the dimensions and
-    on the new plays, so the check does not grow with the stored fact. Returns the violations
-    per constraint; raises if there are any.
+    latest play, plays are appended. Before that the declared constraints are checked on the
+    dimensions and on the new plays, so the check does not grow with the stored fact. Returns
+    the violations per constraint; raises if there are any.
     """
     declared = _declared(schemas.STORE, config.long_ids)
     loads.create_tables(spark, config.database, declared, config.location)
@@ -165,12 +173,11 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
             plays = append_new(plays, stored, config.plays_key)
         numbered = surrogate_id(plays, "songplay_id", dense=True, order=["start_time"], start=_next_id(spark.table(names["songplays"])))
         batch = numbered.select(*declared["songplays"].fieldNames())
-        loads.append(batch, names["songplays"])
         checked = {t: spark.table(n) for t, n in names.items()} | {"songplays": batch}
-        report = quality.check_declared(checked, schemas.CONSTRAINTS)
-        found = report.collect()  # one row per constraint
-    report = spark.createDataFrame(found, report.schema)
-    quality.enforce(report)
+        found = quality.check_declared(checked, schemas.CONSTRAINTS)
+        report = spark.createDataFrame(found.collect(), found.schema)  # one row per constraint
+        quality.enforce(report)
+        loads.append(batch, names["songplays"])
     return report
 
 
@@ -183,8 +190,9 @@ class WarehouseConfig:
     play ids) or ``warehouse`` (ids that count up). ``fact_mode`` is ``append-new`` (a rerun adds
     nothing, needs hashed ids) or ``append`` (a rerun appends the plays again).
     ``incremental_time`` adds the new plays' times instead of deriving the time table from every
-    stored play on each run; the outcome is the same. ``long_ids`` widens user and session ids
-    to 64 bits.
+    stored play on each run; the outcome is the same, and if an earlier run broke off between
+    the two tables, the time table is derived anew. ``long_ids`` widens user and session ids to
+    64 bits.
     """
 
     database: str
@@ -234,16 +242,18 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
     tables = music.build_star(events, songs, variant, first_id)
     modes = dict.fromkeys(("songs", "users", "artists", "time"), config.dimension_mode)
     with scratch_tables(spark):
-        plays = tables["songplays"]
+        plays, stored, times = tables["songplays"], spark.table(name("songplays")), spark.table(name("time"))
+        add_times = config.incremental_time and stored.count() == times.count()
         if config.fact_mode == "append-new":
             plays = loads.new_rows(plays, name("songplays"), ["songplay_id"], within="start_time")
-        if config.incremental_time:
+        if add_times:
             plays = materialize(plays, "plays")
         loads.append(plays, name("songplays"))
-        if config.incremental_time:
+        if add_times:
             tables["time"], modes["time"] = music.build_time(plays, variant.weekday, distinct=False), "append-only"
         elif not variant.time_distinct:
             tables["time"] = music.build_time(spark.table(name("songplays")), variant.weekday, distinct=False)
+            modes["time"] = "delete-load" if config.incremental_time else modes["time"]
         run_together(spark, [
             lambda t=t, mode=mode: loads.load_dimension(tables[t], name(t), mode) for t, mode in modes.items()
         ])

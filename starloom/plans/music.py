@@ -177,6 +177,7 @@ def build_songplays(
     duration: T.DataType = NUMERIC,
     calendar: bool = False,
     first_id: int = 1,
+    hash_parts: Sequence[str] = ("session_id", "start_time"),
 ) -> DataFrame:
     """One row per play and matching catalogue entry.
 
@@ -186,8 +187,9 @@ def build_songplays(
     entry per key before the join, so that no play fans out. ``distinct`` removes repeated
     events and catalogue entries before the join, which gives the distinct joined rows without
     shuffling them.
-    ``ids`` is ``dense`` (counting up from ``first_id``), ``monotonic``, ``hash`` (md5 of session
-    and start time) or None.
+    ``ids`` is ``dense`` (counting up from ``first_id``), ``monotonic``, ``hash`` (md5 of
+    ``hash_parts``) or None. Two plays of a session in one second share the default hash; name
+    further columns to tell them apart.
     The ``artist`` rule pairs a play with every song of its artist; to count its rows use
     ``artist_match_counts``.
     """
@@ -210,11 +212,14 @@ def build_songplays(
     columns = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
     fact = joined.select(*columns)
     if ids == "hash":
-        fact = fact.select(hash_key(F.col("session_id"), F.col("start_time")).alias("songplay_id"), *columns)
+        fact = fact.select(hash_key(*[F.col(c) for c in hash_parts]).alias("songplay_id"), *columns)
     elif ids is not None:
         if ids not in ("dense", "monotonic"):
             raise ValueError(f"unknown id strategy {ids!r}")
-        fact = surrogate_id(fact, "songplay_id", dense=ids == "dense", order=["start_time"], start=first_id if ids == "dense" else 0)
+        if ids == "dense":
+            fact = surrogate_id(fact, "songplay_id", dense=True, order=["start_time"], start=first_id)
+        else:
+            fact = surrogate_id(fact, "songplay_id", shuffled=True)
         fact = fact.select("songplay_id", *columns)
     if calendar:
         fact = fact.select("*", F.year("start_time").alias("year"), F.month("start_time").alias("month"))

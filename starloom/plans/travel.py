@@ -32,7 +32,7 @@ def build_airports(airports: DataFrame, coordinate_order: str = "latitude_first"
 
 def build_demographics(demographics: DataFrame, dense: bool = False) -> DataFrame:
     """Distinct rows with a generated ``demographic_id``."""
-    return surrogate_id(demographics.distinct(), "demographic_id", dense=dense, order=["state", "city"])
+    return surrogate_id(demographics.distinct(), "demographic_id", dense=dense, order=["state", "city"], shuffled=True)
 
 
 def build_labels(lines: DataFrame, block: LabelBlock, tidy: bool = False) -> DataFrame:

@@ -57,12 +57,16 @@ def test_music_lake(spark, source, tmp_path, song_partitions):
 def test_music_lake_refresh_reads_one_month(spark, source, tmp_path):
     target = str(tmp_path / "lake")
     paths = jobs.run_music_lake(spark, str(source), target)
-    december = EVENTS[5:] + [event(SUNDAY + 40 * 86400000, 4, 60, 0, "Duo", "Tune", 1.0, first="Di")]
+    december = EVENTS[5:] + [event(SUNDAY + 30 * 86400000, 4, 60, 0, "Duo", "Tune", 1.0, first="Di")]
     write_json(source / "log_data" / "2018" / "12" / "e.json", STAGING_EVENTS, december)
     write_json(source / "log_data" / "2018" / "11" / "e.json", STAGING_EVENTS, [])  # not read
     for _ in range(2):
         jobs.refresh_music_lake(spark, str(source), target, datetime(2018, 12, 31))
     assert counts(spark, paths) == FULL | {"users": 6, "time": 5, "songplays": 7}
+    write_json(source / "log_data" / "2018" / "12" / "e.json", STAGING_EVENTS, december + EVENTS[:1])
+    with pytest.raises(QualityError, match="other months"):
+        jobs.refresh_music_lake(spark, str(source), target, datetime(2018, 12, 31))
+    assert counts(spark, paths) == FULL | {"users": 6, "time": 5, "songplays": 7}
 
 
 @pytest.mark.parametrize("incremental_time", [False, True])
@@ -82,6 +86,8 @@ def test_warehouse(spark, source, tmp_path, incremental_time):
         report = jobs.run_music_warehouse(spark, config, datetime(2018, 11, 30))
         assert sizes() == november
     assert report.filter("passed").count() == 5
+    if incremental_time:  # a run that broke off before the time table
+        spark.sql("TRUNCATE TABLE wh_test.`time`")
     jobs.run_music_warehouse(spark, config, datetime(2018, 12, 31))
     assert sizes() == november | {"users": 1, "time": 9, "songplays": 9}
     assert dict(spark.table("wh_test.`time`").dtypes)["weekday"] == "string"

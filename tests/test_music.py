@@ -73,6 +73,11 @@ def test_ids(stars):
     assert {len(r["songplay_id"]) for r in hashed.collect()} == {32}
 
 
+def test_hash_of_more_columns_tells_plays_apart(events, songs):
+    plays = music.build_songplays(events, songs, ids="hash", precision="s", hash_parts=("session_id", "start_time", "song_id"))
+    assert plays.filter("session_id = 10").select("songplay_id").distinct().count() == 2
+
+
 def test_start_time_precision(stars):
     times = {v: {r["start_time"] for r in s["songplays"].filter("session_id = 10").collect()} for v, s in stars.items()}
     exact = {datetime(2018, 11, 4, 0, 0, 0, 500000), datetime(2018, 11, 4, 0, 0, 0, 900000)}

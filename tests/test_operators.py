@@ -65,6 +65,14 @@ def test_dense_ids_of_nothing(spark):
     assert surrogate_id(spark.createDataFrame([], "v int"), "id", dense=True).collect() == []
 
 
+def test_shuffled_rows_get_the_same_ids_in_any_order(spark):
+    def numbered(df):
+        return rows(surrogate_id(df.coalesce(1), "n", shuffled=True))
+
+    df = spark.range(50).select(F.xxhash64("id").alias("v"))
+    assert numbered(df.orderBy("v")) == numbered(df.orderBy(F.desc("v")))
+
+
 def test_plain_ids_are_unique(spark):
     assert surrogate_id(spark.range(1000).repartition(5), "n").select("n").distinct().count() == 1000
 
