@@ -1,6 +1,7 @@
 """Whole loads on small files, run twice."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 
@@ -81,7 +82,7 @@ def test_warehouse(spark, source, tmp_path, incremental_time):
 
     # bulk loads cut 200.5 and 200.9 to 200, so both match
     november = {"songs": 5, "artists": 3, "users": 4, "time": 5, "songplays": 5}
-    config = jobs.WarehouseConfig(**(config.__dict__ | {"incremental_time": incremental_time}))
+    config = replace(config, incremental_time=incremental_time)
     for _ in range(2):
         report = jobs.run_music_warehouse(spark, config, datetime(2018, 11, 30))
         assert sizes() == november
@@ -93,11 +94,11 @@ def test_warehouse(spark, source, tmp_path, incremental_time):
     assert dict(spark.table("wh_test.`time`").dtypes)["weekday"] == "string"
     times = spark.table("wh_test.`time`").select("start_time")
     assert rows(times) == rows(spark.table("wh_test.songplays").select("start_time"))
-    again = jobs.WarehouseConfig(**(config.__dict__ | {"fact_mode": "append", "dimension_mode": "append-only"}))
+    again = replace(config, fact_mode="append", dimension_mode="append-only")
     jobs.run_music_warehouse(spark, again, datetime(2018, 12, 31))
     assert sizes()["songplays"] == 13 and sizes()["songs"] == 10
     with pytest.raises(ValueError):
-        jobs.run_music_warehouse(spark, jobs.WarehouseConfig(**(config.__dict__ | {"fact_mode": "merge"})), datetime(2018, 12, 31))
+        jobs.run_music_warehouse(spark, replace(config, fact_mode="merge"), datetime(2018, 12, 31))
     spark.sql("DROP DATABASE wh_test CASCADE")
 
 
@@ -112,7 +113,7 @@ def test_warehouse_with_counted_ids(spark, source, tmp_path):
     assert spark.table("wh_counted.`time`").count() == 3
     assert {str(r["duration"]) for r in spark.table("wh_counted.songs").filter("song_id = 'S1'").collect()} == {"201"}
     with pytest.raises(ValueError, match="count up"):
-        jobs.run_music_warehouse(spark, jobs.WarehouseConfig(**(config.__dict__ | {"fact_mode": "append-new"})), datetime(2018, 11, 30))
+        jobs.run_music_warehouse(spark, replace(config, fact_mode="append-new"), datetime(2018, 11, 30))
     spark.sql("DROP DATABASE wh_counted CASCADE")
 
 
@@ -131,10 +132,10 @@ def test_store(spark, source, tmp_path):
     assert rows(table("users"), "user_id", "first_name", "level") == [(1, "Ann", "paid"), (2, "Bob", "free")]
     jobs.run_music_store(spark, config)  # generated ids never conflict: the plays are there twice
     assert sizes() == november | {"songplays": 8}
-    keyed = jobs.StoreConfig(**(config.__dict__ | {"plays_key": ("start_time", "user_id", "session_id")}))
+    keyed = replace(config, plays_key=("start_time", "user_id", "session_id"))
     jobs.run_music_store(spark, keyed)
     assert sizes() == november | {"songplays": 8}
-    december = jobs.StoreConfig(**(keyed.__dict__ | {"log_path": f"{source}/log_data/2018/12", "first_song_per_file": True}))
+    december = replace(keyed, log_path=f"{source}/log_data/2018/12", first_song_per_file=True)
     report = jobs.run_music_store(spark, december)
     assert sizes() == november | {"users": 3, "time": 4, "songplays": 10}
     assert sorted(r["songplay_id"] for r in table("songplays").collect()) == list(range(1, 11))
@@ -174,6 +175,21 @@ def test_travel_lake(spark, tmp_path):
     assert (tmp_path / "lake" / "demographic" / "state=MA").is_dir()
 
 
+def test_travel_lake_with_the_full_label_file(spark, tmp_path):
+    sources = travel_sources(spark, tmp_path, AIRPORT)
+    lines = ["/* comment */"] * 1100
+    lines[10:298] = [f"  {i} =  'COUNTRY {i}'" for i in range(10, 298)]
+    lines[303:962] = [f"   'C{i}'\t=\t'CITY {i}, AK      '" for i in range(303, 962)]
+    lines[982:1036] = [f"\t'S{i}'='STATE {i}'" for i in range(982, 1036)]
+    (tmp_path / "labels.sas").write_text("\n".join(lines) + "\n")
+    paths = jobs.run_travel_lake(spark, replace(sources, blocks=jobs.TravelSources.blocks), str(tmp_path / "lake"))
+    found = counts(spark, paths)
+    assert (found["countries"], found["cities"], found["states"]) == (288, 659, 54)
+    assert spark.read.parquet(paths["countries"]).filter("country_code = 297").first()["country"] == "COUNTRY 297"
+    assert spark.read.parquet(paths["cities"]).filter("city_code = 'C303'").first()["city"] == "CITY 303, AK      "
+    assert spark.read.parquet(paths["states"]).filter("state_code = 'S1035'").first()["state"] == "STATE 1035"
+
+
 def test_travel_lake_stops_at_a_repeated_key(spark, tmp_path):
     sources = travel_sources(spark, tmp_path, AIRPORT + AIRPORT.replace("heliport", "closed"))
     with pytest.raises(QualityError, match="airport_id"):

@@ -1,6 +1,8 @@
 import json
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -24,6 +26,15 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_own_scratch_folder_only_in_local_mode():
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId=master))
+
+    assert Path(scratch_dir(session("local[2]"))).is_dir()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn"))
+
+
 def test_json_tree(spark, tmp_path):
     write(tmp_path / "a" / "b" / "1.json", '{"userId": 1, "name": "x"}')
     write(tmp_path / "a" / "2.json", '{"userId": 2, "name": "y"}', '{"name": null}')
