@@ -1,0 +1,22 @@
+"""The operators' queries and, where SQL can express them, their check SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(run: Query) -> Query:
+        QUERIES[name] = run
+        if sql is not None:
+            SQL[name] = sql
+        return run
+
+    return add
