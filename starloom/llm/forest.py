@@ -351,7 +351,7 @@ def _compare_balls(cores: DataFrame, shell: DataFrame, sizes: dict[int, tuple[in
 OP4_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in embedding if x <> 0]) > 0),
 e AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b
   ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
 reach AS (SELECT u, w FROM e UNION SELECT reach.u, e.w FROM reach JOIN e ON reach.w = e.u),

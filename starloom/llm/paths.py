@@ -224,7 +224,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
 OP5_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\v]+') AS w FROM documents),
-s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), i -> array_to_string(w[i:i + 4], ' '))) AS s
+s AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 3, 2))]) AS s
       FROM w WHERE len(w) > 0),
 g AS MATERIALIZED (SELECT doc_id, len(s) AS size, unnest(s) AS shingle FROM s),
 e AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS w FROM g a JOIN g b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id

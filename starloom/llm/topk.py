@@ -169,10 +169,10 @@ def _search(rows: DataFrame, parts: int, k: int, batch: int) -> DataFrame:
 
 OP2_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-        CAST(list_sum(list_transform(list_zip(q.v, c.v), t -> t[1] * t[2])) AS BIGINT) AS score
+        CAST(list_sum([t[1] * t[2] for t in list_zip(q.v, c.v)]) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
