@@ -5,8 +5,11 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.session import configure, materialize, scratch_dir
@@ -93,5 +96,44 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of rows with equal whole-number keys, from batches sorted by them; a group may span batches.
+
+    Cheaper than a grouped map where most groups have a few rows, as those share their batches.
+    """
+    rest = None
+    for batch in batches:
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        k = batch[keys].to_numpy(np.int64)
+        bounds = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist()]
+        for a, b in zip(bounds, bounds[1:]):
+            yield batch.iloc[a:b]
+        rest = batch.iloc[bounds[-1]:]
+    if rest is not None:
+        yield rest
+
+
+def grouped(rows: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """Apply ``work``, which returns columns of equal length, to the groups of ``rows`` by ``keys``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made, size = [], 0
+        for group in groups(batches, keys):
+            out = work(group)
+            found = len(next(iter(out.values())))
+            if found:
+                made.append(out)
+                size += found
+            if size >= 4_096:
+                yield pd.DataFrame({c: np.concatenate([m[c] for m in made]) for c in out})
+                made, size = [], 0
+        if made:
+            yield pd.DataFrame({c: np.concatenate([m[c] for m in made]) for c in made[0]})
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))

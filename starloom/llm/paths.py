@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import connected_components, read, ship, store
+from .common import connected_components, grouped, read, ship, store
 from .registry import query
 from .shingles import HASHES, minhash, shingles
 
@@ -117,21 +117,27 @@ def _first_here(batch: pd.DataFrame) -> np.ndarray:
     return pairs
 
 
-def _candidates(batch: pd.DataFrame) -> pd.DataFrame:
+def _candidates(batch: pd.DataFrame) -> dict[str, np.ndarray]:
     """Documents of the bucket with a candidate pair that no other bucket takes care of."""
     pairs = _first_here(batch)
-    least = np.stack(batch["least"].to_numpy()).astype(np.int32)
-    alike = np.zeros(pairs.shape, np.uint8)
-    for k in range(HASHES):
-        alike += least[:, None, k] == least[None, :, k]
-    pairs &= alike >= ALIKE
-    needed = pairs.any(0) | pairs.any(1)
-    return pd.DataFrame({"path": batch["path"].iloc[0], "id": batch["id"].to_numpy()[needed]})
-
-
-def _verified(batch: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    if pairs.any():
+        least = np.stack(batch["least"].to_numpy())
+        if len(least) <= SMALL:
+            alike = (least[:, None] == least[None]).sum(axis=2)
+        else:
+            alike = np.zeros(pairs.shape, np.uint8)
+            for column in least.T:
+                alike += column[:, None] == column[None, :]
+        pairs &= alike >= ALIKE
+    ids = batch["id"].to_numpy(np.int64)[pairs.any(0) | pairs.any(1)]
+    return {"path": np.full(len(ids), batch["path"].iloc[0]), "id": ids}
+
+
+def _verified(batch: pd.DataFrame, similarity: float) -> dict[str, np.ndarray]:
     """Links of each document in the bucket and the least document of its linked group."""
-    ids, n = batch["id"].to_numpy(np.int64), batch["n"].to_numpy(np.int64)
+    ids, n, pairs = batch["id"].to_numpy(np.int64), batch["n"].to_numpy(np.int64), _first_here(batch)
+    if not pairs.any():
+        return {"id": ids[:0], "links": ids[:0], "least": ids[:0]}
     sets = [np.frombuffer(s, np.uint64) for s in batch["shingles"]]
     sizes = np.array([len(s) for s in sets])
     every, inverse, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -143,7 +149,7 @@ def _verified(batch: pd.DataFrame, similarity: float) -> pd.DataFrame:
     at = np.repeat(np.arange(len(ids)), sizes)
     use = shared[inverse]
     np.bitwise_or.at(bits, (at[use], bit[inverse[use]] >> 6), np.uint64(1) << (bit[inverse[use]] & 63).astype(np.uint64))
-    pairs, linked = _first_here(batch), np.zeros((len(ids),) * 2, bool)
+    linked = np.zeros(pairs.shape, bool)
     for i in np.flatnonzero(pairs.any(1)):
         js = np.flatnonzero(pairs[i])
         js = js[np.minimum(sizes[js], sizes[i]) >= similarity * np.maximum(sizes[js], sizes[i]) - 1e-9]
@@ -158,10 +164,10 @@ def _verified(batch: pd.DataFrame, similarity: float) -> pd.DataFrame:
         if (new == label).all():
             break
         label = new
-    return pd.DataFrame({"id": ids[some], "links": links @ n[some], "least": label})
+    return {"id": ids[some], "links": links @ n[some], "least": label}
 
 
-def near_texts(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
+def near_texts(docs: DataFrame, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
     """Per row: doc_id, n_links, component_id, kept.
 
     Linked are documents whose sets of five-word shingles (lower case, split at white space) have a Jaccard similarity
@@ -188,18 +194,19 @@ def _joined(docs: DataFrame, signed: DataFrame, classes: DataFrame, similarity:
     # A document has at most 2 ** LEVELS paths a run, two or so where buckets are small.
     paths = store(buckets.groupBy("id").agg(F.sort_array(F.collect_list("path")).alias("paths")), "own-paths")
     wide = buckets.join(paths, "id").join(classes.select("id", "least"), "id")
-    needed = store(_tiled(wide).groupBy("path", "a", "b").applyInPandas(_candidates, "path long, id long").distinct(), "needed")
+    needed = store(grouped(_tiled(wide), ["path", "a", "b"], _candidates, "path long, id long").distinct(), "needed")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "shingles": [shingles(t).tobytes() for t in batch["text"]]})
 
-    wanted = needed.select("id").distinct()
+    # Shuffled at every size: few documents are wanted, but their number grows with the corpus.
+    wanted = needed.select("id").distinct().hint("merge")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi").dropDuplicates(["id"])
     shingled = store(texts.mapInPandas(sets, "id long, shingles binary"), "sets")
     rows = needed.join(paths, "id").join(classes.select("id", "n"), "id").join(shingled, "id")
-    found = store(_tiled(rows).groupBy("path", "a", "b").applyInPandas(
-        lambda batch: _verified(batch, similarity), "id long, links long, least long"), "links")
+    found = store(grouped(
+        _tiled(rows), ["path", "a", "b"], lambda batch: _verified(batch, similarity), "id long, links long, least long"), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     components = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
     named = classes.select("set", "id", "n").join(links, "id", "left").join(components, F.col("id") == F.col("node"), "left").select(

@@ -10,8 +10,8 @@ HASHES = 64
 _REMEMBERED = 500_000
 _rng = np.random.default_rng(20240607)
 _MIX = _rng.integers(1, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
+_A = (_rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_B = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)[:, None]
 
 
 class _Words(dict):
@@ -45,9 +45,12 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def minhash(hashes: np.ndarray) -> np.ndarray:
-    """``HASHES`` minima of a set that is not empty, as signed 32-bit numbers."""
+    """``HASHES`` minima of a set that is not empty, as signed 32-bit numbers.
+
+    The hashes are random already; each multiply-add permutes their upper halves.
+    """
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
     out = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
-    for at in range(0, len(hashes), 4_096):
-        mixed = (hashes[at:at + 4_096, None] * _A + _B) >> np.uint64(32)
-        out = np.minimum(out, mixed.min(axis=0).astype(np.uint32))
+    for at in range(0, len(upper), 1_024):
+        out = np.minimum(out, (_A * upper[None, at:at + 1_024] + _B).min(axis=1))
     return out.view(np.int32)
