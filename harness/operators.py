@@ -47,11 +47,10 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(old.schema).parquet(path)
 
 
-@query("upsert_columns", """WITH ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity) AS a,
-         row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC, l_suppkey DESC) AS z
-  FROM lineitem)
-SELECT f.l_partkey, f.l_suppkey, l.l_quantity FROM ranked f JOIN ranked l ON f.l_partkey = l.l_partkey WHERE f.a = 1 AND l.z = 1""")
+@query("upsert_columns", """SELECT l_partkey,
+  arg_min(l_suppkey, (l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity)) AS l_suppkey,
+  arg_max(l_quantity, (l_shipdate, l_orderkey, l_linenumber, l_quantity, l_suppkey)) AS l_quantity
+FROM lineitem GROUP BY l_partkey""")
 def upsert_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, old, new = _lines(spark, sf_dir)
     order, update = ["l_shipdate", "l_orderkey", "l_linenumber"], ["l_quantity"]

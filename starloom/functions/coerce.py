@@ -52,7 +52,8 @@ def _convert(
     if isinstance(have, T.StringType):
         column = F.nullif(strip(column), F.lit(""))
         if rounding == "truncate" and want == T.DecimalType(18, 0):
-            column, have = column.cast("decimal(38,10)"), T.DecimalType(38, 10)
+            parsed = T.DecimalType(38, 10)
+            column, have = column.try_cast(parsed) if on_error == "null" else column.cast(parsed), parsed
     if rounding == "truncate" and want == T.DecimalType(18, 0):
         return to_scale0(column, rounding)
     return column.try_cast(want) if on_error == "null" else column.cast(want)

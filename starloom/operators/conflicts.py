@@ -9,10 +9,11 @@ shuffle, so a key that holds a large share of the rows costs no more than any ot
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.operators.joins import lookup_join
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Column, list[str]]:
@@ -44,8 +45,13 @@ first_write_wins = keep_first
 
 
 def without_known(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing``; a null key never matches."""
-    return lookup_join(new, existing, keys, "left_anti").select(*new.columns)
+    """Rows of ``new`` whose key is not in ``existing``; null is a key like any other.
+
+    One shuffle per side at most, and adaptive execution can split hot keys of ``new``.
+    """
+    known = existing.select([F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [new[k].eqNullSafe(known[f"_known_{i}"]) for i, k in enumerate(keys)])
+    return new.join(known, same, "left_anti")
 
 
 def insert_if_absent(

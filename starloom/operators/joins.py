@@ -11,7 +11,8 @@ from starloom.session import materialize
 # A key that holds more than this share of the rows is spread over several tasks. At most
 # 1 / HOT_SHARE keys can, which bounds every list of such keys that is broadcast.
 HOT_SHARE = 0.005
-SALTS = 64
+# Lookup rows that make a key worth a task of its own.
+MANY = 64
 # Keys with many rows on both sides are cut into SIDE x SIDE tasks.
 SIDE = 8
 
@@ -55,7 +56,7 @@ def lookup_join(
 
     ``how`` is ``inner``, ``left`` or ``left_anti``. A lookup below the broadcast limit is left to
     Spark, which replicates it, and nothing shuffles. Beyond it both sides shuffle on the keys,
-    and keys that hold many rows on either side are spread over several tasks. ``unique`` says
+    and adaptive execution, which ``session.configure`` turns on, splits keys that hold many rows. ``unique`` says
     that the lookup was reduced to one row per key; it never changes the result.
     """
     keys = list(keys)
@@ -71,40 +72,13 @@ def lookup_join(
         lookup = materialize(lookup, "lookup")
     elif how == "left":
         # A left join cannot split its right side, so keys with many lookup rows go separately.
-        hot = hot_keys(lookup, keys, at_least=SALTS).collect()  # at most 1 / HOT_SHARE keys
+        hot = hot_keys(lookup, keys, at_least=MANY).collect()  # at most 1 / HOT_SHARE keys
         if hot:
             heavy = F.broadcast(lookup.sparkSession.createDataFrame(hot, lookup.select(*keys).schema))
             matched = _in_squares(rows.join(heavy, keys, "left_semi"), lookup.join(heavy, keys, "left_semi"), keys)
-            others = _shuffled(rows.join(heavy, keys, "left_anti"), lookup.join(heavy, keys, "left_anti"), keys, how)
+            others = rows.join(heavy, keys, "left_anti").join(lookup.join(heavy, keys, "left_anti"), keys, how)
             return others.unionByName(matched)
-    return _shuffled(rows, lookup, keys, how)
-
-
-def _shuffled(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Adaptive execution splits hot keys while the join runs; without it they are salted."""
-    conf = rows.sparkSession.conf
-    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    if all(conf.get(s) == "true" for s in settings):
-        return rows.join(lookup, keys, how)
-    return _salted(rows, lookup, keys, how)
-
-
-def _salted(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Spread the rows of hot keys (null keys included) and copy their few lookup rows.
-
-    The salt is a hash of the row, so a task that runs again sends its rows to the same place.
-    """
-    key = F.xxhash64(*keys)
-    hashed = rows.withColumn("_key", key)
-    hot = F.broadcast(hot_hashes(hashed, "_key").withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(F.lit(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted = hashed.join(hot, "_key", "left").withColumn("_salt", salt.cast("int")).drop("_key", "_hot")
-    copied = (
-        lookup.withColumn("_key", key).join(hot, "_key", "left")
-        .withColumn("_salt", F.explode(copies)).drop("_key", "_hot")
-    )
-    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(lookup, keys, how)
 
 
 def _in_squares(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:

@@ -117,9 +117,13 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def stored_within(df: DataFrame, stored: DataFrame, column: str) -> DataFrame:
-    """The stored rows within the range of ``column`` in ``df``; the range is pushed to the scan."""
-    low, high = df.agg(F.min(column), F.max(column)).first()
-    return stored.filter(F.col(column).between(F.lit(low), F.lit(high)))
+    """The stored rows within the range of ``column`` in ``df``; the range is pushed to the scan.
+
+    The bounds travel as text, so that no clock or zone of this machine takes part.
+    """
+    low, high = df.agg(F.min(column).cast("string"), F.max(column).cast("string")).first()
+    kind = stored.schema[column].dataType
+    return stored.filter(F.col(column).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
 
 
 def new_rows(df: DataFrame, table: str, keys: Sequence[str], within: str | None = None) -> DataFrame:
@@ -143,7 +147,7 @@ def insert_columns(df: DataFrame, table: str, columns: Sequence[str]) -> None:
     target = df.sparkSession.table(table).schema
     given = dict(zip(columns, df.columns))
     unknown = set(columns) - set(target.fieldNames())
-    if unknown or len(given) != len(df.columns):
+    if unknown or len(given) != len(columns) or len(columns) != len(df.columns):
         raise ValueError(f"column list {list(columns)} does not fit {table}")
     df.select([
         (F.col(given[f.name]) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -176,7 +180,8 @@ def replace_contents(df: DataFrame, table: str) -> None:
 
 
 def gated_write(df: DataFrame, checks: Sequence[Callable[[DataFrame], object]], write: Callable[[DataFrame], None]) -> None:
-    """Run the checks, each of which raises on failure, then write."""
+    """Compute the rows once, run the checks, each of which raises on failure, then write."""
+    df = materialize(df, "gated")
     for check in checks:
         check(df)
     write(df)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from contextvars import copy_context
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -27,7 +28,7 @@ from starloom.sources.files import read_csv, read_table
 def run_together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
     """Submit independent jobs to one session at the same time; the first error is raised."""
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+        for done in [pool.submit(copy_context().run, inheritable_thread_target(spark)(job)) for job in jobs]:
             done.result()
 
 
@@ -92,6 +93,9 @@ def _refresh_lake(
     if not strays.isEmpty():
         raise quality.QualityError(f"{logs} holds plays of other months")
     tables = music.build_star(events, songs, "lake")
+    # Ids count from 0 in every load; the month in front keeps them apart from those of other loads.
+    first_id = (run_ts.year * 100 + run_ts.month) << 40
+    tables["songplays"] = tables["songplays"].withColumn("songplay_id", F.col("songplay_id") + F.lit(first_id))
     paths = {name: f"{target}/{name}" for name in tables}
 
     def add_rows(name: str) -> None:

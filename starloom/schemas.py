@@ -39,8 +39,8 @@ def with_long_ids(schema: T.StructType) -> T.StructType:
 STAGING_EVENTS = table(
     artist=STRING, auth=STRING, firstName=STRING, gender=STRING, itemInSession=INT,
     lastName=STRING, length=NUMERIC, level=STRING, location=STRING, method=STRING, page=STRING,
-    registration=SCALE0, sessionId=INT, song=STRING, status=INT, ts=LONG, userAgent=STRING,
-    userId=INT,
+    registration=SCALE0, sessionId=LONG, song=STRING, status=INT, ts=LONG, userAgent=STRING,
+    userId=LONG,
 )
 STAGING_SONGS = table(
     num_songs=INT, artist_id=STRING, artist_name=STRING, artist_latitude=NUMERIC,
@@ -50,14 +50,14 @@ STAGING_SONGS = table(
 
 # --- music: star schema ---------------------------------------------------------------------
 SONGPLAYS = table(
-    songplay_id=LONG, start_time=TIMESTAMP, user_id=INT, level=STRING, song_id=STRING,
-    artist_id=STRING, session_id=INT, location=STRING, user_agent=STRING,
+    songplay_id=LONG, start_time=TIMESTAMP, user_id=LONG, level=STRING, song_id=STRING,
+    artist_id=STRING, session_id=LONG, location=STRING, user_agent=STRING,
 )
 SONGPLAYS_HASHED = table(
-    songplay_id=STRING, start_time=TIMESTAMP, user_id=INT, level=STRING, song_id=STRING,
-    artist_id=STRING, session_id=INT, location=STRING, user_agent=STRING,
+    songplay_id=STRING, start_time=TIMESTAMP, user_id=LONG, level=STRING, song_id=STRING,
+    artist_id=STRING, session_id=LONG, location=STRING, user_agent=STRING,
 )
-USERS = table(user_id=INT, first_name=STRING, last_name=STRING, gender=STRING, level=STRING)
+USERS = table(user_id=LONG, first_name=STRING, last_name=STRING, gender=STRING, level=STRING)
 SONGS = table(song_id=STRING, title=STRING, artist_id=STRING, year=INT, duration=NUMERIC)
 ARTISTS = table(
     artist_id=STRING, name=STRING, location=STRING, latitude=NUMERIC, longitude=NUMERIC,
@@ -120,13 +120,13 @@ CLEAN_EVENTS = (
     "location", "sessionId", "song", "userId",
 )
 PLAYS_BY_SESSION = table(
-    sessionId=INT, itemInSession=INT, artist=STRING, song=STRING, length=NUMERIC,
+    sessionId=LONG, itemInSession=INT, artist=STRING, song=STRING, length=NUMERIC,
 )
 PLAYS_BY_USER = table(
-    userId=INT, sessionId=INT, itemInSession=INT, artist=STRING, song=STRING,
+    userId=LONG, sessionId=LONG, itemInSession=INT, artist=STRING, song=STRING,
     firstName=STRING, lastName=STRING,
 )
-LISTENERS_BY_SONG = table(song=STRING, userId=INT, firstName=STRING, lastName=STRING)
+LISTENERS_BY_SONG = table(song=STRING, userId=LONG, firstName=STRING, lastName=STRING)
 
 # --- travel ---------------------------------------------------------------------------------
 AIRPORTS_CSV = table(

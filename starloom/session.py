@@ -69,14 +69,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables materialized inside the block when it ends."""
+    """Remove the tables materialized inside the block when it ends well.
+
+    After an error they stay: one may be the only copy of a table that was being replaced.
+    """
     paths: list[str] = []
     token = _open_blocks.set(paths)
     try:
         yield
     finally:
         _open_blocks.reset(token)
-        jvm = spark._jvm
-        for path in paths:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+    jvm = spark._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

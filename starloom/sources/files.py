@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 def read_json(
     spark: SparkSession, path: str | list[str], schema: T.StructType, name_glob: str = "*.json",
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """JSON lines of one path, a glob, or a whole directory tree."""
+    """JSON lines of one path, a glob, or a whole directory tree.
+
+    With ``mode="FAILFAST"`` a line that is no JSON object fails the read; else it becomes nulls.
+    """
     return (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", name_glob)
+        .option("mode", mode)
         .json(path)
     )
 
@@ -25,15 +30,17 @@ def read_csv(
     schema: T.StructType,
     separator: str = ",",
     multiline: bool = False,
+    escape: str = '"',
 ) -> DataFrame:
     """CSV with a header row; the schema is bound by position.
 
+    A quote inside quotes is doubled, as ``loads.write_csv`` writes it, unless ``escape`` says otherwise.
     ``multiline`` allows quoted line breaks, but then a file cannot be split: use it only for
     directories of many moderate files.
     """
     return spark.read.csv(
         path, schema=schema, header=True, sep=separator, multiLine=multiline,
-        escape='"' if multiline else "\\", recursiveFileLookup=True, enforceSchema=True,
+        escape=escape, recursiveFileLookup=True, enforceSchema=True,
     )
 
 

@@ -34,7 +34,7 @@ def load_json(
     Fields are read as text and cast afterwards, so a number that arrives quoted is kept.
     ``first_only`` keeps the first record of each file.
     """
-    text = read_json(spark, path, as_text(schema))
+    text = read_json(spark, path, as_text(schema), mode=_mode(on_error))
     return conform(first_per_file(text) if first_only else text, schema, on_error=on_error, rounding=rounding)
 
 
@@ -56,7 +56,7 @@ def load_json_paths(
     wanted = T.StructType([T.StructField(f, T.StringType()) for f in dict.fromkeys(fields) if f])
     lines = _read_lines(spark, path)
     if len(wanted):
-        lines = lines.withColumn("_object", F.from_json("value", wanted))
+        lines = lines.withColumn("_object", F.from_json("value", wanted, {"mode": _mode(on_error)}))
     values = [
         F.col("_object").getField(f) if f else F.get_json_object("value", p)
         for f, p in zip(fields, json_paths)
@@ -83,11 +83,17 @@ def load_json_repaired(
 
     The repair comes before the parse: the JSON reader would turn such a record into nulls.
     """
-    parsed: Column = F.from_json(replace_invalid(F.col("value"), replacement), as_text(schema))
+    parsed: Column = F.from_json(
+        replace_invalid(F.col("value"), replacement), as_text(schema), {"mode": _mode(on_error)})
     text = _read_lines(spark, path).select(parsed.alias("_object")).select("_object.*")
     return conform(text, schema, on_error=on_error, rounding=rounding)
 
 
+def _mode(on_error: str) -> str:
+    """A line that is no JSON object fails a load that must not lose values."""
+    return "FAILFAST" if on_error == "fail" else "PERMISSIVE"
+
+
 def _read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     return lines.filter(F.trim("value") != "")

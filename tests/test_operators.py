@@ -117,19 +117,9 @@ def test_lookup_join_equals_nested_loops(spark, conf, request, case, how, limit,
     joined = joins.lookup_join(left, right, ["a", "b"], how)
     assert rows(joined, "a", "b", "n", *(["s"] if how != "left_anti" else [])) == sorted(expected, key=repr)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_salt" in plan) == (adaptive == "false")
     assert ("_part" in plan) == (limit == "-1" and how == "left" and case == "skewed_lookup")
 
 
-@pytest.mark.parametrize("case", ["skewed", "skewed_lookup"])
-def test_hot_rows_are_salted_without_adaptive_execution(conf, request, case):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16")
-    left, right, *_ = request.getfixturevalue(case)
-    joined = joins.lookup_join(left, right, ["a", "b"], "left")
-    sizes = [r["n"] for r in joined.filter("a = 'hot'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
-    assert len(sizes) > 8 and max(sizes) < sum(sizes) / 4
-
-
 @pytest.mark.parametrize("how", ["left", "left_anti"])
 def test_hot_rows_are_split_by_adaptive_execution(spark, conf, how):
     """Also when the lookup was grouped on the join keys, which would hide its shuffle."""

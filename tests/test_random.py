@@ -37,7 +37,7 @@ def test_insert_if_absent(spark, old, new):
         stored.setdefault(row[0], row)
     expected = {}
     for row in sorted(new, key=arrival):
-        if row[0] is None or row[0] not in stored:
+        if row[0] not in stored:
             expected.setdefault(row[0], row)
     existing = spark.createDataFrame(list(stored.values()), SCHEMA)
     added = conflicts.insert_if_absent(spark.createDataFrame(new, SCHEMA), existing, ["k"], ["t"])
