@@ -223,19 +223,21 @@ def plays_hashed_scale0(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_star", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (SELECT * FROM play_log WHERE page = 'NextSong'),
   users AS (SELECT DISTINCT userId, firstName, lastName, gender, level FROM plays),
-  artists AS (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM catalogue)
+  artists AS (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM catalogue),
+  songs AS (SELECT DISTINCT song_id, title, artist_id, year, duration FROM catalogue),
+  times AS (SELECT DISTINCT make_timestamp(ts * 1000) AS start_time FROM plays)
 SELECT 'users' AS table_name, 'primary key user_id' AS "constraint", count(*) - count(DISTINCT userId) AS violations FROM users
-UNION ALL SELECT 'users', 'not null user_id', 0
-UNION ALL SELECT 'users', 'length gender', 0
-UNION ALL SELECT 'songs', 'primary key song_id', 0
-UNION ALL SELECT 'songs', 'not null song_id', 0
-UNION ALL SELECT 'songs', 'length title', 0
+UNION ALL SELECT 'users', 'not null user_id', count(*) FILTER (userId IS NULL) FROM users
+UNION ALL SELECT 'users', 'length gender', count(*) FILTER (length(gender) > 1) FROM users
+UNION ALL SELECT 'songs', 'primary key song_id', count(*) - count(DISTINCT song_id) FROM songs
+UNION ALL SELECT 'songs', 'not null song_id', count(*) FILTER (song_id IS NULL) FROM songs
+UNION ALL SELECT 'songs', 'length title', count(*) FILTER (length(title) > 256) FROM songs
 UNION ALL SELECT 'artists', 'primary key artist_id', count(*) - count(DISTINCT artist_id) FROM artists
-UNION ALL SELECT 'artists', 'not null artist_id', 0
-UNION ALL SELECT 'artists', 'length name', 0
-UNION ALL SELECT 'artists', 'length location', 0
-UNION ALL SELECT 'time', 'primary key start_time', 0
-UNION ALL SELECT 'time', 'not null start_time', 0""")
+UNION ALL SELECT 'artists', 'not null artist_id', count(*) FILTER (artist_id IS NULL) FROM artists
+UNION ALL SELECT 'artists', 'length name', count(*) FILTER (length(artist_name) > 500) FROM artists
+UNION ALL SELECT 'artists', 'length location', count(*) FILTER (length(artist_location) > 500) FROM artists
+UNION ALL SELECT 'time', 'primary key start_time', count(*) - count(DISTINCT start_time) FROM times
+UNION ALL SELECT 'time', 'not null start_time', count(*) FILTER (start_time IS NULL) FROM times""")
 def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct dimensions are not unique by key once attributes change."""
     star = music.build_star(play_log(spark, sf_dir), catalogue(spark, sf_dir), "lake")

@@ -198,17 +198,18 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 UNION ALL SELECT 'length l_linestatus', count(*) FILTER (length(l_linestatus) > 1) FROM lineitem
 UNION ALL SELECT 'length instruction', count(*) FILTER (length(l_returnflag || l_linestatus || l_linenumber) > 2) FROM lineitem
 UNION ALL SELECT 'primary key l_orderkey, l_linenumber', count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) FROM lineitem
-UNION ALL SELECT 'foreign key l_partkey', count(*) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand = 'Brand#7'
+UNION ALL SELECT 'foreign key l_partkey', count(*) FROM lineitem WHERE NOT EXISTS (
+  SELECT 1 FROM part WHERE p_partkey = CASE WHEN l_quantity > 40 THEN -l_partkey ELSE l_partkey END)
 UNION ALL SELECT 'foreign key l_suppkey', count(*) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey)""")
 def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").withColumns({
         "reported": F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")),
         "instruction": F.concat("l_returnflag", "l_linestatus", "l_linenumber"),
+        "l_partkey": F.when(F.col("l_quantity") > 40, -F.col("l_partkey")).otherwise(F.col("l_partkey")),
     })
-    part = read(spark, sf_dir, "part").filter("p_brand <> 'Brand#7'")
     return quality.check_constraints(
         lines, not_null=["reported"], primary_key=_KEYS,
-        references={"l_partkey": (part, "p_partkey"), "l_suppkey": (read(spark, sf_dir, "supplier"), "s_suppkey")},
+        references={"l_partkey": (read(spark, sf_dir, "part"), "p_partkey"), "l_suppkey": (read(spark, sf_dir, "supplier"), "s_suppkey")},
         lengths={"l_linestatus": 1, "instruction": 2})
 
 

@@ -71,8 +71,11 @@ def save_bucketed(
     df: DataFrame, table: str, buckets: int, key: Sequence[str], sort: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
-    """A table bucketed on its join key, so that joins on it need no shuffle."""
-    writer = df.write.mode(mode).bucketBy(buckets, *key)
+    """A table bucketed on its join key, so that joins on it need no shuffle.
+
+    The rows are dealt out by bucket first, so a load writes one file a bucket.
+    """
+    writer = df.repartition(buckets, *key).write.mode(mode).bucketBy(buckets, *key)
     (writer.sortBy(*sort) if sort else writer).saveAsTable(table)
 
 
