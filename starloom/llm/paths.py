@@ -91,9 +91,12 @@ def _buckets(classes: DataFrame, runs: int) -> DataFrame:
     return reduce(DataFrame.unionByName, final).distinct()
 
 
-def _tiled(rows: DataFrame) -> DataFrame:
-    """Rows (path, id, ...) with the tasks (a, b), a <= b, that compare the tiles of a bucket."""
-    sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+def _tiled(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows (path, id, ...) with the tasks (a, b), a <= b, that compare the tiles of a bucket of ``members``.
+
+    The sizes are written first: joined as the grouping leaves them, a large bucket's rows could not be split.
+    """
+    sizes = store(members.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "bucket-sizes")
     out = rows.join(sizes, "path").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
     out = out.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
     out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -194,7 +197,7 @@ def _joined(docs: DataFrame, signed: DataFrame, classes: DataFrame, similarity:
     # A document has at most 2 ** LEVELS paths a run, two or so where buckets are small.
     paths = store(buckets.groupBy("id").agg(F.sort_array(F.collect_list("path")).alias("paths")), "own-paths")
     wide = buckets.join(paths, "id").join(classes.select("id", "least"), "id")
-    needed = store(grouped(_tiled(wide), ["path", "a", "b"], _candidates, "path long, id long").distinct(), "needed")
+    needed = store(grouped(_tiled(wide, buckets), ["path", "a", "b"], _candidates, "path long, id long").distinct(), "needed")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -206,7 +209,7 @@ def _joined(docs: DataFrame, signed: DataFrame, classes: DataFrame, similarity:
     shingled = store(texts.mapInPandas(sets, "id long, shingles binary"), "sets")
     rows = needed.join(paths, "id").join(classes.select("id", "n"), "id").join(shingled, "id")
     found = store(grouped(
-        _tiled(rows), ["path", "a", "b"], lambda batch: _verified(batch, similarity), "id long, links long, least long"), "links")
+        _tiled(rows, needed), ["path", "a", "b"], lambda batch: _verified(batch, similarity), "id long, links long, least long"), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     components = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
     named = classes.select("set", "id", "n").join(links, "id", "left").join(components, F.col("id") == F.col("node"), "left").select(
