@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from harness.registry import query
 from harness.tables import ARRIVALS, CATALOGUE, PLAY_LOG, arrivals, catalogue, play_log, read, scratch_database
@@ -196,6 +197,31 @@ def _write_music_sources(spark: SparkSession, sf_dir: str) -> str:
     return source
 
 
+def _content(columns: list[str], whole: tuple[str, ...] = ()) -> Column:
+    """A number that depends on the given columns of all rows, in any order; ``_content_sql`` is the same in SQL."""
+    def text(c: str) -> Column:
+        value = F.col(c).cast("timestamp") if c == "start_time" else F.col(c)
+        value = value.cast("long") if c in ("start_time", *whole) else value
+        return F.coalesce(value.cast("string"), F.lit("null"))
+
+    digits = F.substring(F.md5(F.concat_ws("|", *[text(c) for c in columns])), 1, 8)
+    return F.sum(F.conv(digits, 16, 10).cast("long"))
+
+
+def _content_sql(*values: str) -> str:
+    texts = ", ".join(f"coalesce(CAST({v} AS VARCHAR), 'null')" for v in values)
+    return f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) AS BIGINT)) AS BIGINT) AS content"
+
+
+def _contents(tables: dict[str, DataFrame], columns: dict[str, list[str]], whole: tuple[str, ...] = ()) -> DataFrame:
+    """Rows and contents of every table."""
+    reports = [
+        tables[t].agg(F.count("*").alias("row_count"), _content(c, whole).alias("content"))
+        .select(F.lit(t).alias("table_name"), "row_count", "content") for t, c in columns.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _row_counts(spark: SparkSession, names: dict[str, DataFrame]) -> DataFrame:
     counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in names.items()]
     report = counts[0]
@@ -222,48 +248,73 @@ def music_lake_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("music_lake_songplays", f"""WITH {_PLAYS}
 SELECT make_timestamp(p.ts * 1000) AS start_time, p.userId AS user_id, p.level, c.song_id, c.artist_id,
        p.sessionId AS session_id, p.location, p.userAgent AS user_agent,
-       CAST(year(make_timestamp(p.ts * 1000)) AS INTEGER) AS year, CAST(month(make_timestamp(p.ts * 1000)) AS INTEGER) AS month
+       CAST(year(make_timestamp(p.ts * 1000)) AS INTEGER) AS year, CAST(month(make_timestamp(p.ts * 1000)) AS INTEGER) AS month,
+       CAST(1 AS BIGINT) AS rows_with_this_id
 FROM plays p JOIN catalogue c ON p.song = c.title AND p.artist = c.artist_name""")
 def music_lake_songplays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loading one month again replaces its directories and leaves the others alone."""
+    """Loading one month again replaces its directories and leaves the others alone; ids stay unique."""
     source, target = _write_music_sources(spark, sf_dir), scratch_path(spark, "lake")
     paths = jobs.run_music_lake(spark, source, target)
     jobs.refresh_music_lake(spark, source, target, datetime(1997, 3, 1), logs="log_data/y={run.year}/m={run.month}")
-    plays = spark.read.parquet(paths["songplays"]).drop("songplay_id")
+    uses = F.count(F.lit(1)).over(Window.partitionBy("songplay_id"))
+    plays = spark.read.parquet(paths["songplays"]).withColumn("rows_with_this_id", uses).drop("songplay_id")
     return plays.withColumns({"user_id": F.col("user_id").cast("long"), "session_id": F.col("session_id").cast("long")})
 
 
+_WHOLE = "CAST(trunc({}) AS BIGINT)".format
+_SECONDS = "ts // 1000"
+
+
 @query("music_warehouse_load", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (
   SELECT *, CAST(trunc(length) AS BIGINT) AS whole FROM play_log WHERE page = 'NextSong'), fact AS (
-  SELECT ts FROM plays p LEFT JOIN catalogue c ON p.song = c.title AND p.artist = c.artist_name AND p.whole = CAST(trunc(c.duration) AS BIGINT))
-SELECT 'songs' AS table_name, count(*) AS row_count FROM (SELECT DISTINCT song_id, title, artist_id, year, trunc(duration) FROM catalogue)
-UNION ALL SELECT 'artists', count(*) FROM (SELECT DISTINCT artist_id, artist_name, artist_location, trunc(artist_latitude), trunc(artist_longitude) FROM catalogue)
-UNION ALL SELECT 'users', count(*) FROM (SELECT DISTINCT userId, firstName, lastName, gender, level FROM plays)
-UNION ALL SELECT 'time', count(*) FROM fact
-UNION ALL SELECT 'songplays', count(*) FROM fact""")
+  SELECT p.*, c.song_id, c.artist_id FROM plays p LEFT JOIN catalogue c ON p.song = c.title AND p.artist = c.artist_name AND p.whole = CAST(trunc(c.duration) AS BIGINT)),
+songs AS (SELECT DISTINCT song_id, title, artist_id, year, {_WHOLE("duration")} AS duration FROM catalogue),
+artists AS (SELECT DISTINCT artist_id, artist_name, artist_location, {_WHOLE("artist_latitude")} AS latitude, {_WHOLE("artist_longitude")} AS longitude FROM catalogue),
+users AS (SELECT DISTINCT userId, firstName, lastName, gender, level FROM plays)
+SELECT 'songs' AS table_name, count(*) AS row_count, {_content_sql("song_id", "title", "artist_id", "year", "duration")} FROM songs
+UNION ALL SELECT 'artists', count(*), {_content_sql("artist_id", "artist_name", "artist_location", "latitude", "longitude")} FROM artists
+UNION ALL SELECT 'users', count(*), {_content_sql("userId", "firstName", "lastName", "gender", "level")} FROM users
+UNION ALL SELECT 'time', count(*), {_content_sql(_SECONDS, "hour(make_timestamp(ts * 1000))", "week(make_timestamp(ts * 1000))", "year(make_timestamp(ts * 1000))")} FROM fact
+UNION ALL SELECT 'songplays', count(*), {_content_sql(_SECONDS, "userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent")} FROM fact""")
 def music_warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs: the second one restages and reloads, and adds no plays."""
     source, database = _write_music_sources(spark, sf_dir), scratch_database(spark)
-    config = jobs.WarehouseConfig(database, f"{source}/log_data", f"{source}/song_data", long_ids=True)
+    config = jobs.WarehouseConfig(database, f"{source}/log_data", f"{source}/song_data")
     for _ in range(2):
         jobs.run_music_warehouse(spark, config, datetime(1997, 3, 1))
-    return _row_counts(spark, {t: spark.table(f"{database}.`{t}`") for t in ("songs", "artists", "users", "time", "songplays")})
-
-
-@query("music_store_load", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (SELECT * FROM play_log WHERE page = 'NextSong')
-SELECT 'songs' AS table_name, count(DISTINCT song_id) AS row_count FROM catalogue
-UNION ALL SELECT 'artists', count(DISTINCT artist_id) FROM catalogue
-UNION ALL SELECT 'users', count(DISTINCT userId) FROM plays
-UNION ALL SELECT 'time', count(DISTINCT ts) FROM plays
-UNION ALL SELECT 'songplays', count(*) FROM plays""")
+    columns = {
+        "songs": ["song_id", "title", "artist_id", "year", "duration"],
+        "artists": ["artist_id", "name", "location", "latitude", "longitude"],
+        "users": ["user_id", "first_name", "last_name", "gender", "level"],
+        "time": ["start_time", "hour", "week", "year"],
+        "songplays": _PLAY_COLUMNS,
+    }
+    return _contents({t: spark.table(f"{database}.`{t}`") for t in columns}, columns, ("duration", "latitude", "longitude"))
+
+
+_PLAY_COLUMNS = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
+
+
+@query("music_store_load", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (SELECT * FROM play_log WHERE page = 'NextSong'),
+songs AS (SELECT DISTINCT song_id FROM catalogue), artists AS (SELECT DISTINCT artist_id FROM catalogue),
+users AS (SELECT DISTINCT userId FROM plays), times AS (SELECT DISTINCT ts FROM plays)
+SELECT 'songs' AS table_name, count(*) AS row_count, {_content_sql("song_id")} FROM songs
+UNION ALL SELECT 'artists', count(*), {_content_sql("artist_id")} FROM artists
+UNION ALL SELECT 'users', count(*), {_content_sql("userId")} FROM users
+UNION ALL SELECT 'time', count(*), {_content_sql(_SECONDS, "hour(make_timestamp(ts * 1000))", "week(make_timestamp(ts * 1000))", "year(make_timestamp(ts * 1000))")} FROM times
+UNION ALL SELECT 'songplays', count(*), {_content_sql(_SECONDS, "userId", "level", "sessionId", "location", "userAgent")} FROM plays""")
 def music_store_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same files; plays that are stored already are skipped."""
     source, database = _write_music_sources(spark, sf_dir), scratch_database(spark)
     config = jobs.StoreConfig(
-        database, f"{source}/song_data", f"{source}/log_data", plays_key=("start_time", "user_id", "session_id"), long_ids=True)
+        database, f"{source}/song_data", f"{source}/log_data", plays_key=("start_time", "user_id", "session_id"))
     for _ in range(2):
         jobs.run_music_store(spark, config)
-    return _row_counts(spark, {t: spark.table(f"{database}.`{t}`") for t in ("songs", "artists", "users", "time", "songplays")})
+    columns = {
+        "songs": ["song_id"], "artists": ["artist_id"], "users": ["user_id"], "time": ["start_time", "hour", "week", "year"],
+        "songplays": [c for c in _PLAY_COLUMNS if c not in ("song_id", "artist_id")],
+    }
+    return _contents({t: spark.table(f"{database}.`{t}`") for t in columns}, columns)
 
 
 @query("travel_lake_load", f"""WITH {ARRIVALS}

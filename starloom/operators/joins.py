@@ -63,7 +63,7 @@ def lookup_join(
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     if how == "left_anti" and not unique:
-        lookup, unique = lookup.select(*keys).distinct(), True
+        return rows.join(lookup.select(*keys), keys, how)
     if fits_broadcast(lookup):
         return rows.join(lookup, keys, how)
     if unique:

@@ -117,6 +117,20 @@ def _declared(tables: dict[str, T.StructType], long_ids: bool) -> dict[str, T.St
     return {t: schemas.with_long_ids(s) for t, s in tables.items()} if long_ids else tables
 
 
+def _written(
+    spark: SparkSession, tables: dict[str, DataFrame], declared: dict[str, T.StructType],
+) -> dict[str, DataFrame]:
+    """The rows, named and typed as declared, each computed once and kept in the scratch folder."""
+    written: dict[str, DataFrame] = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        fitted = df.select([F.col(f"`{c}`").cast(f.dataType).alias(f.name) for c, f in zip(df.columns, declared[name])])
+        written[name] = materialize(fitted, name)
+
+    run_together(spark, [lambda name=name, df=df: write(name, df) for name, df in tables.items()])
+    return written
+
+
 def _next_id(songplays: DataFrame) -> int:
     """The id after the largest stored one."""
     return (songplays.agg(F.max("songplay_id")).first()[0] or 0) + 1
@@ -144,8 +158,8 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
     """Songs and artists first, then time, users and songplays; existing keys are respected.
 
     Songs, artists and times already stored stay as they are, users get the level of their
-    latest play, plays are appended. Before that the declared constraints are checked on the
-    dimensions and on the new plays, so the check does not grow with the stored fact. Returns
+    latest play, plays are appended. Before anything is stored, the declared constraints are checked on the
+    dimensions as they will be and on the new plays, so the check does not grow with the stored fact. Returns
     the violations per constraint; raises if there are any.
     """
     declared = _declared(schemas.STORE, config.long_ids)
@@ -153,22 +167,23 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
     names = {t: f"{config.database}.`{t}`" for t in declared}
     events_schema = schemas.with_long_ids(schemas.STAGING_EVENTS) if config.long_ids else schemas.STAGING_EVENTS
 
-    def add_absent(table: str, rows: DataFrame, key: str, within: bool = False) -> None:
+    def absent(table: str, rows: DataFrame, key: str, within: bool = False) -> DataFrame:
         stored = spark.table(names[table])
         stored = loads.stored_within(rows, stored, key) if within else stored
-        loads.append(insert_if_absent(rows, stored, [key]), names[table])
+        return insert_if_absent(rows, stored, [key])
 
     with scratch_tables(spark):
         songs = materialize(staging.load_json(
             spark, config.song_path, schemas.STAGING_SONGS, first_only=config.first_song_per_file), "songs")
         events = materialize(music.only_plays(staging.load_json(spark, config.log_path, events_schema)), "plays")
-        run_together(spark, [
-            lambda: add_absent("songs", music.build_songs(songs, "none"), "song_id"),
-            lambda: add_absent("artists", music.build_artists(songs, "none"), "artist_id"),
-            lambda: add_absent("time", music.build_time(music.play_times(events)), "start_time", within=True),
-        ])
-        loads.replace_contents(music.build_users(events, existing=spark.table(names["users"])), names["users"])
-        catalogue = music.catalogue_of(spark.table(names["songs"]), spark.table(names["artists"]))
+        added = {
+            "songs": absent("songs", music.build_songs(songs, "none"), "song_id"),
+            "artists": absent("artists", music.build_artists(songs, "none"), "artist_id"),
+            "time": absent("time", music.build_time(music.play_times(events)), "start_time", within=True),
+        }
+        new = _written(spark, added | {"users": music.build_users(events, existing=spark.table(names["users"]))}, declared)
+        after = {t: spark.table(names[t]).unionByName(new[t]) for t in added} | {"users": new["users"]}
+        catalogue = music.catalogue_of(after["songs"], after["artists"])
         plays = music.build_songplays(events, catalogue, ids=None)
         if config.plays_key:
             stored = spark.table(names["songplays"])
@@ -177,10 +192,11 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
             plays = append_new(plays, stored, config.plays_key)
         numbered = surrogate_id(plays, "songplay_id", dense=True, order=["start_time"], start=_next_id(spark.table(names["songplays"])))
         batch = numbered.select(*declared["songplays"].fieldNames())
-        checked = {t: spark.table(n) for t, n in names.items()} | {"songplays": batch}
-        found = quality.check_declared(checked, schemas.CONSTRAINTS)
+        found = quality.check_declared(after | {"songplays": batch}, schemas.CONSTRAINTS)
         report = spark.createDataFrame(found.collect(), found.schema)  # one row per constraint
         quality.enforce(report)
+        run_together(spark, [lambda t=t: loads.append(new[t], names[t]) for t in added])
+        loads.restage(new["users"], names["users"])
         loads.append(batch, names["songplays"])
     return report
 
@@ -212,8 +228,10 @@ class WarehouseConfig:
 
 
 def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: datetime) -> DataFrame:
-    """Stage events and songs, load the fact, then the dimensions, then check every table.
+    """Stage events and songs, check the batch, load the fact, then the dimensions, then check every table.
 
+    The batch is computed once, into the scratch folder; a value its table does not allow (null, too long) stops the
+    load before anything but staging has changed. Times that are derived from the fact need no check of their own.
     Returns the check results; raises if a table is empty.
     """
     if config.fact_mode not in ("append", "append-new"):
@@ -246,6 +264,11 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
     tables = music.build_star(events, songs, variant, first_id)
     modes = dict.fromkeys(("songs", "users", "artists", "time"), config.dimension_mode)
     with scratch_tables(spark):
+        early = [t for t in tables if t in ("songs", "users", "artists", "songplays") or t == "time" and variant.time_distinct]
+        tables |= _written(spark, {t: tables[t] for t in early}, declared)
+        rules = schemas.WAREHOUSE_CONSTRAINTS if config.variant == "scheduled" else schemas.COUNTED_CONSTRAINTS
+        batch = {t: tables[t] for t in early} | {"staging_events": events}
+        quality.enforce(quality.check_declared(batch, {t: r for t, r in rules.items() if t in batch}))
         plays, stored, times = tables["songplays"], spark.table(name("songplays")), spark.table(name("time"))
         add_times = config.incremental_time and stored.count() == times.count()
         if config.fact_mode == "append-new":

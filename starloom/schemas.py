@@ -109,6 +109,28 @@ CONSTRAINTS = {
     },
 }
 
+# The columns the warehouses declare NOT NULL. Their keys are not enforced there, so only null values
+# and over-long text stop a load.
+COUNTED_CONSTRAINTS = {
+    "staging_events": {"not_null": ["sessionId", "ts"]},
+    "users": {"not_null": ["user_id"]},
+    "songs": {"not_null": ["song_id", "title", "artist_id", "year", "duration"]},
+    "artists": {"not_null": ["artist_id"], "lengths": {"name": 500, "location": 500}},
+    "time": {"not_null": ["start_time"]},
+    "songplays": {"not_null": ["start_time", "user_id", "level", "song_id", "artist_id", "session_id"]},
+}
+WAREHOUSE_CONSTRAINTS = {
+    "users": {"not_null": ["user_id"]},
+    "songs": {"not_null": ["song_id"]},
+    "artists": {"not_null": ["artist_id"]},
+    "time": {"not_null": ["start_time"]},
+    "songplays": {"not_null": ["songplay_id", "start_time", "user_id"]},
+}
+# Every text column of the scheduled warehouse holds this many characters.
+WAREHOUSE_TEXT = 256
+for _name, _rules in WAREHOUSE_CONSTRAINTS.items():
+    _rules["lengths"] = {f.name: WAREHOUSE_TEXT for f in WAREHOUSE[_name] if f.dataType == STRING}
+
 # --- music: event CSV and query tables ------------------------------------------------------
 EVENT_CSV = table(
     artist=STRING, auth=STRING, firstName=STRING, gender=STRING, itemInSession=STRING,

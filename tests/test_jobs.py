@@ -151,6 +151,25 @@ def test_warehouse_fails_on_an_empty_table(spark, source, tmp_path):
     spark.sql("DROP DATABASE wh_empty CASCADE")
 
 
+def test_loads_stop_before_they_store_what_a_table_does_not_allow(spark, source, tmp_path):
+    """A play without a user, and a title beyond the declared length: no table but staging has changed."""
+    nobody = event(SUNDAY, None, 60, 0, "Duo", "Tune", 1.0)
+    write_json(source / "log_data" / "2018" / "12" / "e.json", STAGING_EVENTS, [*EVENTS[5:], nobody])
+    config = jobs.WarehouseConfig("wh_stop", f"{source}/log_data", f"{source}/song_data", location=str(tmp_path / "wh"))
+    counted = replace(config, database="wh_stop2", variant="warehouse", fact_mode="append", location=str(tmp_path / "wh2"))
+    store = jobs.StoreConfig("st_stop", f"{source}/song_data", f"{source}/log_data/2018/11", location=str(tmp_path / "st"))
+    for load in (config, counted):
+        with pytest.raises(QualityError, match="not null user_id"):
+            jobs.run_music_warehouse(spark, load, datetime(2018, 12, 31))
+    long = dict(zip(STAGING_SONGS.fieldNames(), SONGS[0])) | {"song_id": "S9", "title": "t" * 300}
+    write_json(source / "song_data" / "A" / "9" / "s.json", STAGING_SONGS, [tuple(long.values())])
+    with pytest.raises(QualityError, match="length title"):
+        jobs.run_music_store(spark, store)
+    for database in ("wh_stop", "wh_stop2", "st_stop"):
+        assert all(spark.table(f"{database}.`{t}`").isEmpty() for t in FULL)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def travel_sources(spark, tmp_path, airports):
     (tmp_path / "labels.sas").write_text("header\n  582 =  'MEXICO'\n  689 =  'BRAZIL'\n")
     (tmp_path / "airports.csv").write_text("h," * 11 + "h\n" + airports)
