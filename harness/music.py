@@ -11,7 +11,7 @@ from starloom.functions.keys import hash_key
 from starloom.operators.conflicts import keep_first
 from starloom.operators.quality import check_declared
 from starloom.plans import music, query_tables, reports
-from starloom.schemas import CONSTRAINTS, LISTENERS_BY_SONG, PLAYS_BY_SESSION, PLAYS_BY_USER, SCALE0, with_long_ids
+from starloom.schemas import CONSTRAINTS, LISTENERS_BY_SONG, PLAYS_BY_SESSION, PLAYS_BY_USER, SCALE0
 from starloom.session import scratch_path
 
 # --- time dimension -------------------------------------------------------------------------
@@ -285,11 +285,10 @@ def active_names_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- query tables ---------------------------------------------------------------------------
-# Order keys need 64 bits beyond two billion orders.
 _SCHEMAS = {
-    "plays_by_session": with_long_ids(PLAYS_BY_SESSION),
-    "plays_by_user": with_long_ids(PLAYS_BY_USER),
-    "listeners_by_song": with_long_ids(LISTENERS_BY_SONG),
+    "plays_by_session": PLAYS_BY_SESSION,
+    "plays_by_user": PLAYS_BY_USER,
+    "listeners_by_song": LISTENERS_BY_SONG,
 }
 
 

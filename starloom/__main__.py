@@ -48,7 +48,6 @@ def _parser() -> argparse.ArgumentParser:
 
     for load in (store, warehouse):
         load.add_argument("--location")
-        load.add_argument("--long-ids", action="store_true")
     return parser
 
 
@@ -67,11 +66,11 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> object:
     if args.load == "music-store":
         return jobs.run_music_store(spark, jobs.StoreConfig(
             args.database, args.song_path, args.log_path, _columns(args.plays_key), args.first_song_per_file,
-            args.location, args.long_ids))
+            args.location))
     if args.load == "music-warehouse":
         return jobs.run_music_warehouse(spark, jobs.WarehouseConfig(
             args.database, args.log_path, args.song_path, args.json_paths, args.fact_mode, args.dimension_mode,
-            args.location, args.long_ids, args.variant, args.incremental_time), args.run or datetime.now())
+            args.location, args.variant, args.incremental_time), args.run or datetime.now())
     return jobs.run_travel_lake(spark, jobs.TravelSources(
         args.labels, args.airports, args.demographics, args.immigration, args.immigration_format), args.target)
 

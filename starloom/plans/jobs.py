@@ -113,10 +113,6 @@ def _refresh_lake(
     return paths
 
 
-def _declared(tables: dict[str, T.StructType], long_ids: bool) -> dict[str, T.StructType]:
-    return {t: schemas.with_long_ids(s) for t, s in tables.items()} if long_ids else tables
-
-
 def _written(
     spark: SparkSession, tables: dict[str, DataFrame], declared: dict[str, T.StructType],
 ) -> dict[str, DataFrame]:
@@ -151,7 +147,6 @@ class StoreConfig:
     plays_key: tuple[str, ...] = ()
     first_song_per_file: bool = False
     location: str | None = None
-    long_ids: bool = False
 
 
 def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
@@ -162,10 +157,9 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
     dimensions as they will be and on the new plays, so the check does not grow with the stored fact. Returns
     the violations per constraint; raises if there are any.
     """
-    declared = _declared(schemas.STORE, config.long_ids)
+    declared = schemas.STORE
     loads.create_tables(spark, config.database, declared, config.location)
     names = {t: f"{config.database}.`{t}`" for t in declared}
-    events_schema = schemas.with_long_ids(schemas.STAGING_EVENTS) if config.long_ids else schemas.STAGING_EVENTS
 
     def absent(table: str, rows: DataFrame, key: str, within: bool = False) -> DataFrame:
         stored = spark.table(names[table])
@@ -175,7 +169,7 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
     with scratch_tables(spark):
         songs = materialize(staging.load_json(
             spark, config.song_path, schemas.STAGING_SONGS, first_only=config.first_song_per_file), "songs")
-        events = materialize(music.only_plays(staging.load_json(spark, config.log_path, events_schema)), "plays")
+        events = materialize(music.only_plays(staging.load_json(spark, config.log_path, schemas.STAGING_EVENTS)), "plays")
         added = {
             "songs": absent("songs", music.build_songs(songs, "none"), "song_id"),
             "artists": absent("artists", music.build_artists(songs, "none"), "artist_id"),
@@ -211,8 +205,7 @@ class WarehouseConfig:
     nothing, needs hashed ids) or ``append`` (a rerun appends the plays again).
     ``incremental_time`` adds the new plays' times instead of deriving the time table from every
     stored play on each run; the outcome is the same, and if an earlier run broke off between
-    the two tables, the time table is derived anew. ``long_ids`` widens user and session ids to
-    64 bits.
+    the two tables, the time table is derived anew.
     """
 
     database: str
@@ -222,7 +215,6 @@ class WarehouseConfig:
     fact_mode: str = "append-new"
     dimension_mode: str = "delete-load"
     location: str | None = None
-    long_ids: bool = False
     variant: str = "scheduled"
     incremental_time: bool = False
 
@@ -238,7 +230,7 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
         raise ValueError(f"unknown fact mode {config.fact_mode!r}")
     if config.variant != "scheduled" and (config.fact_mode == "append-new" or config.incremental_time):
         raise ValueError("ids that count up differ on every run; use fact_mode='append', incremental_time=False")
-    declared = _declared(schemas.WAREHOUSE if config.variant == "scheduled" else schemas.COUNTED_WAREHOUSE, config.long_ids)
+    declared = schemas.WAREHOUSE if config.variant == "scheduled" else schemas.COUNTED_WAREHOUSE
     loads.create_tables(spark, config.database, declared, config.location)
 
     def name(table: str) -> str:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-STRING, INT, LONG, SHORT, DOUBLE = (
-    T.StringType(), T.IntegerType(), T.LongType(), T.ShortType(), T.DoubleType(),
-)
+STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 TIMESTAMP = T.TimestampNTZType()
 NUMERIC = T.DecimalType(18, 5)
 SCALE0 = T.DecimalType(18, 0)
@@ -29,12 +27,6 @@ def with_scale0(schema: T.StructType) -> T.StructType:
     ])
 
 
-def with_long_ids(schema: T.StructType) -> T.StructType:
-    """The same table for sources whose 32-bit user and session ids would overflow."""
-    ids = ("userId", "sessionId", "user_id", "session_id")
-    return T.StructType([T.StructField(f.name, LONG if f.name in ids else f.dataType) for f in schema])
-
-
 # --- music: staging -------------------------------------------------------------------------
 STAGING_EVENTS = table(
     artist=STRING, auth=STRING, firstName=STRING, gender=STRING, itemInSession=INT,

@@ -171,4 +171,4 @@ def test_results_do_not_depend_on_the_join_strategy(conf, events, songs):
 def test_warehouse_schemas():
     assert [str(f.dataType) for f in schemas.WAREHOUSE["songs"] if f.name == "duration"] == [str(SCALE0)]
     assert list(schemas.WAREHOUSE)[-1] == "songplays"
-    assert schemas.with_long_ids(schemas.USERS)["user_id"].dataType == schemas.LONG
+    assert schemas.USERS["user_id"].dataType == schemas.LONG
