@@ -6,7 +6,8 @@ goes to both sides. Vectors are compared within leaves only; several trees make
 Exact copies are one vector from the start. Groups of vectors within half the linking angle of one of their own (a
 ball) are all linked with each other, so their pairs need no comparison; such groups, found on a bounded sample, do not
 enter the forest, and only what lies near a ball is compared with its members, in tiles. So a third of all
-vectors in one group costs a pass, not all its pairs.
+vectors in one such group costs a pass, not all its pairs. Looser groups, within the whole linking angle of their mean,
+do not enter the forest either, as it would cut through them: all their pairs are compared, in tiles.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from .registry import query
 SAMPLE = 2_048  # vectors that balls and the first levels of all trees are fitted on, the first in hash order
 LEAST_BALL = 0.01  # share of the sample that makes a ball worth setting apart
 MARGIN = 1e-9
+TILE = 8_192  # vectors of a loose group on each side of a task at most
 BAND = 0.05  # of a node's vectors on either side of a split that go both ways
 
 
@@ -40,18 +42,43 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def balls(sample: np.ndarray, threshold: float) -> np.ndarray:
-    """Centres of balls that hold ``LEAST_BALL`` of the sample, each less the earlier ones; at most 1 / LEAST_BALL."""
+    """Centres of balls that hold ``LEAST_BALL`` of the sample, each less the earlier ones; at most 1 / LEAST_BALL.
+
+    A centre is a vector of the sample or the mean of those linked with one, whichever ball holds more.
+    """
     if not len(sample):
         return sample
-    near = _cosines(sample, sample) >= _half(threshold)
+    cosines = _cosines(sample, sample)
     open_, centres = np.ones(len(sample), bool), []
     while True:
-        sizes = (near & open_).sum(1)
-        best = int(sizes.argmax())
-        if sizes[best] < max(16, LEAST_BALL * len(sample)):
-            return sample[centres]
-        centres.append(best)
-        open_ &= ~near[best]
+        tight, wide = (cosines >= _half(threshold)) & open_, (cosines >= threshold) & open_
+        options = [sample[int(tight.sum(1).argmax())], _mean(sample[wide[int(wide.sum(1).argmax())]])]
+        found = [(sample @ c >= _half(threshold)) & open_ for c in options]
+        best = int(np.argmax([f.sum() for f in found]))
+        if found[best].sum() < max(16, LEAST_BALL * len(sample)):
+            return np.array(centres).reshape(-1, sample.shape[1])
+        centres.append(options[best])
+        open_ &= ~found[best]
+
+
+def loose(sample: np.ndarray, threshold: float, least: float) -> np.ndarray:
+    """Centres of groups of at least ``least`` vectors within the linking angle of their mean, each less the earlier ones."""
+    linked = _cosines(sample, sample) >= threshold
+    open_, centres = np.ones(len(sample), bool), []
+    while open_.any():
+        around = linked & open_
+        best = int(around.sum(1).argmax())
+        if around[best].sum() < least:
+            break
+        centres.append(_mean(sample[around[best]]))
+        open_ &= ~(around[best] | (sample @ centres[-1] >= threshold))
+    return np.array(centres).reshape(-1, sample.shape[1])
+
+
+def _mean(vectors: np.ndarray) -> np.ndarray:
+    """Of unit length; the vectors are linked with one of them or none, so they do not cancel out."""
+    total = vectors.sum(axis=0)
+    return total / max(np.linalg.norm(total), np.finfo(float).tiny)
 
 
 def _half(threshold: float) -> float:
@@ -59,9 +86,9 @@ def _half(threshold: float) -> float:
     return float(np.cos(np.arccos(threshold) / 2)) + MARGIN
 
 
-def _reach(threshold: float) -> float:
-    """A vector further from a centre than this is linked with none of its ball."""
-    return float(np.cos(min(np.pi, 1.5 * np.arccos(threshold)))) - MARGIN
+def _reach(threshold: float, radius: float = 0.5) -> float:
+    """A vector further from a centre than this is linked with none within ``radius`` linking angles of it."""
+    return float(np.cos(min(np.pi, (1 + radius) * np.arccos(threshold)))) - MARGIN
 
 
 def grow(sample: np.ndarray, levels: int, seed: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -118,6 +145,37 @@ def _least_reachable(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _met(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which vectors of both sides are linked, found in blocks."""
+    linked = np.empty((len(x), len(y)), bool)
+    for at in range(0, len(x), 1_024):
+        linked[at:at + 1_024] = _cosines(x[at:at + 1_024], y) >= threshold
+    return linked
+
+
+def _weighed(linked: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Rows linked with each vector of the first side: copies of the other side's vectors, exact below 2**53."""
+    blocks = [linked[at:at + 1_024].astype(np.float64) @ n.astype(np.float64) for at in range(0, len(linked), 1_024)]
+    return np.concatenate(blocks).astype(np.int64)
+
+
+def _least_across(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the ids of both sides the least id reached by links between the sides; their own where there are none."""
+    least_x, least_y, open_x, open_y = x.copy(), y.copy(), linked.any(1), linked.any(0)
+    while open_x.any():
+        new_x, all_x, all_y = np.array([open_x.argmax()]), [], []
+        while len(new_x):
+            open_x[new_x] = False
+            all_x.append(new_x)
+            new_y = np.flatnonzero(linked[new_x].any(0) & open_y)
+            open_y[new_y] = False
+            all_y.append(new_y)
+            new_x = np.flatnonzero(linked[:, new_y].any(1) & open_x) if len(new_y) else new_y
+        in_x, in_y = np.concatenate(all_x), np.concatenate(all_y)
+        least_x[in_x] = least_y[in_y] = min(x[in_x].min(), y[in_y].min())
+    return least_x, least_y
+
+
 def _key(leaf: int, tree: int, parent: int = 0) -> int:
     """A leaf's name: mixed from its tree, the node it was split from, and its number there."""
     x = (parent * 0x9E3779B97F4A7C15 + tree * 0xC2B2AE3D27D4EB4F + leaf * 0x165667B19E3779F9 + 0x27D4EB2F165667C5) & (2**64 - 1)
@@ -169,18 +227,23 @@ def _by_width(classes: DataFrame, threshold: float, trees: int, leaf: int, seed:
     count = classes.count()
     head = classes.orderBy(F.xxhash64(F.lit(seed), "h"), "id").limit(SAMPLE).select("v").toPandas()["v"]
     sample = _unit(pd.Series([np.asarray(v, np.float64).tobytes() for v in head]))
-    centres = balls(sample, threshold)
-
-    # --- balls: members (core) and what lies within their reach (shell) ---
+    tight = balls(sample, threshold)
+    free = sample[_cosines(sample, tight).max(axis=1, initial=-1) < _half(threshold)]
+    centres = np.concatenate([tight, loose(free, threshold, max(16, LEAST_BALL * len(sample)))]) if len(sample) else sample
+    n_tight = len(tight)
+    inner = np.where(np.arange(len(centres)) < n_tight, _half(threshold), threshold)
+    outer = np.where(np.arange(len(centres)) < n_tight, _reach(threshold), _reach(threshold, 1.0))
+
+    # --- balls, then loose groups: members (core) and what lies within their reach (shell) ---
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             data = [np.asarray(v, np.float64).tobytes() for v in batch["v"]]
             core, near = np.full(len(batch), -1), [[] for _ in data]
             if len(centres) and len(batch):
                 close = _cosines(_unit(pd.Series(data)), centres)
-                inside = close >= _half(threshold)
+                inside = close >= inner
                 core = np.where(inside.any(1), inside.argmax(1), -1)
-                for i, ball in zip(*np.nonzero(close >= _reach(threshold))):
+                for i, ball in zip(*np.nonzero(close >= outer)):
                     if ball != core[i]:
                         near[i].append(int(ball))
             yield pd.DataFrame({"id": batch["id"], "n": batch["n"], "v": data, "core": core, "near": near})
@@ -191,10 +254,13 @@ def _by_width(classes: DataFrame, threshold: float, trees: int, leaf: int, seed:
     sizes = {r["core"]: r for r in cores.groupBy("core").agg(
         F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"), F.min("id").alias("least")).collect()}  # at most 1 / LEAST_BALL rows
     if sizes:
-        table = spark.createDataFrame([(k, r["rows"], r["least"]) for k, r in sizes.items()], "core int, rows long, least long")
+        table = spark.createDataFrame([(k, r["rows"], r["least"]) for k, r in sizes.items() if k < n_tight], "core int, rows long, least long")
         joined = cores.select("id", "n", "core").join(F.broadcast(table), "core")
         links.append(joined.select("id", (F.col("rows") - F.col("n")).alias("links")))
         edges.append(joined.select(F.col("id").alias("u"), F.col("least").alias("v")))
+        spread_out = {k: r["classes"] for k, r in sizes.items() if k >= n_tight}
+        if spread_out:
+            _compare_loose(cores, spread_out, threshold, 4 * leaf, links, edges)
         shell = settled.select("id", "n", "v", F.col("core").alias("own"), F.explode("near").alias("core"))
         around = {r["core"]: r["count"] for r in shell.groupBy("core").count().collect()}
         if around:
@@ -206,7 +272,7 @@ def _by_width(classes: DataFrame, threshold: float, trees: int, leaf: int, seed:
     if left < 2:
         return
     if len(centres):
-        sample = sample[_cosines(sample, centres).max(axis=1) < _half(threshold)]
+        sample = sample[(_cosines(sample, centres) < inner).all(axis=1)]
     levels = max(0, min(int(np.ceil(np.log(max(1.0, left / leaf)) / -np.log(0.5 + BAND))), int(np.log2(max(1, len(sample) / 16)))))
     forest = [grow(sample, levels, seed * 1000 + t) for t in range(trees)]
 
@@ -316,7 +382,7 @@ def _compare_leaves(placed: DataFrame, rest: DataFrame, threshold: float, tile:
 
 
 def _compare_balls(cores: DataFrame, shell: DataFrame, sizes: dict[int, tuple[int, int]], threshold: float, leaf: int, links: list, edges: list) -> None:
-    """Links between balls' members and the vectors near them, in tiles of both.
+    """Links between members of balls or loose groups and the vectors near them, in tiles of both.
 
     A pair of members of two balls is met from both; it counts in the ball of the lower number.
     """
@@ -327,19 +393,16 @@ def _compare_balls(cores: DataFrame, shell: DataFrame, sizes: dict[int, tuple[in
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
     inside = cores.select("id", "n", "v", "core").join(F.broadcast(table), "core").withColumn("a", place("mine")).withColumn("b", every("theirs"))
     outside = shell.join(F.broadcast(table), "core").withColumn("b", place("theirs")).withColumn("a", every("mine"))
+    outside = outside.toDF(*outside.columns)  # both sides come from one table; new names keep their columns apart
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame({"id": [], "links": [], "least": []}).astype("int64")
         if not len(x) or not len(y):
             return out
-        linked = _cosines(_unit(x["v"]), _unit(y["v"])) >= threshold
+        linked = _met(_unit(x["v"]), _unit(y["v"]), threshold)
         own, ball = y["own"].to_numpy(), x["core"].iloc[0]
         linked &= ((own < 0) | (own > ball))[None, :]
-        ids = x["id"].to_numpy(np.int64)
-        least = np.where(linked, ids[:, None], np.iinfo(np.int64).max).min(axis=0)
-        mine = pd.DataFrame({"id": ids, "links": linked @ y["n"].to_numpy(np.int64), "least": ids})
-        theirs = pd.DataFrame({"id": y["id"].to_numpy(np.int64), "links": x["n"].to_numpy(np.int64) @ linked, "least": least})
-        out = pd.concat([mine, theirs])
+        out = _both(x, y, linked)
         return out[out["links"] > 0]
 
     met = store(inside.groupBy("core", "a", "b").cogroup(outside.groupBy("core", "a", "b")).applyInPandas(
@@ -348,6 +411,40 @@ def _compare_balls(cores: DataFrame, shell: DataFrame, sizes: dict[int, tuple[in
     edges.append(met.select(F.col("id").alias("u"), F.col("least").alias("v")))
 
 
+def _both(x: pd.DataFrame, y: pd.DataFrame, linked: np.ndarray) -> pd.DataFrame:
+    """id, links and least reachable id for the rows of both sides."""
+    ids, others = x["id"].to_numpy(np.int64), y["id"].to_numpy(np.int64)
+    least, least_other = _least_across(linked, ids, others)
+    mine = pd.DataFrame({"id": ids, "links": _weighed(linked, y["n"].to_numpy()), "least": least})
+    return pd.concat([mine, pd.DataFrame({"id": others, "links": _weighed(linked.T, x["n"].to_numpy()), "least": least_other})])
+
+
+def _compare_loose(cores: DataFrame, sizes: dict[int, int], threshold: float, tile: int, links: list, edges: list) -> None:
+    """Links within loose groups: all pairs, in tasks of two tiles. Up to 16 tiles are small, then they grow to ``TILE``."""
+    parts = [(k, max(min(16, -(-n // tile)), -(-n // TILE))) for k, n in sizes.items()]
+    table = cores.sparkSession.createDataFrame(parts, "core int, tiles int")
+    rows = cores.select("id", "n", "v", "core").join(F.broadcast(table), "core").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.withColumn("a", F.least("tile", "other")).withColumn("b", F.greatest("tile", "other")).drop("tiles", "other")
+
+    def meet(batch: pd.DataFrame) -> pd.DataFrame:
+        first = batch["tile"].to_numpy() == batch["a"].iloc[0]
+        x, v = batch[first], _unit(batch["v"])
+        if batch["a"].iloc[0] == batch["b"].iloc[0]:
+            linked = _met(v, v, threshold)
+            np.fill_diagonal(linked, False)
+            out = _both(x, x, linked).iloc[:len(x)]
+        else:
+            if first.all() or not first.any():
+                return pd.DataFrame({"id": [], "links": [], "least": []}).astype("int64")
+            out = _both(x, batch[~first], _met(v[first], v[~first], threshold))
+        return out[out["links"] > 0]
+
+    met = store(rows.groupBy("core", "a", "b").applyInPandas(meet, "id long, links long, least long"), "loose-links")
+    links.append(met.select("id", "links"))
+    edges.append(met.select(F.col("id").alias("u"), F.col("least").alias("v")))
+
+
 OP4_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings

@@ -147,6 +147,31 @@ def test_forest_recall_and_odd_rows(spark):
     assert out[5003]["component_id"] == out[700]["component_id"]
 
 
+def grouped_vectors(rng, others, groups):
+    """Random directions, and groups (size, cosine): vectors that have about that cosine with each other."""
+    parts = [rng.normal(size=(others, 64))]
+    for size, cosine in groups:
+        centre, noise = rng.normal(size=64), rng.normal(size=(size, 64))
+        parts.append(centre / np.linalg.norm(centre) + np.sqrt(1 / cosine - 1) * noise / np.linalg.norm(noise, axis=1)[:, None])
+    every = np.vstack(parts)
+    return every / np.linalg.norm(every, axis=1)[:, None]
+
+
+def forest_links(spark, every, **options):
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id long, embedding array<double>")
+    out = sorted(forest.near_vectors(rows, **options).collect())
+    return np.array([r["n_links"] for r in out]), np.array([r["component_id"] for r in out])
+
+
+@pytest.mark.parametrize("cosine", [0.91, 0.93, 0.95, 0.97])
+def test_forest_links_all_of_a_large_loose_group(spark, cosine):
+    every = grouped_vectors(np.random.default_rng(4), 6000, [(3000, cosine)])
+    links = (every @ every.T >= 0.9).sum(1) - 1
+    found, component = forest_links(spark, every, leaf=20)
+    assert links[6000:].mean() > 1500 and (found[6000:] == links[6000:]).all()
+    assert (found <= links).all() and (component[6000:][links[6000:] > 0] == component[6000:].min()).all()
+
+
 # --- 5: texts ---
 def test_joins_planted_copies(spark, odd):
     rng = np.random.default_rng(4)
