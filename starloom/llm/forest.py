@@ -7,7 +7,8 @@ Exact copies are one vector from the start. Groups of vectors within half the li
 ball) are all linked with each other, so their pairs need no comparison; such groups, found on a bounded sample, do not
 enter the forest, and only what lies near a ball is compared with its members, in tiles. So a third of all
 vectors in one such group costs a pass, not all its pairs. Looser groups, within the whole linking angle of their mean,
-do not enter the forest either, as it would cut through them: all their pairs are compared, in tiles.
+do not enter the forest either, as it would cut through them: all their pairs are compared, in tiles. What the sample is
+too small to show is looked for again in every leaf that is too large, on the leaf's own sample.
 """
 
 from __future__ import annotations
@@ -295,34 +296,53 @@ def _by_width(classes: DataFrame, threshold: float, trees: int, leaf: int, seed:
         if large.isEmpty():
             break
         finished.append(placed.join(large, "leaf", "left_anti"))
-        placed, stuck = _split(placed.join(large, "leaf"), leaf)
+        placed, stuck = _split(placed.join(large, "leaf"), leaf, threshold)
         finished.append(stuck)
     finished.append(placed)
     _compare_leaves(reduce(DataFrame.unionByName, finished), rest, threshold, 4 * leaf, links, edges)
 
 
-def _split(placed: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
-    """Split large leaves again, on a hashed sample of each: (rows in their new leaves, rows of leaves that cannot be split)."""
+def _split(placed: DataFrame, leaf: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Split large leaves again, on a hashed sample of each: (rows in their new leaves, rows of leaves that are done).
+
+    Groups that the sample shows become leaves of their own with all that is near them, and are done; their members
+    are not split. A leaf is done as a whole if it cannot be split or if its groups overlap so much that comparing them
+    costs more than comparing the leaf.
+    """
     share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("size"))
     chosen = placed.filter(F.pmod(F.xxhash64("leaf", "id"), F.lit(1 << 20)) < share * (1 << 20))
 
     def fit(key, batch: pd.DataFrame) -> pd.DataFrame:
         name, size = int(batch["leaf"].iloc[0]), int(batch["size"].iloc[0])
-        levels = int(np.ceil(np.log(size / leaf) / -np.log(0.5 + BAND)))
-        tree = grow(_unit(batch["v"]), max(1, min(levels, int(np.log2(max(2, len(batch) / 16))))), abs(name))
-        return pd.DataFrame({"leaf": [name], "low": [tree[1].tobytes()], "high": [tree[2].tobytes()]})
+        sample = _unit(batch["v"])
+        centres = loose(sample, threshold, max(16, LEAST_BALL * len(sample)))
+        close = _cosines(sample, centres)
+        if ((close >= _reach(threshold, 1.0)).mean(axis=0) ** 2).sum() >= 1:
+            low = high = np.full(1, np.nan)
+            centres = centres[:0]
+        else:
+            others = sample[(close < threshold).all(axis=1)]
+            levels = int(np.ceil(np.log(max(1.0, size * len(others) / len(sample) / leaf)) / -np.log(0.5 + BAND)))
+            _, low, high = grow(others, max(1, min(levels, int(np.log2(max(2, len(others) / 16))))), abs(name))
+        return pd.DataFrame({"leaf": [name], "low": [low.tobytes()], "high": [high.tobytes()], "centres": [centres.tobytes()]})
 
-    trees = store(chosen.groupBy("leaf").applyInPandas(fit, "leaf long, low binary, high binary"), "subtrees")
+    trees = store(chosen.groupBy("leaf").applyInPandas(fit, "leaf long, low binary, high binary, centres binary"), "subtrees")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, part in batch.groupby("leaf"):
-                low, high = (np.frombuffer(part[c].iloc[0], np.float64) for c in ("low", "high"))
-                parts = route((abs(int(name)), low, high), _unit(part["v"]))
-                at = np.concatenate([r for _, r in parts])
-                stuck = len(parts) == 1
-                names = np.repeat(np.array([name if stuck else _key(node, 0, int(name)) for node, _ in parts], np.int64), [len(r) for _, r in parts])
-                yield pd.DataFrame({"leaf": names, "id": part["id"].to_numpy()[at], "v": part["v"].to_numpy(object)[at], "stuck": stuck})
+                low, high, centres = (np.frombuffer(part[c].iloc[0], np.float64) for c in ("low", "high", "centres"))
+                v = _unit(part["v"])
+                close = _cosines(v, centres.reshape(-1, v.shape[1]))
+                around = [(_key(-1 - g, 0, int(name)), np.flatnonzero(close[:, g] >= _reach(threshold, 1.0)), True) for g in range(close.shape[1])]
+                free = np.flatnonzero((close < threshold).all(axis=1))
+                if np.isnan(low[0]):
+                    around.append((int(name), free, True))
+                else:
+                    around += [(_key(node, 0, int(name)), free[r], False) for node, r in route((abs(int(name)), low, high), v[free])]
+                at, sizes = np.concatenate([r for _, r, _ in around]), [len(r) for _, r, _ in around]
+                names, done = np.repeat(np.array([k for k, _, _ in around], np.int64), sizes), np.repeat([d for _, _, d in around], sizes)
+                yield pd.DataFrame({"leaf": names, "id": part["id"].to_numpy()[at], "v": part["v"].to_numpy(object)[at], "stuck": done})
 
     moved = store(placed.drop("size").join(trees, "leaf").mapInPandas(spread, "leaf long, id long, v binary, stuck boolean"), "leaves")
     return moved.filter("not stuck").drop("stuck"), moved.filter("stuck").drop("stuck")

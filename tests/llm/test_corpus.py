@@ -172,6 +172,13 @@ def test_forest_links_all_of_a_large_loose_group(spark, cosine):
     assert (found <= links).all() and (component[6000:][links[6000:] > 0] == component[6000:].min()).all()
 
 
+def test_forest_links_groups_that_the_sample_is_too_small_for(spark):
+    every = grouped_vectors(np.random.default_rng(5), 12_000, [(110, 0.99), (110, 0.985)])
+    links = (every @ every.T >= 0.9).sum(1) - 1
+    found, _ = forest_links(spark, every, leaf=20, trees=4)
+    assert (found <= links).all() and found[12_000:].sum() >= 0.99 * links[12_000:].sum()
+
+
 # --- 5: texts ---
 def test_joins_planted_copies(spark, odd):
     rng = np.random.default_rng(4)
