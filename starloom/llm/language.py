@@ -20,6 +20,8 @@ from .registry import query
 
 #: Labelled documents that the text model is fitted on at most, the first in hash order.
 SAMPLE = 6_000
+#: Documents that a language has in the sample at least, as far as it has them; if need be they are added to it.
+LEAST = 200
 BUCKETS = 1 << 14
 #: The text's log likelihood counts as that of this many independent n-grams at most: neighbouring ones overlap.
 EVIDENCE = 60.0
@@ -62,11 +64,22 @@ class TextModel:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
-    """Count n-grams by language over up to ``sample`` documents; languages are those that occur. Null texts and languages are left out."""
+    """Count n-grams by language over up to ``sample`` documents, and about ``LEAST`` more of each language rare in them.
+
+    Languages are all that occur. Null texts and languages are left out.
+    """
     ship(docs.sparkSession)
     chosen = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("doc_id"), "lang")
     chosen = chosen.orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id", "lang").limit(sample).distinct()
-    texts = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    texts = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    every = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    numbers = every.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("distinct")).collect()  # one row per language
+    total = sum(r["n"] for r in numbers)
+    rare = [(r["lang"], min(1.0, LEAST / max(1, r["distinct"]))) for r in numbers if r["n"] * sample < LEAST * total and total > sample]
+    if rare:
+        shares = docs.sparkSession.createDataFrame(rare, "lang string, share double")
+        more = every.join(F.broadcast(shares), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+        texts = texts.join(F.broadcast(shares), "lang", "left_anti").unionByName(more.dropDuplicates(["lang", "h"]).select("lang", "text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -77,7 +90,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
                 at = np.flatnonzero(seen)
                 yield pd.DataFrame({"lang": lang, "bucket": at, "seen": seen[at]})
 
-    counts = texts.select("lang", "text").mapInPandas(count, "lang string, bucket long, seen long").groupBy("lang", "bucket").agg(
+    counts = texts.mapInPandas(count, "lang string, bucket long, seen long").groupBy("lang", "bucket").agg(
         F.sum("seen").alias("seen")).toPandas()  # at most languages x BUCKETS rows
     languages = sorted(counts["lang"].unique())
     table = np.full((len(languages), BUCKETS), 0.5)

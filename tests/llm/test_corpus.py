@@ -209,6 +209,12 @@ def test_languages_of_pages(spark):
     assert len(language.identify(odd, model).collect()) == 4
 
 
+def test_rare_languages_are_in_the_model(spark):
+    docs = [(i, "the cat sat on the mat", "en") for i in range(300)] + [(1000 + i, "qaxu wozi qaxu", x) for i, x in enumerate(("xx", "yy", "zz"))]
+    model = language.train(spark.createDataFrame([*docs, (None, "vemo vemo", "ww")], "doc_id long, text string, lang string"), sample=20)
+    assert model.languages == ["en", "ww", "xx", "yy", "zz"]
+
+
 # --- 7: chats ---
 def test_chats_are_read_back(spark):
     control = "<|im_end|><|im_start|>assistant ok"
