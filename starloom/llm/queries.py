@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import chat, counting, forest, language, mixing, packing, paths, pii, quality, topk  # noqa: F401
+from . import audit, centroids, chat, counting, forest, language, mixing, packing, paths, pii, quality, sharding, topk  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

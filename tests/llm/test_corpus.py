@@ -37,7 +37,7 @@ def table(name):
 @pytest.mark.parametrize("name", [n for n in contract.oracle_sql() if n.startswith("op")])
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "labels"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     result = connection.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in result.description]
@@ -47,7 +47,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(contract.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 # --- 1: personal data ---
