@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from harness.registry import query
 from harness.tables import ARRIVALS, CATALOGUE, PLAY_LOG, arrivals, catalogue, play_log, read, scratch_database
 from starloom import schemas
-from starloom.operators import loads, quality
+from starloom.operators import loads
+from starloom.operators.ids import surrogate_id
 from starloom.plans import jobs, query_tables
 from starloom.schemas import DOUBLE, INT, LONG, STRING, as_text, table
 from starloom.session import scratch_path
@@ -65,6 +67,42 @@ def invalid_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.load_json_repaired(spark, path, table(doc_id=LONG, text=STRING))
 
 
+_BROKEN, _NO_OBJECT = "o_orderkey % 11 = 0", "o_orderkey % 17 = 0"
+_FITS = f"NOT ({_BROKEN}) AND NOT ({_NO_OBJECT}) AND o_orderkey % 7 <> 0"
+
+
+def _faulty_orders(spark: SparkSession, sf_dir: str) -> staging.Staged:
+    """Orders as JSON lines, some cut off, some inside an array, some with a word for a number; empty prices are nulls."""
+    path = scratch_path(spark, "faulty")
+    rows = _orders(spark, sf_dir).drop("o_orderdate").withColumns({
+        "o_custkey": F.expr("if(o_orderkey % 7 = 0, concat('no. ', o_custkey), cast(o_custkey as string))"),
+        "o_totalprice": F.expr("if(o_orderkey % 13 = 0, '', cast(o_totalprice as string))")})
+    whole = F.to_json(F.struct(*rows.columns))
+    line = F.when(F.expr(_BROKEN), F.substring(whole, F.lit(1), F.length(whole) - 5)).when(
+        F.expr(_NO_OBJECT), F.concat(F.lit("["), whole, F.lit("]"))).otherwise(whole)
+    rows.select(line.alias("value")).write.text(path)
+    return staging.stage_json(spark, path, _ORDERS, max_rejects=None)
+
+
+@query("json_rejects", f"""SELECT {_ORDER_COLUMNS.replace("o_totalprice", "CASE WHEN o_orderkey % 13 <> 0 THEN o_totalprice END AS o_totalprice")}
+FROM orders WHERE {_FITS}""")
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a faulty file whose every value fits; nothing has become null unseen."""
+    return _faulty_orders(spark, sf_dir).rows
+
+
+@query("json_reject_report", f"""SELECT 'line' AS column_name, count(*) AS rejects FROM orders WHERE {_BROKEN} OR {_NO_OBJECT}
+UNION ALL SELECT 'o_custkey', count(*) FROM orders WHERE o_orderkey % 7 = 0 AND NOT ({_BROKEN} OR {_NO_OBJECT})
+UNION ALL SELECT unnest(['o_orderkey', 'o_orderstatus', 'o_totalprice', 'o_orderpriority']), 0
+UNION ALL SELECT 'kept', count(*) FROM orders WHERE {_FITS} UNION ALL SELECT 'lines at fault', count(*) FROM orders WHERE NOT ({_FITS})""")
+def json_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects by column, counted while the rows were staged, and the number of lines kept and set aside."""
+    staged = _faulty_orders(spark, sf_dir)
+    totals = staged.rows.agg(F.lit("kept").alias("column_name"), F.count("*").alias("rejects")).unionByName(
+        staged.rejects.agg(F.lit("lines at fault").alias("column_name"), F.count("*").alias("rejects")))
+    return staged.report().unionByName(totals)
+
+
 @query("scoped_path", f"SELECT {_ORDER_COLUMNS} FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 3")
 def scoped_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the run's month is read; the month in the path has no leading zero."""
@@ -197,11 +235,19 @@ def _write_music_sources(spark: SparkSession, sf_dir: str) -> str:
     return source
 
 
-def _content(columns: list[str], whole: tuple[str, ...] = ()) -> Column:
-    """A number that depends on the given columns of all rows, in any order; ``_content_sql`` is the same in SQL."""
+def _content(df: DataFrame, columns: list[str], whole: tuple[str, ...] = ()) -> Column:
+    """A number that depends on the given columns of all rows, in any order; ``_content_sql`` is the same in SQL.
+
+    Times count in milliseconds, fractions in steps of 1 / 100,000, the columns ``whole`` as whole numbers.
+    """
     def text(c: str) -> Column:
-        value = F.col(c).cast("timestamp") if c == "start_time" else F.col(c)
-        value = value.cast("long") if c in ("start_time", *whole) else value
+        value, kind = F.col(c), df.schema[c].dataType.simpleString()
+        if kind == "timestamp_ntz":
+            value = F.unix_millis(value.cast("timestamp"))
+        elif c in whole:
+            value = value.cast("long")
+        elif kind == "double" or kind.startswith("decimal"):
+            value = F.round(value * 100_000).cast("long")
         return F.coalesce(value.cast("string"), F.lit("null"))
 
     digits = F.substring(F.md5(F.concat_ws("|", *[text(c) for c in columns])), 1, 8)
@@ -213,36 +259,53 @@ def _content_sql(*values: str) -> str:
     return f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) AS BIGINT)) AS BIGINT) AS content"
 
 
+def _steps(value: str) -> str:
+    """A fraction as ``_content`` counts it."""
+    return f"CAST(round(({value}) * 100000) AS BIGINT)"
+
+
 def _contents(tables: dict[str, DataFrame], columns: dict[str, list[str]], whole: tuple[str, ...] = ()) -> DataFrame:
     """Rows and contents of every table."""
     reports = [
-        tables[t].agg(F.count("*").alias("row_count"), _content(c, whole).alias("content"))
+        tables[t].agg(F.count("*").alias("row_count"), _content(tables[t], c, whole).alias("content"))
         .select(F.lit(t).alias("table_name"), "row_count", "content") for t, c in columns.items()
     ]
     return reduce(DataFrame.unionByName, reports)
 
 
-def _row_counts(spark: SparkSession, names: dict[str, DataFrame]) -> DataFrame:
-    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in names.items()]
-    report = counts[0]
-    for other in counts[1:]:
-        report = report.unionByName(other)
-    return report
+def _contents_sql(**tables: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, {content}" for t, content in tables.items())
 
 
 _PLAYS = f"{PLAY_LOG}, {CATALOGUE}, plays AS (SELECT DISTINCT * FROM play_log WHERE page = 'NextSong')"
 
 
-@query("music_lake_load", f"""WITH {_PLAYS}
-SELECT 'songs' AS table_name, count(*) AS row_count FROM (SELECT DISTINCT song_id, title, artist_id, year, duration FROM catalogue)
-UNION ALL SELECT 'artists', count(*) FROM (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM catalogue)
-UNION ALL SELECT 'users', count(*) FROM (SELECT DISTINCT userId, firstName, lastName, gender, level FROM plays)
-UNION ALL SELECT 'time', count(*) FROM (SELECT DISTINCT ts FROM plays)
-UNION ALL SELECT 'songplays', count(*) FROM plays p JOIN catalogue c ON p.song = c.title AND p.artist = c.artist_name""")
+_STAMP = "make_timestamp(ts * 1000)"
+_CALENDAR = [f"{part}({_STAMP})" for part in ("hour", "day", "week", "month", "year")]
+_TIME_COLUMNS = ["start_time", "hour", "day", "week", "month", "year", "weekday"]
+_USER_COLUMNS = ["user_id", "first_name", "last_name", "gender", "level"]
+_SONG_COLUMNS = ["song_id", "title", "artist_id", "year", "duration"]
+_ARTIST_COLUMNS = ["artist_id", "name", "location", "latitude", "longitude"]
+_PLAY_COLUMNS = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
+_USER_SQL = _content_sql("userId", "firstName", "lastName", "gender", "level")
+_PLAY_VALUES = ("userId", "level", "song_id", "artist_id", "sessionId", "location", "userAgent")
+
+
+@query("music_lake_load", f"""WITH {_PLAYS} {_contents_sql(
+    songs=_content_sql("song_id", "title", "artist_id", "year", _steps("duration")) + " FROM (SELECT DISTINCT song_id, title, artist_id, year, duration FROM catalogue)",
+    artists=_content_sql("artist_id", "artist_name", "artist_location", _steps("artist_latitude"), _steps("artist_longitude"))
+    + " FROM (SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM catalogue)",
+    users=_USER_SQL + " FROM (SELECT DISTINCT userId, firstName, lastName, gender, level FROM plays)",
+    time=_content_sql("ts", *_CALENDAR, f"dayofweek({_STAMP}) + 1") + " FROM (SELECT DISTINCT ts FROM plays)",
+    songplays=_content_sql("ts", *_PLAY_VALUES, _CALENDAR[4], _CALENDAR[3]) + " FROM plays p JOIN catalogue c ON p.song = c.title AND p.artist = c.artist_name")}""")
 def music_lake_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _write_music_sources(spark, sf_dir), scratch_path(spark, "lake")
     paths = jobs.run_music_lake(spark, source, target)
-    return _row_counts(spark, {name: spark.read.parquet(path) for name, path in paths.items()})
+    columns = {
+        "songs": _SONG_COLUMNS, "artists": _ARTIST_COLUMNS, "users": _USER_COLUMNS, "time": _TIME_COLUMNS,
+        "songplays": [*_PLAY_COLUMNS, "year", "month"],
+    }
+    return _contents({t: spark.read.parquet(paths[t]) for t in columns}, columns)
 
 
 @query("music_lake_songplays", f"""WITH {_PLAYS}
@@ -262,7 +325,7 @@ def music_lake_songplays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WHOLE = "CAST(trunc({}) AS BIGINT)".format
-_SECONDS = "ts // 1000"
+_SECONDS = "ts // 1000 * 1000"  # in milliseconds
 
 
 @query("music_warehouse_load", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (
@@ -292,17 +355,23 @@ def music_warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _contents({t: spark.table(f"{database}.`{t}`") for t in columns}, columns, ("duration", "latitude", "longitude"))
 
 
-_PLAY_COLUMNS = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
-
-
 @query("music_store_load", f"""WITH {PLAY_LOG}, {CATALOGUE}, plays AS (SELECT * FROM play_log WHERE page = 'NextSong'),
-songs AS (SELECT DISTINCT song_id FROM catalogue), artists AS (SELECT DISTINCT artist_id FROM catalogue),
-users AS (SELECT DISTINCT userId FROM plays), times AS (SELECT DISTINCT ts FROM plays)
-SELECT 'songs' AS table_name, count(*) AS row_count, {_content_sql("song_id")} FROM songs
-UNION ALL SELECT 'artists', count(*), {_content_sql("artist_id")} FROM artists
-UNION ALL SELECT 'users', count(*), {_content_sql("userId")} FROM users
-UNION ALL SELECT 'time', count(*), {_content_sql(_SECONDS, "hour(make_timestamp(ts * 1000))", "week(make_timestamp(ts * 1000))", "year(make_timestamp(ts * 1000))")} FROM times
-UNION ALL SELECT 'songplays', count(*), {_content_sql(_SECONDS, "userId", "level", "sessionId", "location", "userAgent")} FROM plays""")
+artists AS (SELECT * FROM (SELECT *, row_number() OVER (
+  PARTITION BY artist_id ORDER BY artist_name, artist_location, artist_latitude, artist_longitude) AS n FROM catalogue) WHERE n = 1),
+users AS (SELECT userId, arg_min(firstName, (ts, firstName, lastName, gender, level)) AS firstName,
+  arg_min(lastName, (ts, firstName, lastName, gender, level)) AS lastName, arg_min(gender, (ts, firstName, lastName, gender, level)) AS gender,
+  arg_max(level, (ts, level, firstName, lastName, gender)) AS level FROM plays GROUP BY userId),
+entries AS (SELECT title, artist_name, duration, min(song_id) AS song_id, arg_min(artist_id, (song_id, artist_id)) AS artist_id
+  FROM catalogue GROUP BY title, artist_name, duration),
+fact AS (SELECT p.*, e.song_id, e.artist_id, row_number() OVER (ORDER BY ts, userId, p.level, e.song_id NULLS FIRST,
+    e.artist_id NULLS FIRST, sessionId, location, userAgent) AS songplay_id
+  FROM plays p LEFT JOIN entries e ON p.song = e.title AND p.artist = e.artist_name AND p.length = e.duration)
+{_contents_sql(
+    songs=_content_sql("song_id", "title", "artist_id", "year", _steps("duration")) + " FROM catalogue",
+    artists=_content_sql("artist_id", "artist_name", "artist_location", _steps("artist_latitude"), _steps("artist_longitude")) + " FROM artists",
+    users=_USER_SQL + " FROM users",
+    time=_content_sql("ts", *_CALENDAR, f"isodow({_STAMP}) - 1") + " FROM (SELECT DISTINCT ts FROM plays)",
+    songplays=_content_sql("songplay_id", "ts", *_PLAY_VALUES) + " FROM fact")}""")
 def music_store_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same files; plays that are stored already are skipped."""
     source, database = _write_music_sources(spark, sf_dir), scratch_database(spark)
@@ -311,22 +380,47 @@ def music_store_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         jobs.run_music_store(spark, config)
     columns = {
-        "songs": ["song_id"], "artists": ["artist_id"], "users": ["user_id"], "time": ["start_time", "hour", "week", "year"],
-        "songplays": [c for c in _PLAY_COLUMNS if c not in ("song_id", "artist_id")],
+        "songs": _SONG_COLUMNS, "artists": _ARTIST_COLUMNS, "users": _USER_COLUMNS, "time": _TIME_COLUMNS,
+        "songplays": ["songplay_id", *_PLAY_COLUMNS],
     }
     return _contents({t: spark.table(f"{database}.`{t}`") for t in columns}, columns)
 
 
-@query("travel_lake_load", f"""WITH {ARRIVALS}
-SELECT 'countries' AS table_name, count(DISTINCT c_custkey) AS row_count FROM customer
-UNION ALL SELECT 'airports', count(*) FROM customer WHERE c_nationkey < 13
-UNION ALL SELECT 'demographic', count(*) FROM (SELECT DISTINCT p_name, p_type, p_retailprice, p_size, p_brand FROM part)
-UNION ALL SELECT 'immigration', count(*) FROM arrivals""")
+def _thirds(kind: str, code: str) -> str:
+    """The code list that a third of the customers makes, one line each."""
+    low, high = {"countries": ("0", "total // 3"), "cities": ("total // 3", "total // 3 * 2"), "states": ("total // 3 * 2", "total")}[kind]
+    return f"{_content_sql(code, 'c_name')} FROM numbered WHERE line >= {low} AND line < {high}"
+
+
+_AIRPORT_COLUMNS = ["airport_id", "type", "name", "elevation_ft", "continent", "iso_country", "state_code", "latitude", "longitude"]
+_CITY_COLUMNS = ["city", "state", "median_age", "male_population", "female_population", "total_population", "number_of_veterans",
+                 "foreign_born", "avg_household_size", "state_code", "race", "count"]
+_ARRIVAL_COLUMNS = ["cic_id", "year", "month", "citizen_country", "residence_country", "city_code", "arrival_date", "mode",
+                    "departure_date", "gender", "admin_num"]
+
+
+@query("travel_lake_load", f"""WITH {ARRIVALS}, numbered AS (
+  SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS line, count(*) OVER () AS total FROM customer)
+{_contents_sql(
+    countries=_thirds("countries", "c_custkey"), cities=_thirds("cities", "c_custkey"), states=_thirds("states", "c_custkey || ''' '"),
+    airports=_content_sql("c_name", "c_mktsegment", "c_name", "c_nationkey", "'NA'", "'US'", "c_nationkey", _steps("c_acctbal"), _steps("c_nationkey"))
+    + " FROM customer WHERE c_nationkey < 13",
+    demographic=_content_sql("p_name", "p_type", _steps("p_retailprice"), *["p_size"] * 5, "250000", "p_brand", "'x'", "p_size")
+    + " FROM (SELECT DISTINCT p_name, p_type, p_retailprice, p_size, p_brand FROM part)",
+    immigration=_content_sql("cic_id", "year", "month", "citizen_country", "residence_country", "city_code", _steps("days"), _steps("priority"),
+                             _steps("days + priority"), "gender", _steps("admin_num")) + " FROM arrivals")}""")
 def travel_lake_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three code lists from one label file, airports, demographics and arrivals."""
     source, target = scratch_path(spark, "travel"), scratch_path(spark, "lake")
     customer, part = read(spark, sf_dir, "customer"), read(spark, sf_dir, "part")
-    label = F.concat(F.lit("  "), "c_custkey", F.lit(" =  '"), "c_name", F.lit("'"))
-    customer.orderBy("c_custkey").select(label.alias("value")).write.text(f"{source}/labels")
+    total = customer.count()
+    third = total // 3
+    number = F.col("line") < third  # a code that is a number stands without quotes
+    label = F.concat(
+        F.lit("\t"), F.when(number, F.lit("")).otherwise("'"), "c_custkey", F.when(number, F.lit("")).otherwise("'"),
+        F.when(F.col("line") < 2 * third, F.lit("\t")).otherwise(" "), F.lit("=  '"), "c_name", F.lit("'"))
+    numbered = surrogate_id(customer.select("c_custkey", "c_name"), "line", dense=True, order=["c_custkey"])
+    numbered.orderBy("line").select(label.alias("value")).write.text(f"{source}/labels")
     blank = F.lit(None).cast("string")
     customer.unionAll(customer).select(
         F.col("c_name").alias("airport_id"), F.col("c_mktsegment").alias("type"), F.col("c_name").alias("name"),
@@ -342,8 +436,13 @@ def travel_lake_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(2.5).alias("avg_household_size"), F.col("p_brand").alias("state_code"), F.lit("x").alias("race"), F.col("p_size").alias("count"),
     ).write.csv(f"{source}/demographics", header=True, sep=";")
     arrivals(spark, sf_dir).write.parquet(f"{source}/immigration")
-    every_line = labels.LabelBlock("country_code", "country", 0, customer.count(), labels.COUNTRIES.code_trim, labels.COUNTRIES.label_trim)
+    ranges = ((labels.COUNTRIES, 0, third), (labels.CITIES, third, 2 * third), (labels.STATES, 2 * third, total))
     sources = jobs.TravelSources(
-        f"{source}/labels", f"{source}/airports", f"{source}/demographics", f"{source}/immigration", blocks=(every_line,))
+        f"{source}/labels", f"{source}/airports", f"{source}/demographics", f"{source}/immigration",
+        blocks=tuple(replace(rules, start=start, end=end) for rules, start, end in ranges), label_lines_per_file=False)
     paths = jobs.run_travel_lake(spark, sources, target)
-    return _row_counts(spark, {name: spark.read.parquet(path) for name, path in paths.items()})
+    columns = {
+        "countries": ["country_code", "country"], "cities": ["city_code", "city"], "states": ["state_code", "state"],
+        "airports": _AIRPORT_COLUMNS, "demographic": _CITY_COLUMNS, "immigration": _ARRIVAL_COLUMNS,
+    }
+    return _contents({t: spark.read.parquet(paths[t]) for t in columns}, columns)

@@ -22,6 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     lake.add_argument("target")
     lake.add_argument("--month", type=lambda text: datetime.strptime(text, "%Y-%m"), help="YYYY-MM: refresh this month only")
     lake.add_argument("--song-partitions", default="year", help="comma-separated")
+    lake.add_argument("--max-rejects", type=int, default=0, help="lines per source that may be set aside, -1: any number")
 
     store = loads.add_parser("music-store", help="insert into the relational music tables")
     store.add_argument("database")
@@ -29,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     store.add_argument("log_path")
     store.add_argument("--plays-key", default="", help="comma-separated columns that make a play known")
     store.add_argument("--first-song-per-file", action="store_true")
+    store.add_argument("--user-parts", type=int, default=16, help="parts of the users table, when it is created")
 
     warehouse = loads.add_parser("music-warehouse", help="stage, load and check the music warehouse")
     warehouse.add_argument("database")
@@ -39,7 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     warehouse.add_argument("--variant", choices=["scheduled", "warehouse"], default="scheduled")
     warehouse.add_argument("--fact-mode", choices=["append-new", "append"], default="append-new")
     warehouse.add_argument("--dimension-mode", choices=["delete-load", "append-only"], default="delete-load")
-    warehouse.add_argument("--incremental-time", action="store_true")
+    warehouse.add_argument("--incremental-time", action=argparse.BooleanOptionalAction, help="default: unless dimensions are appended to")
+    warehouse.add_argument("--buckets", type=int, default=8, help="buckets of songs and plays, when the tables are created")
 
     travel = loads.add_parser("travel-lake", help="rebuild the travel lake")
     for name in ("labels", "airports", "demographics", "immigration", "target"):
@@ -59,18 +62,18 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> object:
     """Run the load the arguments name; returns what the load returns."""
     args = _parser().parse_args(arguments)
     if args.load == "music-lake":
-        partitions = _columns(args.song_partitions)
+        options = {"song_partitions": _columns(args.song_partitions), "max_rejects": None if args.max_rejects < 0 else args.max_rejects}
         if args.month:
-            return jobs.refresh_music_lake(spark, args.source, args.target, args.month, song_partitions=partitions)
-        return jobs.run_music_lake(spark, args.source, args.target, partitions)
+            return jobs.refresh_music_lake(spark, args.source, args.target, args.month, **options)
+        return jobs.run_music_lake(spark, args.source, args.target, **options)
     if args.load == "music-store":
         return jobs.run_music_store(spark, jobs.StoreConfig(
             args.database, args.song_path, args.log_path, _columns(args.plays_key), args.first_song_per_file,
-            args.location))
+            args.location, args.user_parts))
     if args.load == "music-warehouse":
         return jobs.run_music_warehouse(spark, jobs.WarehouseConfig(
             args.database, args.log_path, args.song_path, args.json_paths, args.fact_mode, args.dimension_mode,
-            args.location, args.variant, args.incremental_time), args.run or datetime.now())
+            args.location, args.variant, args.incremental_time, args.buckets), args.run or datetime.now())
     return jobs.run_travel_lake(spark, jobs.TravelSources(
         args.labels, args.airports, args.demographics, args.immigration, args.immigration_format), args.target)
 

@@ -39,14 +39,15 @@ def conform(
             raise ValueError(f"{len(names)} columns for {len(schema)} fields")
     kinds = {f.name: f.dataType for f in df.schema}
     return df.select([
-        _convert(df[name], kinds[name], field.dataType, on_error, rounding).alias(field.name)
+        convert(df[name], kinds[name], field.dataType, on_error, rounding).alias(field.name)
         for name, field in zip(names, schema)
     ] + [df[name] for name in keep])
 
 
-def _convert(
-    column: Column, have: T.DataType, want: T.DataType, on_error: str, rounding: str,
+def convert(
+    column: Column, have: T.DataType, want: T.DataType, on_error: str = "fail", rounding: str = "half_up",
 ) -> Column:
+    """A column of type ``have`` as ``want``, by the rules of ``conform``."""
     if have == want:
         return column
     if isinstance(have, T.StringType):

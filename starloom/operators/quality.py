@@ -98,6 +98,15 @@ def orphans(fact: DataFrame, foreign_key: str, dim: DataFrame, key: str) -> Data
     return used.join(dim.select(F.col(key).alias("value")).distinct(), "value", "left_anti")
 
 
+VIOLATIONS = "table_name string, constraint string, violations long"
+
+
+def row_counters(rules: Mapping) -> dict[str, Column]:
+    """An aggregate per NOT NULL and length limit of ``rules``, by the constraint's name: how many rows break it."""
+    counters = {f"not null {c}": F.count_if(F.col(c).isNull()) for c in rules.get("not_null", ())}
+    return counters | {f"length {c}": F.count_if(F.length(c) > limit) for c, limit in (rules.get("lengths") or {}).items()}
+
+
 def check_constraints(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -110,8 +119,7 @@ def check_constraints(
     NOT NULL and length limits come from one pass; the key and each foreign key take one more
     grouped pass over their own columns.
     """
-    counters = {f"not null {c}": F.count_if(F.col(c).isNull()) for c in not_null}
-    counters |= {f"length {c}": F.count_if(F.length(c) > limit) for c, limit in (lengths or {}).items()}
+    counters = row_counters({"not_null": not_null, "lengths": lengths})
     reports = []
     if counters:
         entries = [

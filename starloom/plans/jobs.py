@@ -12,51 +12,64 @@ from dataclasses import dataclass
 from contextvars import copy_context
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 from starloom import schemas
 from starloom.operators import loads, quality
 from starloom.operators.conflicts import append_new, insert_if_absent
 from starloom.operators.ids import surrogate_id
+from starloom.operators.releases import Layout, Load, Releases, Visible
 from starloom.plans import music, travel
 from starloom.session import materialize, scratch_tables
 from starloom.sources import labels, staging
 from starloom.sources.files import read_csv, read_table
 
 
-def run_together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
-    """Submit independent jobs to one session at the same time; the first error is raised."""
+def run_together(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
+    """Submit independent jobs to one session at the same time; returns their results, the first error is raised."""
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        for done in [pool.submit(copy_context().run, inheritable_thread_target(spark)(job)) for job in jobs]:
-            done.result()
+        running = [pool.submit(copy_context().run, inheritable_thread_target(spark)(job)) for job in jobs]
+        return [done.result() for done in running]
 
 
 # --- music lake -----------------------------------------------------------------------------
 TIME_PARTITIONS = ("year", "month")
 
 
-def _lake_sources(spark: SparkSession, source: str, logs: str) -> tuple[DataFrame, DataFrame]:
-    songs = staging.load_json(spark, f"{source}/song_data", schemas.STAGING_SONGS, on_error="null", rounding="half_up")
-    events = staging.load_json(spark, f"{source}/{logs}", schemas.STAGING_EVENTS, on_error="null", rounding="half_up")
-    return materialize(songs, "songs"), materialize(music.only_plays(events), "plays")
+def _stage(
+    spark: SparkSession, paths: dict[str, str], target: str, max_rejects: int | None,
+) -> dict[str, DataFrame]:
+    """Songs and plays, parsed once; lines that do not fit go to ``target/rejects``, or fail the load beyond the budget."""
+    kinds = {"songs": schemas.LAKE_SONGS, "events": schemas.LAKE_EVENTS}
+    staged = dict(zip(paths, run_together(spark, [
+        lambda t=t, path=path: staging.stage_json(spark, path, kinds[t], max_rejects, rounding="half_up") for t, path in paths.items()])))
+    for t, s in staged.items():
+        if s.reject_count:
+            loads.write_parquet(s.rejects, f"{target}/rejects/{t}")
+    return {t: s.rows for t, s in staged.items()}
 
 
 def run_music_lake(
-    spark: SparkSession, source: str, target: str, song_partitions: Sequence[str] = ("year",),
+    spark: SparkSession, source: str, target: str, song_partitions: Sequence[str] = ("year",), max_rejects: int | None = 0,
 ) -> dict[str, str]:
     """Rebuild the whole lake from ``source/song_data`` and ``source/log_data``.
 
     Songs go into one directory per year, sorted by artist within it; pass
     ``("year", "artist_id")`` for one directory per artist where the artists are few.
+    A line that is no JSON object or has a value that its column cannot hold is rejected whole, never loaded with a
+    null in its place. More than ``max_rejects`` of them in either source stop the load; up to that number (None: any)
+    they are kept as they are, with the columns at fault, in ``target/rejects/songs`` and ``target/rejects/events``.
     Returns the path of each table.
     """
     with scratch_tables(spark):
-        return _write_lake(spark, source, target, song_partitions)
+        staged = _stage(spark, {"songs": f"{source}/song_data", "events": f"{source}/log_data"}, target, max_rejects)
+        return _write_lake(spark, staged["songs"], music.only_plays(staged["events"]), target, song_partitions)
 
 
-def _write_lake(spark: SparkSession, source: str, target: str, song_partitions: Sequence[str]) -> dict[str, str]:
-    songs, events = _lake_sources(spark, source, "log_data")
+def _write_lake(
+    spark: SparkSession, songs: DataFrame, events: DataFrame, target: str, song_partitions: Sequence[str],
+) -> dict[str, str]:
     tables = music.build_star(events, songs, "lake")
     layouts = {"songs": tuple(song_partitions), "time": TIME_PARTITIONS, "songplays": TIME_PARTITIONS}
     sorting = {"songs": ("artist_id",), "time": ("start_time",), "songplays": ("start_time",)}
@@ -71,23 +84,25 @@ def _write_lake(spark: SparkSession, source: str, target: str, song_partitions:
 
 def refresh_music_lake(
     spark: SparkSession, source: str, target: str, run_ts: datetime,
-    logs: str = "log_data/{run.year}/{run.month}", song_partitions: Sequence[str] = ("year",),
+    logs: str = "log_data/{run.year}/{run.month}", song_partitions: Sequence[str] = ("year",), max_rejects: int | None = 0,
 ) -> dict[str, str]:
     """Load only the run's month: ``source/log_data/<year>/<month>``.
 
     The month's directories of ``time`` and ``songplays`` are replaced, so a rerun changes
     nothing; dimension rows that are not stored yet are appended. The lake must exist, and the
     month's files must hold plays of that month only: others would replace their own month's
-    directories, so they are refused.
+    directories, so they are refused. ``max_rejects`` is as in ``run_music_lake``.
     """
     with scratch_tables(spark):
-        return _refresh_lake(spark, source, target, run_ts, staging.scoped_path(logs, run_ts), song_partitions)
+        logs = staging.scoped_path(logs, run_ts)
+        staged = _stage(spark, {"songs": f"{source}/song_data", "events": f"{source}/{logs}"}, target, max_rejects)
+        return _refresh_lake(spark, staged["songs"], music.only_plays(staged["events"]), target, run_ts, logs, song_partitions)
 
 
 def _refresh_lake(
-    spark: SparkSession, source: str, target: str, run_ts: datetime, logs: str, song_partitions: Sequence[str],
+    spark: SparkSession, songs: DataFrame, events: DataFrame, target: str, run_ts: datetime, logs: str,
+    song_partitions: Sequence[str],
 ) -> dict[str, str]:
-    songs, events = _lake_sources(spark, source, logs)
     start = F.col("start_time")
     strays = music.play_times(events).filter((F.year(start) != run_ts.year) | (F.month(start) != run_ts.month))
     if not strays.isEmpty():
@@ -113,25 +128,6 @@ def _refresh_lake(
     return paths
 
 
-def _written(
-    spark: SparkSession, tables: dict[str, DataFrame], declared: dict[str, T.StructType],
-) -> dict[str, DataFrame]:
-    """The rows, named and typed as declared, each computed once and kept in the scratch folder."""
-    written: dict[str, DataFrame] = {}
-
-    def write(name: str, df: DataFrame) -> None:
-        fitted = df.select([F.col(f"`{c}`").cast(f.dataType).alias(f.name) for c, f in zip(df.columns, declared[name])])
-        written[name] = materialize(fitted, name)
-
-    run_together(spark, [lambda name=name, df=df: write(name, df) for name, df in tables.items()])
-    return written
-
-
-def _next_id(songplays: DataFrame) -> int:
-    """The id after the largest stored one."""
-    return (songplays.agg(F.max("songplay_id")).first()[0] or 0) + 1
-
-
 # --- relational music store -----------------------------------------------------------------
 @dataclass(frozen=True)
 class StoreConfig:
@@ -139,6 +135,7 @@ class StoreConfig:
 
     Without ``plays_key`` a rerun appends the plays again, as generated ids never conflict; with
     it, plays whose key is stored are skipped. ``first_song_per_file`` reads one song per file.
+    Users are kept in ``user_parts`` parts; a load rewrites those that its users fall into.
     """
 
     database: str
@@ -147,54 +144,69 @@ class StoreConfig:
     plays_key: tuple[str, ...] = ()
     first_song_per_file: bool = False
     location: str | None = None
+    user_parts: int = 16
 
 
 def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
-    """Songs and artists first, then time, users and songplays; existing keys are respected.
+    """Songs, artists, times, users and songplays, published together; existing keys are respected.
 
     Songs, artists and times already stored stay as they are, users get the level of their
-    latest play, plays are appended. Before anything is stored, the declared constraints are checked on the
-    dimensions as they will be and on the new plays, so the check does not grow with the stored fact. Returns
-    the violations per constraint; raises if there are any.
+    latest play, plays are appended. Required columns and lengths are counted while the new rows are written, keys and
+    references are checked on the new rows and the stored ones in their reach, so the check does not grow with the
+    tables. Returns the violations per constraint; if there are any it raises, and every table stays as it was.
     """
     declared = schemas.STORE
-    loads.create_tables(spark, config.database, declared, config.location)
-    names = {t: f"{config.database}.`{t}`" for t in declared}
-
-    def absent(table: str, rows: DataFrame, key: str, within: bool = False) -> DataFrame:
-        stored = spark.table(names[table])
-        stored = loads.stored_within(rows, stored, key) if within else stored
-        return insert_if_absent(rows, stored, [key])
-
-    with scratch_tables(spark):
-        songs = materialize(staging.load_json(
-            spark, config.song_path, schemas.STAGING_SONGS, first_only=config.first_song_per_file), "songs")
-        events = materialize(music.only_plays(staging.load_json(spark, config.log_path, schemas.STAGING_EVENTS)), "plays")
-        added = {
-            "songs": absent("songs", music.build_songs(songs, "none"), "song_id"),
-            "artists": absent("artists", music.build_artists(songs, "none"), "artist_id"),
-            "time": absent("time", music.build_time(music.play_times(events)), "start_time", within=True),
+    releases = Releases(
+        spark, config.database, declared, {"users": Layout(part_by=("user_id",), parts=config.user_parts)}, config.location)
+
+    with scratch_tables(spark), releases.load() as load:
+        def read_songs() -> DataFrame:
+            return materialize(staging.load_json(
+                spark, config.song_path, schemas.STAGING_SONGS, first_only=config.first_song_per_file), "songs")
+
+        def read_plays() -> DataFrame:
+            return materialize(music.only_plays(staging.load_json(spark, config.log_path, schemas.STAGING_EVENTS)), "plays")
+
+        songs, events = run_together(spark, [read_songs, read_plays])
+        times = music.play_times(events)
+        known_times = loads.stored_within(times, releases.table("time"), "start_time")
+        parts = releases.touched("users", music.user_rows(events))
+        load_rows = {
+            "songs": insert_if_absent(music.build_songs(songs, "none"), releases.table("songs"), ["song_id"]),
+            "artists": insert_if_absent(music.build_artists(songs, "none"), releases.table("artists"), ["artist_id"]),
+            "time": insert_if_absent(music.build_time(times), known_times, ["start_time"]),
+            "users": music.build_users(events, existing=releases.rows_of_parts("users", parts)),
         }
-        new = _written(spark, added | {"users": music.build_users(events, existing=spark.table(names["users"]))}, declared)
-        after = {t: spark.table(names[t]).unionByName(new[t]) for t in added} | {"users": new["users"]}
-        catalogue = music.catalogue_of(after["songs"], after["artists"])
+        run_together(spark, [
+            lambda t=t, df=df: load.write(t, df, rules=schemas.CONSTRAINTS[t], parts=parts) for t, df in load_rows.items()])
+        new = {t: load.rows(t) for t in load_rows}
+        catalogue = music.catalogue_of(*[releases.table(t).unionByName(new[t]) for t in ("songs", "artists")])
         plays = music.build_songplays(events, catalogue, ids=None)
         if config.plays_key:
-            stored = spark.table(names["songplays"])
+            stored = releases.table("songplays")
             if "start_time" in config.plays_key:
-                stored = loads.stored_within(plays, stored, "start_time")
+                stored = loads.stored_within(times, stored, "start_time")
             plays = append_new(plays, stored, config.plays_key)
-        numbered = surrogate_id(plays, "songplay_id", dense=True, order=["start_time"], start=_next_id(spark.table(names["songplays"])))
-        batch = numbered.select(*declared["songplays"].fieldNames())
-        found = quality.check_declared(after | {"songplays": batch}, schemas.CONSTRAINTS)
-        report = spark.createDataFrame(found.collect(), found.schema)  # one row per constraint
+        first_id = _next_id(releases)
+        numbered = surrogate_id(plays, "songplay_id", dense=True, order=["start_time"], start=first_id)
+        load.write(
+            "songplays", numbered.select(*declared["songplays"].fieldNames()), rules=schemas.CONSTRAINTS["songplays"])
+        load.note("songplays", str(first_id + load.seen["songplays"]["rows"]))
+        reach = new | {"time": known_times.unionByName(new["time"]), "songplays": load.rows("songplays")}
+        keys = {t: {r: v for r, v in rules.items() if r in ("primary_key", "references")} for t, rules in schemas.CONSTRAINTS.items()}
+        found = [tuple(r) for r in quality.check_declared(reach, keys).collect()]  # one row per constraint
+        found += [(t, c, n) for t in schemas.CONSTRAINTS for c, n in load.violations(t).items()]
+        report = spark.createDataFrame(found, quality.VIOLATIONS)
         quality.enforce(report)
-        run_together(spark, [lambda t=t: loads.append(new[t], names[t]) for t in added])
-        loads.restage(new["users"], names["users"])
-        loads.append(batch, names["songplays"])
+        load.publish()
     return report
 
 
+def _next_id(releases: Releases) -> int:
+    """The id after the largest stored one, as the last load has noted it."""
+    return int(releases.visible("songplays").note or 1)
+
+
 # --- scheduled music warehouse --------------------------------------------------------------
 @dataclass(frozen=True)
 class WarehouseConfig:
@@ -204,8 +216,9 @@ class WarehouseConfig:
     play ids) or ``warehouse`` (ids that count up). ``fact_mode`` is ``append-new`` (a rerun adds
     nothing, needs hashed ids) or ``append`` (a rerun appends the plays again).
     ``incremental_time`` adds the new plays' times instead of deriving the time table from every
-    stored play on each run; the outcome is the same, and if an earlier run broke off between
-    the two tables, the time table is derived anew.
+    stored play; the outcome is the same. It is the default unless dimensions are appended to. It takes effect where the
+    time table is known to hold the times of just the stored plays, else the table is derived anew.
+    Songs and plays are in ``buckets`` buckets by song, so that joining them needs no shuffle.
     """
 
     database: str
@@ -216,78 +229,98 @@ class WarehouseConfig:
     dimension_mode: str = "delete-load"
     location: str | None = None
     variant: str = "scheduled"
-    incremental_time: bool = False
+    incremental_time: bool | None = None
+    buckets: int = 8
 
 
 def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: datetime) -> DataFrame:
-    """Stage events and songs, check the batch, load the fact, then the dimensions, then check every table.
+    """Stage events and songs, build the fact and the dimensions, publish all of them together, then check every table.
 
-    The batch is computed once, into the scratch folder; a value its table does not allow (null, too long) stops the
-    load before anything but staging has changed. Times that are derived from the fact need no check of their own.
-    Returns the check results; raises if a table is empty.
+    Every row is written once, to where it stays. A value its table does not allow (null, too long) is counted on the
+    way; it stops the load before readers see anything of it. Returns the check results; raises if a table is empty.
     """
     if config.fact_mode not in ("append", "append-new"):
         raise ValueError(f"unknown fact mode {config.fact_mode!r}")
+    if config.dimension_mode not in ("append-only", "delete-load"):
+        raise ValueError(f"unknown load mode {config.dimension_mode!r}")
     if config.variant != "scheduled" and (config.fact_mode == "append-new" or config.incremental_time):
         raise ValueError("ids that count up differ on every run; use fact_mode='append', incremental_time=False")
-    declared = schemas.WAREHOUSE if config.variant == "scheduled" else schemas.COUNTED_WAREHOUSE
-    loads.create_tables(spark, config.database, declared, config.location)
-
-    def name(table: str) -> str:
-        return f"{config.database}.`{table}`"
-
-    def stage_events() -> None:
-        path, schema = staging.scoped_path(config.log_path, run_ts), declared["staging_events"]
-        if config.json_paths is None:
-            events = staging.load_json(spark, path, schema)
-        else:
-            events = staging.load_json_paths(spark, path, staging.read_json_paths(spark, config.json_paths), schema)
-        loads.restage(events, name("staging_events"))
-
-    def stage_songs() -> None:
-        songs = staging.load_json_repaired(spark, config.song_path, declared["staging_songs"])
-        loads.restage(songs, name("staging_songs"))
-
-    run_together(spark, [stage_events, stage_songs])
-    events, songs = spark.table(name("staging_events")), spark.table(name("staging_songs"))
-
-    variant = music.VARIANTS[config.variant]
-    first_id = _next_id(spark.table(name("songplays"))) if variant.ids == "dense" else 1
-    tables = music.build_star(events, songs, variant, first_id)
-    modes = dict.fromkeys(("songs", "users", "artists", "time"), config.dimension_mode)
-    with scratch_tables(spark):
-        early = [t for t in tables if t in ("songs", "users", "artists", "songplays") or t == "time" and variant.time_distinct]
-        tables |= _written(spark, {t: tables[t] for t in early}, declared)
-        rules = schemas.WAREHOUSE_CONSTRAINTS if config.variant == "scheduled" else schemas.COUNTED_CONSTRAINTS
-        batch = {t: tables[t] for t in early} | {"staging_events": events}
-        quality.enforce(quality.check_declared(batch, {t: r for t, r in rules.items() if t in batch}))
-        plays, stored, times = tables["songplays"], spark.table(name("songplays")), spark.table(name("time"))
-        add_times = config.incremental_time and stored.count() == times.count()
-        if config.fact_mode == "append-new":
-            plays = loads.new_rows(plays, name("songplays"), ["songplay_id"], within="start_time")
-        if add_times:
-            plays = materialize(plays, "plays")
-        loads.append(plays, name("songplays"))
-        if add_times:
-            tables["time"], modes["time"] = music.build_time(plays, variant.weekday, distinct=False), "append-only"
-        elif not variant.time_distinct:
-            tables["time"] = music.build_time(spark.table(name("songplays")), variant.weekday, distinct=False)
-            modes["time"] = "delete-load" if config.incremental_time else modes["time"]
-        run_together(spark, [
-            lambda t=t, mode=mode: loads.load_dimension(tables[t], name(t), mode) for t, mode in modes.items()
-        ])
-    dimensions = tuple(modes)
-    run_together(spark, [
-        lambda t=t: loads.refresh_statistics(spark, name(t), columns=t not in ("songplays", "time"))
-        for t in (*dimensions, "songplays")
-    ])
-    return quality.run_sql_checks(spark, quality.not_empty_checks([name(t) for t in (*dimensions, "songplays")]))
+    scheduled = config.variant == "scheduled"
+    declared = schemas.WAREHOUSE if scheduled else schemas.COUNTED_WAREHOUSE
+    rules = schemas.WAREHOUSE_CONSTRAINTS if scheduled else schemas.COUNTED_CONSTRAINTS
+    by_song = Layout(bucket_by=("song_id",), buckets=config.buckets, sort_by=("song_id",))
+    releases = Releases(spark, config.database, declared, {"songs": by_song, "songplays": by_song}, config.location)
+    keep = config.dimension_mode == "append-only"
+
+    with scratch_tables(spark), releases.load() as load:
+        def write(table: str, rows: DataFrame, keep: bool) -> None:
+            load.write(table, rows, keep, rules.get(table))
+
+        def stage_events() -> None:
+            path, schema = staging.scoped_path(config.log_path, run_ts), declared["staging_events"]
+            if config.json_paths is None:
+                events = staging.load_json(spark, path, schema)
+            else:
+                events = staging.load_json_paths(spark, path, staging.read_json_paths(spark, config.json_paths), schema)
+            write("staging_events", events, keep=False)
+
+        def stage_songs() -> None:
+            songs = staging.load_json_repaired(spark, config.song_path, declared["staging_songs"])
+            write("staging_songs", songs, keep=False)
+
+        run_together(spark, [stage_events, stage_songs])
+        load.enforce()
+        events, songs = load.rows("staging_events"), load.rows("staging_songs")
+        variant = music.VARIANTS[config.variant]
+        first_id = _next_id(releases)
+        tables = music.build_star(events, songs, variant, first_id)
+
+        def write_plays() -> None:
+            plays = tables["songplays"]
+            if config.fact_mode == "append-new":
+                times = music.play_times(events, variant.precision)
+                plays = append_new(plays, loads.stored_within(times, releases.table("songplays"), "start_time"), ["songplay_id"])
+            write("songplays", plays, keep=True)
+
+        dimensions = ["songs", "users", "artists"] + ["time"] * variant.time_distinct
+        run_together(spark, [write_plays, *[lambda t=t: write(t, tables[t], keep) for t in dimensions]])
+        if variant.ids == "dense":
+            load.note("songplays", str(first_id + load.seen["songplays"]["rows"]))
+        if not variant.time_distinct:
+            _write_times(load, config, variant, rules)
+        load.enforce()
+        load.publish()
+
+    checked = ("songs", "users", "artists", "time", "songplays")
+    run_together(spark, [lambda t=t: loads.refresh_statistics(spark, releases.stored(t), columns=False) for t in checked])
+    return quality.run_sql_checks(spark, quality.not_empty_checks([releases.name(t) for t in checked]))
+
+
+def _write_times(load: Load, config: WarehouseConfig, variant: music.Variant, rules: dict) -> None:
+    """The time table, from the plays: those of this load, if the table stands for just the plays stored before."""
+    releases, plays = load.releases, load.rows("songplays")
+    before, incremental = releases.visible("songplays"), config.incremental_time
+    incremental = config.dimension_mode == "delete-load" if incremental is None else incremental
+    grows = incremental and releases.visible("time").note == _stands_for(before)
+    if not grows:
+        plays = releases.table("songplays").unionByName(plays)
+    keep = grows or config.dimension_mode == "append-only" and not incremental
+    times = music.build_time(plays, variant.weekday, distinct=False)
+    load.write("time", times, keep, rules.get("time"), note="" if keep and not grows else _stands_for(load.after["songplays"]))
+
+
+def _stands_for(plays: Visible) -> str:
+    return f"songplays {plays.first}-{plays.last}"
 
 
 # --- travel lake ----------------------------------------------------------------------------
 @dataclass(frozen=True)
 class TravelSources:
-    """Paths of the travel sources; the immigration table may be in any installed format."""
+    """Paths of the travel sources; the immigration table may be in any installed format.
+
+    ``blocks`` are ranges of lines of the label file; with ``label_lines_per_file=False`` the lines of several label
+    files are numbered through, in name order.
+    """
 
     labels: str
     airports: str
@@ -295,6 +328,7 @@ class TravelSources:
     immigration: str
     immigration_format: str = "parquet"
     blocks: tuple[labels.LabelBlock, ...] = (labels.COUNTRIES, labels.CITIES, labels.STATES)
+    label_lines_per_file: bool = True
 
 
 LABEL_TABLES = {"country_code": "countries", "city_code": "cities", "state_code": "states"}
@@ -303,6 +337,7 @@ LABEL_TABLES = {"country_code": "countries", "city_code": "cities", "state_code"
 def run_travel_lake(spark: SparkSession, sources: TravelSources, target: str) -> dict[str, str]:
     """Code lists, airports, demographics and immigration; each is checked before it is written.
 
+    A line of a code list that holds no ``=`` stops the load.
     Generated ids are unique by construction, so tables keyed by one are only checked for rows.
     Returns the path of each table.
     """
@@ -311,7 +346,10 @@ def run_travel_lake(spark: SparkSession, sources: TravelSources, target: str) ->
 
 
 def _write_travel(spark: SparkSession, sources: TravelSources, target: str) -> dict[str, str]:
-    lines = labels.numbered_lines(spark, sources.labels)
+    lines = labels.numbered_lines(spark, sources.labels, sources.label_lines_per_file)
+    dropped = labels.lines_without_pair(lines, sources.blocks).collect()  # one row per block
+    if dropped:
+        raise quality.QualityError("; ".join(f"{r['label']}: {r['lines']} lines without '='" for r in dropped))
     airports = travel.build_airports(read_csv(spark, sources.airports, schemas.AIRPORTS_CSV))
     demographics = travel.build_demographics(read_csv(spark, sources.demographics, schemas.DEMOGRAPHICS_CSV, ";"))
     immigration = travel.build_immigration(

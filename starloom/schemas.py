@@ -40,6 +40,17 @@ STAGING_SONGS = table(
     duration=NUMERIC, year=INT,
 )
 
+
+def with_doubles(schema: T.StructType) -> T.StructType:
+    """The lake's flavour of a staging table: every fraction is a double, as it stands in the files."""
+    return T.StructType([
+        T.StructField(f.name, DOUBLE if isinstance(f.dataType, T.DecimalType) else f.dataType)
+        for f in schema
+    ])
+
+
+LAKE_EVENTS, LAKE_SONGS = with_doubles(STAGING_EVENTS), with_doubles(STAGING_SONGS)
+
 # --- music: star schema ---------------------------------------------------------------------
 SONGPLAYS = table(
     songplay_id=LONG, start_time=TIMESTAMP, user_id=LONG, level=STRING, song_id=STRING,

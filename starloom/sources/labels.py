@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -74,7 +75,7 @@ STATES = LabelBlock("state_code", "state", 982, 1036, ("\t", "'"), (_BLANKS, "'"
 def parse_labels(lines: DataFrame, block: LabelBlock, tidy: bool = False) -> DataFrame:
     """Codes and labels of one block of ``numbered_lines``; a repeated code keeps its last label.
 
-    Only the text up to a second ``=`` is the label. Lines without ``=`` carry no pair.
+    Only the text up to a second ``=`` is the label. Lines without ``=`` carry no pair; ``lines_without_pair`` counts them.
     ``tidy`` trims blanks once more after the quotes.
     """
     parts = F.split("value", "=")
@@ -88,6 +89,15 @@ def parse_labels(lines: DataFrame, block: LabelBlock, tidy: bool = False) -> Dat
     return keep_last(pairs, [block.code], ["file", "line"]).select(block.code, block.label)
 
 
+def lines_without_pair(lines: DataFrame, blocks: Sequence[LabelBlock]) -> DataFrame:
+    """(label, lines): how many lines of each block hold no ``=``; blocks without any are left out."""
+    within = [
+        F.when((F.col("line") >= b.start) & (F.col("line") < b.end), F.lit(b.label)) for b in blocks
+    ]
+    lost = lines.filter(~F.col("value").contains("=")).select(F.explode(F.array_compact(F.array(*within))).alias("label"))
+    return lost.groupBy("label").agg(F.count("*").alias("lines"))
+
+
 def _strip_all(text: Column, trims: tuple[str, ...], tidy: bool) -> Column:
     for characters in trims + ((_BLANKS,) if tidy else ()):
         text = strip(text, characters)
