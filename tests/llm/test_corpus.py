@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from pathlib import Path
 
@@ -295,3 +296,45 @@ def test_pipeline_stages_take_effect(spark):
         if name == "PII":
             assert not any(base_spans(r["text"]) for r in kept.collect())
     assert sizes[0] > sizes[1] > sizes[2] == sizes[3] and kept.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").isEmpty()
+
+
+# --- 1 once more: whole texts of any shape ---
+def test_discovery_time_follows_the_number_of_matches(spark):
+    def seconds(n):
+        text = " ".join(f"write to u{i}@x.org or call 555-01{i % 10}-{1000 + i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.perf_counter()
+        assert pii.redacted(docs).first()["text"].count("[EMAIL]") == n
+        return time.perf_counter() - begin
+
+    seconds(100)
+    assert seconds(20_000) < 4 * seconds(5_000) + 10
+
+
+def test_spaced_numbers_are_discovered_and_masked(spark):
+    seeds = [f"w{i} please reach me at phone: +1 (555) 010-{1000 + i} today é" for i in range(12)]
+    seeds += [f"w{i} kindly charge my card: {card(i)} now" for i in range(12)]
+    local = "b" * 80 + "@localhost"
+    seeds += [f"w{i} send it to mail: u{i}@x.org soon" for i in range(12)]
+    texts = [*seeds, "é please reach me at phone: (555) 010-4444 today", "please reach me at phone: 555 010 4444", "kindly charge my card: 3782 822463 10005 now",
+             f"send it to mail: {local} soon", "the years 1990 1991 1992 1993 and 3.14159", "phone: none", "x (((((((((1 2 3", "1 2 3 " * 20_000 + "4x", "(" * 30_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in pii.redacted(docs).collect()}
+    assert found[36] == "é please reach me at phone: [PHONE] today" and found[37] == "please reach me at phone: [PHONE]"
+    assert found[38] == "kindly charge my card: [CARD] now" and found[39] == "send it to mail: [EMAIL] soon"
+    assert all(found[i] == texts[i] for i in range(40, len(texts)))
+
+
+def card(i):
+    body = f"411111111111{i:03d}"
+    return next(body + str(k) for k in range(10) if luhn(body + str(k)))
+
+
+def test_redaction_joins_overlaps_and_leaves_other_columns(spark):
+    rows = [(1, "ééé a@1.2.3.4 x", "mine", 5, "s"), (2, None, "mine", 5, "s"), (3, "漢 +49 30 1234567 +49 30 1234567", "mine", 5, "s"), (1, "ééé a@1.2.3.4 x", "other", 5, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `key a` string, `row` int, spans string")
+    out = pii.redacted(docs)
+    assert out.columns == docs.columns
+    assert sorted(out.collect(), key=repr) == sorted([
+        (1, "ééé [EMAIL] x", "mine", 5, "s"), (1, "ééé [EMAIL] x", "other", 5, "s"), (2, None, "mine", 5, "s"), (3, "漢 [PHONE] [PHONE]", "mine", 5, "s")], key=repr)
+    assert pii.redacted(docs.limit(0)).count() == 0 and pii.find(docs.limit(0)).count() == 0
