@@ -295,8 +295,8 @@ _SCHEMAS = {
 def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A query table, written in its layout and read back."""
     path = scratch_path(spark, name)
-    table = query_tables.laid_out(_built(spark, sf_dir, name), name)
-    table.write.parquet(path)
+    table = _built(spark, sf_dir, name)
+    query_tables.write(table, name, path)
     return spark.read.schema(table.schema).parquet(path)
 
 

@@ -33,14 +33,18 @@ def write_parquet(
     files: int | None = None,
     sort_by: Sequence[str] = (),
     refresh_partitions: bool = False,
+    lookup: Sequence[str] = (),
 ) -> None:
     """Write Parquet, in directories by ``partition_by``.
 
     ``files`` asks for that many files and is meant for small dimensions. ``sort_by`` orders the
     rows of each file, so that lookups on those columns skip row groups. ``refresh_partitions``
-    replaces only the directories that occur in ``df``.
+    replaces only the directories that occur in ``df``. ``lookup`` columns get Bloom filters: a
+    lookup of a value skips the row groups that do not hold it, also where the rows are not in its order.
     """
     writer = _writer(df, partition_by, mode, files, sort_by)
+    for column in lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if refresh_partitions:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from starloom.operators import quality
+from starloom.operators import quality, statistics
 
 LOAD, PART = "load", "part"
 _STATE = "name string, first int, last int, parts array<int>, note string, age int"
@@ -30,13 +30,17 @@ _STATE = "name string, first int, last int, parts array<int>, note string, age i
 @dataclass(frozen=True)
 class Layout:
     """``bucket_by`` is the key that joins need no shuffle on, ``sort_by`` the order within a bucket; ``part_by`` is the
-    key by which the rows are dealt to ``parts`` parts that a load can rewrite one by one."""
+    key by which the rows are dealt to ``parts`` parts that a load can rewrite one by one. ``lookup`` columns get Bloom
+    filters, so that a lookup skips row groups that do not hold its value, whatever the order of the rows. Sketches of
+    the columns ``statistics`` are kept for every load."""
 
     bucket_by: tuple[str, ...] = ()
     buckets: int = 8
     sort_by: tuple[str, ...] = ()
     part_by: tuple[str, ...] = ()
     parts: int = 16
+    lookup: tuple[str, ...] = ()
+    statistics: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -62,11 +66,13 @@ class Releases:
                 raise ValueError(f"{name!r} is no plain name")
         self.spark, self.database, self.schemas = spark, database, dict(schemas)
         self.layouts = {t: (layouts or {}).get(t, Layout()) for t in schemas}
+        if any(layout.statistics for layout in self.layouts.values()):
+            self.schemas["statistics"], self.layouts["statistics"] = statistics.SCHEMA, Layout()
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
         if not spark.catalog.tableExists(f"{database}.releases"):
             self._set({}, {})
-        for name, layout in self.layouts.items():
+        for name, layout in list(self.layouts.items()):
             if stored := len(self.visible(name).parts):  # as many parts as the table was created with
                 self.layouts[name] = replace(layout, parts=stored)
             self._create(name)
@@ -87,8 +93,10 @@ class Releases:
         if layout.bucket_by and layout.sort_by:
             buckets += f" SORTED BY ({listed(layout.sort_by)})"
         buckets += f" INTO {layout.buckets} BUCKETS" if buckets else ""
+        filters = ", ".join(f"'parquet.bloom.filter.enabled#{c}' 'true'" for c in layout.lookup)
+        options = f" OPTIONS ({filters})" if filters else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.stored(name)} ({columns}) USING parquet PARTITIONED BY ({listed(extra)}){buckets}")
+            f"CREATE TABLE IF NOT EXISTS {self.stored(name)} ({columns}) USING parquet{options} PARTITIONED BY ({listed(extra)}){buckets}")
         mine = lambda c: f"(SELECT {c} FROM {self.database}.releases WHERE name = '{name}' AND age = 0)"
         counts = f"`{LOAD}` = get({mine('parts')}, `{PART}`)" if layout.part_by else f"`{LOAD}` BETWEEN {mine('first')} AND {mine('last')}"
         self.spark.sql(
@@ -121,6 +129,13 @@ class Releases:
         """The table as readers see it."""
         return self.spark.table(self.name(name))
 
+    def statistics(self, name: str) -> DataFrame:
+        """Statistics of a table as readers see it, merged from those of its loads; see ``statistics.summary``."""
+        if self.layouts[name].part_by:
+            raise ValueError(f"{name} is rewritten in parts; sketches of rows that are gone cannot be taken back")
+        v = self.visible(name)
+        return statistics.summary(self.table("statistics").filter((F.col("table_name") == name) & F.col("of_load").between(v.first, v.last)))
+
     # --- parts ------------------------------------------------------------------------------
     def part_of(self, name: str) -> Column:
         """The part a row of a table in parts belongs to."""
@@ -185,6 +200,7 @@ class Load:
     before: dict[str, Visible]
     after: dict[str, Visible] = field(default_factory=dict)
     seen: dict[str, dict[str, int]] = field(default_factory=dict)
+    sketched: list[tuple] = field(default_factory=list)
 
     def write(
         self, name: str, rows: DataFrame, keep: bool = True, rules: Mapping | None = None, note: str = "",
@@ -207,10 +223,14 @@ class Load:
         elif layout.bucket_by:  # one task a bucket, more for a bucket that holds much of the rows
             fitted = fitted.hint("rebalance", layout.buckets, *layout.bucket_by)
         observation = Observation()
-        counters = {"rows": F.count(F.lit(1))} | quality.row_counters(rules or {})
+        rules = quality.row_counters(rules or {})
+        sketches = statistics.counters(schema, layout.statistics)
+        counters = {"rows": F.count(F.lit(1))} | rules | sketches
         observed = fitted.observe(observation, *[c.alias(n) for n, c in counters.items()])
         observed.withColumn(LOAD, F.lit(self.number)).write.insertInto(r.stored(name))
-        self.seen[name] = dict(observation.get)
+        found = observation.get
+        self.seen[name] = {c: found[c] for c in ("rows", *rules)}
+        self.sketched += statistics.rows_of(name, self.number, found["rows"], layout.statistics, found)
         was = self.before.get(name, Visible())
         if layout.part_by:
             now = list(was.parts) or [0] * layout.parts
@@ -241,6 +261,8 @@ class Load:
 
     def publish(self) -> None:
         """Let readers see what was written, in all tables at once."""
+        if self.sketched:  # a row per column
+            self.write("statistics", self.releases.spark.createDataFrame(self.sketched, statistics.SCHEMA).coalesce(1))
         # Tables that did not change keep their range; the number counts on through those that did.
         now = self.before | self.after
         for name in self.after:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from contextvars import copy_context
 from datetime import datetime
 
@@ -23,6 +23,7 @@ from starloom.operators.releases import Layout, Load, Releases, Visible
 from starloom.plans import music, travel
 from starloom.session import materialize, scratch_tables
 from starloom.sources import labels, staging
+from starloom.sources.catalogue import stage_changed
 from starloom.sources.files import read_csv, read_table
 
 
@@ -38,16 +39,28 @@ TIME_PARTITIONS = ("year", "month")
 
 
 def _stage(
-    spark: SparkSession, paths: dict[str, str], target: str, max_rejects: int | None,
-) -> dict[str, DataFrame]:
-    """Songs and plays, parsed once; lines that do not fit go to ``target/rejects``, or fail the load beyond the budget."""
-    kinds = {"songs": schemas.LAKE_SONGS, "events": schemas.LAKE_EVENTS}
-    staged = dict(zip(paths, run_together(spark, [
-        lambda t=t, path=path: staging.stage_json(spark, path, kinds[t], max_rejects, rounding="half_up") for t, path in paths.items()])))
-    for t, s in staged.items():
-        if s.reject_count:
-            loads.write_parquet(s.rejects, f"{target}/rejects/{t}")
-    return {t: s.rows for t, s in staged.items()}
+    spark: SparkSession, songs: str, events: str, target: str, max_rejects: int | None, anew: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """Songs and plays; lines that do not fit go to ``target/rejects``, or fail the load beyond the budget.
+
+    The parsed songs stay in ``target/catalogue``, so a later load parses only the song files that have changed.
+    """
+    def set_aside(name: str, staged: staging.Staged | None) -> None:
+        if staged is not None and staged.reject_count:
+            loads.write_parquet(staged.rejects, f"{target}/rejects/{name}")
+
+    def stage_songs() -> DataFrame:
+        rows, staged = stage_changed(
+            spark, songs, f"{target}/catalogue", schemas.LAKE_SONGS, max_rejects, "half_up", anew)
+        set_aside("songs", staged)
+        return rows
+
+    def stage_events() -> DataFrame:
+        staged = staging.stage_json(spark, events, schemas.LAKE_EVENTS, max_rejects, "half_up")
+        set_aside("events", staged)
+        return music.only_plays(staged.rows)
+
+    return tuple(run_together(spark, [stage_songs, stage_events]))
 
 
 def run_music_lake(
@@ -63,8 +76,8 @@ def run_music_lake(
     Returns the path of each table.
     """
     with scratch_tables(spark):
-        staged = _stage(spark, {"songs": f"{source}/song_data", "events": f"{source}/log_data"}, target, max_rejects)
-        return _write_lake(spark, staged["songs"], music.only_plays(staged["events"]), target, song_partitions)
+        songs, plays = _stage(spark, f"{source}/song_data", f"{source}/log_data", target, max_rejects, anew=True)
+        return _write_lake(spark, songs, plays, target, song_partitions)
 
 
 def _write_lake(
@@ -86,7 +99,7 @@ def refresh_music_lake(
     spark: SparkSession, source: str, target: str, run_ts: datetime,
     logs: str = "log_data/{run.year}/{run.month}", song_partitions: Sequence[str] = ("year",), max_rejects: int | None = 0,
 ) -> dict[str, str]:
-    """Load only the run's month: ``source/log_data/<year>/<month>``.
+    """Load only the run's month: ``source/log_data/<year>/<month>``, and the song files that have changed.
 
     The month's directories of ``time`` and ``songplays`` are replaced, so a rerun changes
     nothing; dimension rows that are not stored yet are appended. The lake must exist, and the
@@ -95,8 +108,8 @@ def refresh_music_lake(
     """
     with scratch_tables(spark):
         logs = staging.scoped_path(logs, run_ts)
-        staged = _stage(spark, {"songs": f"{source}/song_data", "events": f"{source}/{logs}"}, target, max_rejects)
-        return _refresh_lake(spark, staged["songs"], music.only_plays(staged["events"]), target, run_ts, logs, song_partitions)
+        songs, plays = _stage(spark, f"{source}/song_data", f"{source}/{logs}", target, max_rejects, anew=False)
+        return _refresh_lake(spark, songs, plays, target, run_ts, logs, song_partitions)
 
 
 def _refresh_lake(
@@ -249,7 +262,11 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
     declared = schemas.WAREHOUSE if scheduled else schemas.COUNTED_WAREHOUSE
     rules = schemas.WAREHOUSE_CONSTRAINTS if scheduled else schemas.COUNTED_CONSTRAINTS
     by_song = Layout(bucket_by=("song_id",), buckets=config.buckets, sort_by=("song_id",))
-    releases = Releases(spark, config.database, declared, {"songs": by_song, "songplays": by_song}, config.location)
+    layouts = {
+        "songs": replace(by_song, statistics=("song_id", "artist_id", "year", "duration")),
+        "songplays": replace(by_song, lookup=("user_id", "session_id"), statistics=("start_time", "user_id", "song_id", "session_id")),
+    }
+    releases = Releases(spark, config.database, declared, layouts, config.location)
     keep = config.dimension_mode == "append-only"
 
     with scratch_tables(spark), releases.load() as load:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from starloom.functions.coerce import conform
 from starloom.operators.conflicts import first_write_wins, last_write_wins
-from starloom.operators.loads import cluster_by
+from starloom.operators.loads import cluster_by, write_parquet
 from starloom.schemas import CLEAN_EVENTS, LISTENERS_BY_SONG, PLAYS_BY_SESSION, PLAYS_BY_USER
 
 
@@ -56,5 +56,14 @@ LAYOUTS = {
 }
 
 
+# Columns that lookups name without the leading key.
+LOOKUP = {"plays_by_session": (), "plays_by_user": ("sessionId",), "listeners_by_song": ("userId",)}
+
+
 def laid_out(df: DataFrame, table: str) -> DataFrame:
     return cluster_by(df, *LAYOUTS[table])
+
+
+def write(df: DataFrame, table: str, path: str) -> None:
+    """Store a query table in its layout, with filters for lookups that the order does not serve."""
+    write_parquet(laid_out(df, table), path, lookup=LOOKUP[table])

@@ -109,6 +109,7 @@ def stage_json(
     rounding: str = "truncate",
     json_paths: list[str] | None = None,
     replacement: str | None = None,
+    keep_file: bool = False,
 ) -> Staged:
     """A bulk load of JSON lines with an error budget, in one pass over the files.
 
@@ -116,6 +117,7 @@ def stage_json(
     ``replacement``, if given. Each line is parsed once. Rows and rejects are written together, to one scratch table
     with a directory for each, and are counted in that same write, so reading either costs a scan of it alone. More
     than ``max_rejects`` rejected lines are an error, which leaves nothing loaded; None allows any number.
+    With ``keep_file`` the rows have a further column ``_file``.
     Blank lines are no rows. Missing fields, nulls and, where the column is no text, empty values are nulls, not rejects.
     """
     paths = [f"$['{c}']" for c in schema.fieldNames()] if json_paths is None else json_paths
@@ -136,7 +138,7 @@ def stage_json(
     ]
     columns = F.when(no_object, F.array(F.lit(LINE))).otherwise(F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>"))
     judged = parsed.withColumn("row", F.struct(*typed)).withColumn("columns", columns).select(
-        "row", (F.size("columns") > 0).alias("rejected"), F.struct("file", "line", "columns").alias("reject"))
+        "row", F.col("file").alias("_file") if keep_file else F.lit(None).cast("string").alias("_file"), (F.size("columns") > 0).alias("rejected"), F.struct("file", "line", "columns").alias("reject"))
     judged = judged.withColumn("reject", F.when(F.col("rejected"), F.col("reject")))
     names = [LINE, *schema.fieldNames()]
     observation = Observation()
@@ -146,7 +148,7 @@ def stage_json(
         "staged", partition_by=["rejected"])
     found = observation.get
     return Staged(
-        stored.filter("NOT rejected").select("row.*"), stored.filter("rejected").select("reject.*"),
+        stored.filter("NOT rejected").select("row.*", *["_file"] * keep_file), stored.filter("rejected").select("reject.*"),
         found["all"] - found["rejects"], found["rejects"], {c: found[f"at {i}"] for i, c in enumerate(names)},
     ).within(max_rejects)
 

@@ -11,13 +11,14 @@ from fixtures import EVENTS, SONGS
 from pyspark.sql import functions as F
 from test_jobs import FULL, write_json
 
-from starloom.operators import quality
+from starloom.operators import loads, quality
 from starloom.operators.conflicts import upsert_columns
 from starloom.operators.quality import QualityError
 from starloom.operators.releases import Layout, Load, Releases
-from starloom.plans import jobs
+from starloom.plans import jobs, query_tables
 from starloom.schemas import LONG, STAGING_EVENTS, STAGING_SONGS, STRING, table
-from starloom.sources import staging
+from starloom.sources import catalogue, staging
+from starloom.sources.catalogue import stage_changed
 
 PAIRS = table(key=LONG, value=STRING)
 
@@ -281,7 +282,7 @@ def test_lake_sets_rejects_aside_within_its_budget(spark, source, tmp_path):
     target = str(tmp_path / "lake")
     with pytest.raises(QualityError, match="ts: 1"):
         jobs.run_music_lake(spark, str(source), target)
-    assert not Path(target).exists()
+    assert not Path(target, "songplays").exists() and not Path(target, "songs").exists()
     paths = jobs.run_music_lake(spark, str(source), target, max_rejects=2)
     assert spark.read.parquet(paths["songplays"]).filter("start_time is null").isEmpty()
     assert sorted(r["columns"] for r in spark.read.parquet(f"{target}/rejects/events").collect()) == [["line"], ["ts"]]
@@ -297,3 +298,90 @@ def test_row_counters_name_what_they_count(spark):
     found = pairs(spark, (1, "abc"), (None, "a")).agg(*[c.alias(n) for n, c in quality.row_counters(
         {"not_null": ["key"], "lengths": {"value": 2}, "primary_key": ["key"]}).items()]).first().asDict()
     assert found == {"not null key": 1, "length value": 1}
+
+
+# --- statistics, lookups, and sources that are parsed once ----------------------------------
+def test_statistics_of_all_loads_are_merged(spark, database):
+    schema = table(key=LONG, value=STRING, at=jobs.schemas.TIMESTAMP)
+    releases = Releases(spark, database[0], {"a": schema}, {"a": Layout(statistics=("key", "value", "at"))}, database[1])
+
+    def loaded(low, high, keep=True):
+        with releases.load() as load:
+            load.write("a", spark.range(low, high).selectExpr(
+                "id", "if(id % 4 = 0, null, concat('v', id % 100))", "timestamp_ntz '2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)"), keep)
+            load.publish()
+        return {r["column_name"]: r for r in releases.statistics("a").collect()}
+
+    loaded(0, 5_000)
+    found = loaded(4_000, 10_000)
+    key, value, at = found["key"], found["value"], found["at"]
+    assert (key["row_count"], key["null_count"], key["low"], key["high"]) == (11_000, 0, 0.0, 9_999.0)
+    assert abs(key["distinct_values"] - 10_000) < 300 and abs(key["quantiles"][1] - 4_750) < 220
+    assert (value["null_count"], value["distinct_values"], value["quantiles"]) == (2_750, 75, None)
+    assert at["high"] - at["low"] == 9_999
+    assert loaded(0, 10, keep=False)["key"]["row_count"] == 10  # replaced rows count no more
+    empty = loaded(0, 0, keep=False)["key"]
+    assert (empty["row_count"], empty["low"], empty["distinct_values"]) == (0, None, 0)
+    with pytest.raises(ValueError):
+        Releases(spark, database[0], {"b": PAIRS}, {"b": Layout(part_by=("key",))}, database[1]).statistics("b")
+
+
+def rows_read(df):
+    """Rows that the scan of a lookup has handed on, after row groups were skipped."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    return node.metrics().get("numOutputRows").get().value()
+
+
+def test_lookups_skip_row_groups_by_bloom_filter(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "65536")
+    try:
+        plays = spark.range(0, 200_000, 1, 1).selectExpr(
+            "cast(id % 997 as string) as song", "(id * 7919) % 200000 as userId", "'a' as firstName", "'b' as lastName").coalesce(1)
+        loads.write_parquet(plays, str(tmp_path / "plain"))
+        loads.write_parquet(plays, str(tmp_path / "filtered"), lookup=["userId"])
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    lookup = lambda name: spark.read.parquet(str(tmp_path / name)).filter("userId = 4711").select("song")
+    assert rows(lookup("filtered")) == rows(lookup("plain")) and len(rows(lookup("plain"))) == 1
+    assert rows_read(lookup("filtered")) < rows_read(lookup("plain")) / 5
+
+
+def test_query_tables_are_written_in_their_layout(spark, tmp_path):
+    listeners = spark.range(3_000).selectExpr("cast(id % 7 as string) as song", "id as userId", "'a' as firstName", "'b' as lastName")
+    query_tables.write(listeners, "listeners_by_song", str(tmp_path / "t"))
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == rows(listeners)
+
+
+def test_song_files_are_parsed_once_per_change(spark, source, tmp_path, monkeypatch):
+    parsed, stage = [], staging.stage_json
+    monkeypatch.setattr(staging, "stage_json", lambda spark, path, *a, **k: (parsed.append(path), stage(spark, path, *a, **k))[1])
+    songs, kept, schema = source / "song_data", str(tmp_path / "kept"), jobs.schemas.LAKE_SONGS
+
+    def titles(**options):
+        parsed.clear()
+        found, _ = stage_changed(spark, str(songs), kept, schema, **options)
+        return sorted(r["title"] for r in found.collect())
+
+    every = sorted(dict(zip(STAGING_SONGS.fieldNames(), s))["title"] for s in SONGS)
+    assert titles() == every and parsed == [str(songs)]
+    assert titles() == every and parsed == []
+    assert titles(anew=True) == every and parsed == [str(songs)]
+    extra = dict(zip(STAGING_SONGS.fieldNames(), SONGS[0])) | {"title": "Added"}
+    write_json(songs / "9" / "s.json", STAGING_SONGS, [tuple(extra.values())])
+    assert titles() == sorted([*every, "Added"]) and [len(p) for p in parsed] == [1] and parsed[0][0].endswith("9/s.json")
+    write_json(songs / "9" / "s.json", STAGING_SONGS, [tuple((extra | {"title": "Changed it"}).values())])
+    assert titles() == sorted([*every, "Changed it"]) and [len(p) for p in parsed] == [1]
+    (songs / "9" / "s.json").unlink()
+    assert titles() == every and parsed == []
+    monkeypatch.setattr(catalogue, "LISTED", 0)
+    write_json(songs / "8" / "s.json", STAGING_SONGS, [tuple(extra.values())])
+    assert titles() == sorted([*every, "Added"]) and parsed == [str(songs)]
+    (songs / "8" / "s.json").write_text("broken\n")
+    with pytest.raises(QualityError):
+        titles()
+    assert sorted(Path(kept).glob("version-*"))[-1].joinpath("files").exists()  # what was kept is still there
+    assert titles(max_rejects=1) == every
