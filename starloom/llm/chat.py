@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import read, ship
@@ -85,55 +86,88 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return buffer, ends, body, text_lengths
 
 
+class _Open:
+    """A conversation whose turns may go on in the next batch: parts of its text and its spans so far."""
+
+    def __init__(self, conv_id: pa.Array):
+        self.conv_id, self.parts, self.starts, self.ends, self.points = conv_id, [], [], [], 0
+
+    def add(self, part: np.ndarray, starts: np.ndarray, ends: np.ndarray, points: int) -> None:
+        self.parts.append(part.copy())  # the batch's buffer can go
+        self.starts.append(starts + self.points)
+        self.ends.append(ends + self.points)
+        self.points += points
+
+    def row(self) -> pa.RecordBatch:
+        data = np.concatenate(self.parts)
+        starts, ends = np.concatenate(self.starts), np.concatenate(self.ends)
+        return _record(self.conv_id, data, np.array([0, len(data)]), starts, ends, np.array([0, len(starts)]))
+
+
+def _record(
+    conv_ids: pa.Array, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.ndarray, spans: np.ndarray,
+) -> pa.RecordBatch:
+    """Rows over a buffer: row i is ``data[bounds[i]:bounds[i + 1]]`` and has the spans ``spans[i]`` to ``spans[i + 1]``."""
+    offsets = pa.py_buffer((bounds - bounds[0]).astype(np.int32))
+    texts = pa.StringArray.from_buffers(len(bounds) - 1, offsets, pa.py_buffer(data[bounds[0]:bounds[-1]]))
+    listed = [
+        pa.ListArray.from_arrays(pa.array(spans - spans[0], pa.int32()), pa.array(x[spans[0]:spans[-1]], pa.int32()))
+        for x in (starts, ends)]
+    return pa.RecordBatch.from_arrays([conv_ids, texts, *listed], ["conv_id", "formatted", "loss_starts", "loss_ends"])
+
+
 def format_turns(turns: DataFrame, learn_role: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_starts and loss_ends (code points, the learned texts' spans).
 
     ``turns`` needs conv_id, turn, role and text. Rows are taken by turn, null first, equal turns by role and text;
     repeated rows are turns of their own. Null texts and roles are empty; a null conv_id is a conversation too.
     Empty tables give no rows; other columns are not read. A conversation is one record, so its turns meet in one
-    task, where they are streamed; different conversations spread over all tasks.
+    task, where they are streamed; different conversations spread over all tasks. Conversations that lie in one batch
+    are rows over the batch's buffer, without a further copy; the last one may go on, so it waits for the next batch.
     """
     ship(turns.sparkSession)
     kind = turns.schema["conv_id"].dataType
     schema = f"conv_id {kind.simpleString()}, formatted string, loss_starts array<int>, loss_ends array<int>"
-    arrow = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), ("loss_starts", pa.list_(pa.int32())), ("loss_ends", pa.list_(pa.int32()))])
     if kind.simpleString() not in ("bigint", "int"):
         raise ValueError("conv_id must be a whole number")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_id, pieces, starts, ends, points = None, None, [], [], 0
-
-        def row() -> pa.RecordBatch:
-            columns = [[open_id], [b"".join(pieces).decode()], [starts], [ends]]
-            made = pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
-            return made.set_column(0, "conv_id", made["conv_id"].cast(batch.schema.field("conv_id").type))
-
+        waiting = None
         for batch in batches:
-            ids = batch["conv_id"].to_pylist()
-            learned = batch["role"].fill_null("").to_pylist()
+            if not batch.num_rows:
+                continue
+            ids = batch["conv_id"]
             buffer, turn_ends, body, lengths = assemble(batch["role"].cast(pa.string()), batch["text"].cast(pa.string()))
-            points_before = np.concatenate([[0], ((buffer & 0xC0) != 0x80).cumsum()])
-            raw = memoryview(buffer)
-            first = 0
-            for i in range(len(ids)):
-                if pieces is None or ids[i] != open_id:
-                    if pieces is not None:
-                        yield row()
-                    open_id, pieces, starts, ends, points = ids[i], [], [], [], 0
-                    first = int(turn_ends[i - 1]) if i else 0
-                    base = points_before[first]
-                elif i == 0:
-                    base = -points
-                if learned[i] == learn_role:
-                    starts.append(int(points_before[body[i]] - base))
-                    ends.append(int(points_before[body[i] + lengths[i]] - base))
-                if i + 1 == len(ids) or ids[i + 1] != open_id:
-                    last = int(turn_ends[i])
-                    pieces.append(bytes(raw[first:last]))
-                    points = int(points_before[last] - base)
-                    first = last
-        if pieces is not None:
-            yield row()
+            points = np.concatenate([[0], ((buffer & 0xC0) != 0x80).cumsum()])
+            plain, null = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
+            firsts = np.flatnonzero(np.concatenate([[True], (plain[1:] != plain[:-1]) | (null[1:] != null[:-1])]))
+            turn_bounds = np.append(firsts, len(plain))
+            bounds = np.concatenate([[0], turn_ends])[turn_bounds]  # of the conversations, in the buffer
+            learned = np.flatnonzero(pc.equal(batch["role"].cast(pa.string()), learn_role).to_numpy(zero_copy_only=False))
+            spans = np.searchsorted(learned, turn_bounds)
+            begin = np.repeat(points[bounds[:-1]], np.diff(spans))
+            starts, ends = points[body[learned]] - begin, points[(body + lengths)[learned]] - begin
+
+            def keep(k: int) -> None:
+                waiting.add(buffer[bounds[k]:bounds[k + 1]], starts[spans[k]:spans[k + 1]], ends[spans[k]:spans[k + 1]],
+                            int(points[bounds[k + 1]] - points[bounds[k]]))
+
+            k, last = 0, len(firsts) - 1
+            if waiting is not None and waiting.conv_id[0] == ids[0]:
+                keep(0)
+                k = 1
+            if k <= last and waiting is not None:
+                yield waiting.row()
+                waiting = None
+            while k < last:  # whole conversations, at most about a gigabyte of them in a record batch
+                upto = int(np.clip(np.searchsorted(bounds, bounds[k] + 2**30), k + 1, last))
+                yield _record(ids.take(pa.array(firsts[k:upto])), buffer, bounds[k:upto + 1], starts, ends, spans[k:upto + 1])
+                k = upto
+            if k == last:
+                waiting = _Open(ids.slice(firsts[last], 1))
+                keep(last)
+        if waiting is not None:
+            yield waiting.row()
 
     ordered = (
         turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
