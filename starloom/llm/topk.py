@@ -6,8 +6,9 @@ adder of ANDs and XORs on slices of the score. Reading the score's slices from t
 k-th best quantised score; rows whose quantised score lies within twice the proven error of it are the boundary, and
 their scores are computed exactly. So the result is that of a full scan, ties included.
 
-Queries are the stated set of rows; blocks of queries meet blocks of rows, and each meeting returns at most k rows a
-query.
+Queries are the stated set of rows. They go to every block, where the index is built once and the queries stream past
+it, and each block returns at most k rows a query. Rows with components beyond the index's range, and queries with such,
+are scored in Python's own numbers.
 """
 
 from __future__ import annotations
@@ -113,58 +114,105 @@ class Slices:
         return ids[rows][order], scores[order]
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, block: int = 16_384, batch: int = 2_048) -> DataFrame:
+LARGE = 2.0**27  # scaled components from here on do not fit the index
+
+
+class Block:
+    """The index of a block's rows and, apart from it, the rows with large components."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray, scale: int):
+        small = np.abs(values).max(axis=1) * scale < LARGE
+        self.scale = scale
+        self.ids = ids[small]
+        self.slices = Slices(np.floor(values[small] * scale).astype(np.int64)) if small.any() else None
+        self.far_ids, self.far = ids[~small], _exact(values[~small], scale)
+
+    def best(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        """(score, id) of the k best rows other than ``own``."""
+        small = np.abs(query).max(initial=0.0) * self.scale < LARGE
+        exact = _exact(query[None], self.scale)[0]
+        found: list[tuple[int, int]] = []
+        if small and len(self.ids):
+            ids, scores = self.slices.best(exact.astype(np.int64), self.ids, own, k)
+            found = list(zip(scores.tolist(), ids.tolist()))
+        elif len(self.ids):
+            found = list(zip(self.slices.values.astype(object) @ exact, self.ids.tolist()))
+        if len(self.far_ids):
+            found += zip(self.far @ exact, self.far_ids.tolist())
+        return sorted(((int(s), i) for s, i in found if i != own), key=lambda f: (-f[0], f[1]))[:k]
+
+
+def _exact(values: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) in Python's own numbers; from 2 ** 53 upwards doubles are whole numbers themselves."""
+    whole = [[int(x) * scale if abs(x) >= 2.0**53 else int(np.floor(x * scale)) for x in row] for row in values]
+    return np.array(whole, object).reshape(values.shape)
+
+
+def _ordered(score: int) -> str:
+    """A text that sorts as the number does, whatever its size."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):04d}{digits}"
+    return f"0{9999 - len(digits):04d}" + digits.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, block: int = 16_384) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of highest integer inner product for every query row.
 
     ``vectors`` has vec_id and embedding; ``is_query`` is a condition on them. Components become floor(scale * x).
     Rows that are null or empty, hold null or non-finite components, or have a null vec_id take no part. Ties go to
     the smaller vec_id, rows of equal id and vector count as one row. Vectors of different lengths never meet. Fewer than ``k`` other
-    rows give fewer ranks; an empty table gives none. Components so large that a score might exceed a long raise an error.
+    rows give fewer ranks; an empty table gives none. Scores beyond 64 bits are null, though they rank exactly.
     """
     ship(vectors.sparkSession)
-    numbers = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("long"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    large = F.exists("embedding", lambda x: F.abs(x.cast("double")) * scale >= float(2 ** 27))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & finite)
-    rows = rows.select(
-        F.col("vec_id").cast("long").alias("vec_id"), is_query.alias("asks"),
-        F.when(large, F.raise_error(F.lit("a component is too large for exact integer scores"))).otherwise(numbers).alias("v"))
+
+    def step(x):  # down to a multiple of 1 / scale; large doubles are one already
+        x = x.cast("double")
+        return F.when(F.abs(x) < float(2**40), F.floor(x * F.lit(scale)).cast("double") / F.lit(float(scale))).otherwise(x)
+
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), is_query.alias("asks"), F.transform("embedding", step).alias("v"))
     rows = store(rows.distinct(), "integers")
-    sizes = [(r["n"], r["count"]) for r in rows.groupBy(F.size("v").alias("n")).count().collect()]
-    blocks = {n: max(1, -(-count // block)) for n, count in sizes}  # one entry per vector length
+    sizes = [(r["n"], r["count"]) for r in rows.groupBy(F.size("v").alias("n")).count().collect()]  # one entry per vector length
     result = None
-    for n, parts in blocks.items():
-        part = _search(rows.filter(F.size("v") == n), parts, k, batch)
+    for n, count in sizes:
+        part = _search(rows.filter(F.size("v") == n), max(1, -(-count // block), min(64, count // 1_024)), k, scale)
         result = part if result is None else result.unionByName(part)
     if result is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("ordered"), "vec_id")
     return (
         result.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score"))
 
 
-def _search(rows: DataFrame, parts: int, k: int, batch: int) -> DataFrame:
-    side = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
-    queries = rows.filter("asks")
-    groups = max(1, -(-queries.count() // batch))
-    group = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(groups)).cast("int")
-    # Every block of rows once per block of queries, every block of queries once per block of rows.
-    data = rows.select("vec_id", "v", side.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("ask"))
-    asks = queries.select("vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), group.alias("ask"))
-
-    def meet(data: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(data) and len(asks):
-            ids = data["vec_id"].to_numpy(np.int64)
-            slices = Slices(np.array(data["v"].tolist(), np.int64))
-            for own, vector in zip(asks["vec_id"], asks["v"]):
-                found, scores = slices.best(np.array(vector, np.int64), ids, own, k)
-                out += [(own, i, s) for i, s in zip(found.tolist(), scores.tolist())]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    return data.groupBy("part", "ask").cogroup(asks.groupBy("part", "ask")).applyInPandas(
-        meet, "query_id long, vec_id long, score long")
+def _search(rows: DataFrame, parts: int, k: int, scale: int) -> DataFrame:
+    data = rows.select(
+        F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"), F.lit(False).alias("asks"), "vec_id", "v")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    asks = rows.filter("asks").select(every.alias("part"), F.lit(True).alias("asks"), "vec_id", "v")
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, ids, values, index = None, [], [], None
+        for batch in batches:  # sorted: a block's rows, then the queries to it
+            out = []
+            for own_part, asks, own, vector in zip(batch["part"], batch["asks"], batch["vec_id"], batch["v"]):
+                if own_part != part:
+                    part, ids, values, index = own_part, [], [], None
+                if not asks:
+                    ids.append(own)
+                    values.append(vector)
+                    continue
+                if index is None:
+                    index = Block(np.array(ids, np.int64), np.array(values, float), scale) if ids else None
+                if index is not None:
+                    out += [(own, i, s if -2**63 <= s < 2**63 else None, _ordered(s)) for s, i in index.best(np.asarray(vector, float), own, k)]
+            made = pd.DataFrame(out, columns=["query_id", "vec_id", "score", "ordered"])
+            yield made.astype({"query_id": "int64", "vec_id": "int64", "score": "Int64"})
+
+    return data.unionByName(asks).repartition("part").sortWithinPartitions("part", "asks").mapInPandas(
+        meet, "query_id long, vec_id long, score long, ordered string")
 
 
 OP2_SQL = """

@@ -1,6 +1,8 @@
 """Corpus operators against SQL, plain Python and their stated results on odd rows."""
 
 import hashlib
+import math
+import random
 import re
 import time
 import zlib
@@ -108,7 +110,7 @@ def test_top_k_over_many_blocks_equals_full_scan(spark):
     whole = np.floor(values * 1024).astype(np.int64)
     expected = {(int(q), r + 1, int(j), int(whole[j] @ whole[q])) for q in range(0, 700, 100)
                 for r, j in enumerate([j for j in np.lexsort((np.arange(700), -(whole @ whole[q]))) if j != q][:10])}
-    assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, block=128, batch=3).collect()} == expected
+    assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, block=128).collect()} == expected
 
 
 # --- 3: quality ---
@@ -338,3 +340,35 @@ def test_redaction_joins_overlaps_and_leaves_other_columns(spark):
     assert sorted(out.collect(), key=repr) == sorted([
         (1, "ééé [EMAIL] x", "mine", 5, "s"), (1, "ééé [EMAIL] x", "other", 5, "s"), (2, None, "mine", 5, "s"), (3, "漢 [PHONE] [PHONE]", "mine", 5, "s")], key=repr)
     assert pii.redacted(docs.limit(0)).count() == 0 and pii.find(docs.limit(0)).count() == 0
+
+
+# --- 2 and 7 once more ---
+def test_top_k_scores_large_components_exactly(spark):
+    values = np.random.default_rng(2).normal(size=(60, 4))
+    values[3], values[7], values[20], values[41] = [1e6, 2.5, 0, -1], [1e30] * 4, [-3e300, 1, 1, 1], [131072.0, 0, 0, 0]
+    whole = [[math.floor(1024 * x) if abs(x) < 2**53 else int(x) * 1024 for x in v] for v in values.tolist()]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "vec_id long, embedding array<double>")
+    out = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") % 10 < 2, k=6, block=16).collect()}
+    for q in (i for i in range(60) if i % 10 < 2):
+        scores = sorted(((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in range(60) if i != q))[:6]
+        assert [out[q, r + 1] for r in range(6)] == [(i, -s if -2**63 <= -s < 2**63 else None) for s, i in scores]
+
+
+def test_chats_over_batch_borders(spark, conf):
+    rng = random.Random(3)
+    turns = [(c, t, rng.choice(["user", "assistant", "tool\n<|"]), "".join(rng.choice("ab<|\\é漢🙂\n") for _ in range(rng.randrange(9))))
+             for c in range(40) for t in range(rng.choice([1, 2, 3, 30]))]
+    df = spark.createDataFrame([(None if c == 5 else c, t, r, x) for c, t, r, x in turns], "conv_id int, turn int, role string, text string")
+    chat.format_turns(df.limit(0))  # the library sets its own batch size first
+    for size in ("1", "7", "1000"):
+        conf(spark__sql__execution__arrow__maxRecordsPerBatch=size)
+        formatted = chat.format_turns(df)
+        conf(spark__sql__execution__arrow__maxRecordsPerBatch=size)
+        out = {r["conv_id"]: r for r in formatted.collect()}
+        assert len(out) == 40
+        for c in range(40):
+            row = out[None if c == 5 else c]
+            own = [(r, x) for k, _, r, x in turns if k == c]
+            read = [(chat.unescape(m[1], role=True), chat.unescape(m[2])) for m in chat._TURN.finditer(row["formatted"])]
+            assert read == own
+            assert [chat.unescape(row["formatted"][a:b]) for a, b in zip(row["loss_starts"], row["loss_ends"])] == [x for r, x in own if r == "assistant"]
