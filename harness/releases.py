@@ -100,6 +100,15 @@ def load_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("below") <= 0.52) & (F.col("upto") >= 0.48)).alias("median_close"))
 
 
+@query("append_pruned", """SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM lineitem WHERE l_shipdate >= timestamp '1998-01-01'
+AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'O')""")
+def append_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a batch whose order is not stored; stored orders are tested by a filter of the batch's keys before they shuffle."""
+    stored = read(spark, sf_dir, "orders").filter("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("l_orderkey"))
+    batch = read(spark, sf_dir, "lineitem").filter(f"NOT ({_CUT})").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("string").alias("l_shipdate"))
+    return conflicts.append_new(batch, stored, ["l_orderkey"], prune=True)
+
+
 _ORDERS = table(o_orderkey=LONG, o_custkey=LONG, o_orderstatus=STRING)
 
 

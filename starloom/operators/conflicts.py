@@ -14,7 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-
+from starloom.operators.joins import in_reach
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Column, list[str]]:
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -44,30 +44,36 @@ last_write_wins = keep_last
 first_write_wins = keep_first
 
 
-def without_known(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_known(new: DataFrame, existing: DataFrame, keys: Sequence[str], prune: bool = False) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``; null is a key like any other.
 
-    One shuffle per side at most, and adaptive execution can split hot keys of ``new``.
+    One shuffle per side at most, and adaptive execution can split hot keys of ``new``. ``prune``, for a batch that is
+    small against a large stored table, shuffles only the stored rows that may share a key with it.
     """
+    if prune:
+        existing = in_reach(existing.select(*keys), new, keys)
     known = existing.select([F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
     same = reduce(and_, [new[k].eqNullSafe(known[f"_known_{i}"]) for i, k in enumerate(keys)])
     return new.join(known, same, "left_anti")
 
 
 def insert_if_absent(
-    new: DataFrame, existing: DataFrame | None, keys: Sequence[str], order: Sequence[str] = (),
+    new: DataFrame, existing: DataFrame | None, keys: Sequence[str], order: Sequence[str] = (), prune: bool = False,
 ) -> DataFrame:
     """The rows to append so that the first writer of each key wins."""
-    first = keep_first(new, keys, order)
-    return first if existing is None else without_known(first, existing, keys)
+    if existing is None:
+        return keep_first(new, keys, order)
+    if prune:  # by the batch as it comes, which is cheaper than by its first rows
+        existing = in_reach(existing.select(*keys), new, keys)
+    return without_known(keep_first(new, keys, order), existing, keys)
 
 
-def append_new(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def append_new(new: DataFrame, existing: DataFrame, keys: Sequence[str], prune: bool = False) -> DataFrame:
     """The rows to append on a rerun: those whose key is not stored yet.
 
     Rows that share a key within ``new`` are all kept, as a plain append would.
     """
-    return without_known(new, existing, keys)
+    return without_known(new, existing, keys, prune)
 
 
 def upsert_columns(

@@ -95,3 +95,39 @@ def _in_squares(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFram
     left = rows.withColumn("_part", part(rows)).withColumn("_other", every)
     right = lookup.withColumn("_other", part(lookup)).withColumn("_part", every)
     return left.join(right, [*keys, "_part", "_other"]).drop("_part", "_other")
+
+
+# --- pruning the stored side ----------------------------------------------------------------
+FILTER_BITS = 2**23  # one megabyte; keys beyond some millions let more rows through, never fewer
+
+
+def _bit(keys: Sequence[Column], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(bits))
+
+
+def key_filter(batch: DataFrame, keys: Sequence[Column], bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter of the keys with one hash: one row with an array of ``bits / 64`` words, whatever the batch holds.
+
+    A task first reduces its keys to the words they set. Null is a key like any other.
+    """
+    place = batch.select(_bit(keys, bits).alias("bit")).select(
+        F.expr("bit div 64").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int")).alias("mask"))
+    words = place.groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    every = batch.sparkSession.range(0, bits // 64, 1, 1).withColumnRenamed("id", "word")
+    filled = every.join(words, "word", "left").select("word", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
+    return filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "mask"))), lambda w: w["mask"]).alias("words"))
+
+
+def in_reach(stored: DataFrame, batch: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The stored rows that may share a key with ``batch``: all that do, and few others.
+
+    For a batch that is small against the stored table: its rows are tested where they are scanned, so a join on the
+    keys shuffles about as many of them as the batch has. The test costs one more pass over the batch's keys.
+    """
+    if bits % 64:
+        raise ValueError("the filter has whole words of 64 bits")
+    kinds = {f.name: f.dataType for f in stored.schema}
+    words = key_filter(batch, [F.col(k).cast(kinds[k]) for k in keys], bits).scalar()
+    bit = _bit([F.col(k) for k in keys], bits)
+    word = F.get(words, (F.shiftright(bit, 6)).cast("int"))
+    return stored.filter(F.call_function("shiftright", word, (bit % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)

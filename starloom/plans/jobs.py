@@ -185,8 +185,8 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
         known_times = loads.stored_within(times, releases.table("time"), "start_time")
         parts = releases.touched("users", music.user_rows(events))
         load_rows = {
-            "songs": insert_if_absent(music.build_songs(songs, "none"), releases.table("songs"), ["song_id"]),
-            "artists": insert_if_absent(music.build_artists(songs, "none"), releases.table("artists"), ["artist_id"]),
+            "songs": insert_if_absent(music.build_songs(songs, "none"), releases.table("songs"), ["song_id"], prune=True),
+            "artists": insert_if_absent(music.build_artists(songs, "none"), releases.table("artists"), ["artist_id"], prune=True),
             "time": insert_if_absent(music.build_time(times), known_times, ["start_time"]),
             "users": music.build_users(events, existing=releases.rows_of_parts("users", parts)),
         }

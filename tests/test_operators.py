@@ -303,3 +303,39 @@ def test_gated_write_does_not_write_bad_rows(spark):
     assert written == []
     loads.gated_write(spark.range(1), [quality.check_not_empty], written.append)
     assert len(written) == 1
+
+
+# --- pruning --------------------------------------------------------------------------------
+def shuffled_bytes(df):
+    """What the exchanges of an executed plan have written."""
+    seen, queue = 0, [df._jdf.queryExecution().executedPlan()]
+    df.collect()
+    while queue:
+        node = queue.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            queue.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            queue.append(node.plan())
+        else:
+            if name == "Exchange":
+                seen += node.metrics().get("shuffleBytesWritten").get().value()
+            queue += [node.children().apply(i) for i in range(node.children().size())]
+    return seen
+
+
+def test_pruning_changes_no_row_and_shuffles_less(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.range(300_000).selectExpr("if(id = 7, null, id) as k", "cast(id as string) as name").write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    batch = spark.createDataFrame([(i * 997 if i < 40 else 400_000 + i,) for i in range(80)] + [(None,), (None,)], "k int")
+    plain, pruned = (conflicts.append_new(batch, stored, ["k"], prune=p) for p in (False, True))
+    assert rows(plain) == rows(pruned) == [(400_000 + i,) for i in range(40, 80)]
+    assert shuffled_bytes(pruned) < shuffled_bytes(plain) / 20
+    assert rows(conflicts.insert_if_absent(batch, stored, ["k"], prune=True)) == rows(pruned)
+    reach = joins.in_reach(stored, batch.limit(0), ["k"], bits=640)
+    assert reach.count() == 0 and joins.in_reach(stored, stored, ["k"], bits=64).count() == 300_000
+    two = joins.in_reach(stored, stored.limit(5), ["k", "name"])
+    assert 5 <= two.count() < 100
+    with pytest.raises(ValueError):
+        joins.in_reach(stored, batch, ["k"], bits=100)
