@@ -44,16 +44,17 @@ def runs_for(similarity: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity))))
 
 
+def _digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.tobytes())
+
+
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for doc, text in zip(batch["doc_id"], batch["text"]):
+        for doc, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"]):
             s = shingles(text)
-            if len(s):
-                out.append((doc, xxhash.xxh3_128_digest(s.tobytes()), minhash(s).tolist()))
-            else:
-                out.append((doc, None, None))
-        yield pd.DataFrame(out, columns=["doc_id", "set", "least"])
+            out.append((doc, mark, _digest(s), minhash(s).tolist()) if len(s) else (doc, mark, None, None))
+        yield pd.DataFrame(out, columns=["doc_id", "mark", "set", "least"])
 
 
 def _children(rows: DataFrame) -> DataFrame:
@@ -178,18 +179,25 @@ def near_texts(docs: DataFrame, similarity: float = 0.8, recall: float = 0.999)
     the threshold, less above it. n_links counts the other documents linked directly, copies included; component_id is the least
     doc_id reachable by links and kept marks that document. Texts of one to four words are one shingle. Texts that are
     null or without words link with nothing; repeated rows are documents linked with each other, rows with a null
-    doc_id link with nothing. Rows that share a doc_id are one node of the graph. Other columns are not read.
+    doc_id link with nothing. Rows of one doc_id with different texts are documents of their own. Other columns are not read.
     """
-    return _joined(docs, *_classes(docs), similarity, recall)
+    return _joined(docs, *_classes(docs), similarity, recall).drop("mark")
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, mark, set) and the classes of equal sets: (id, doc, set, n, least).
+
+    A class has a number of its own, given when it is stored; ``doc`` is the least doc_id that has its set, and ``mark``
+    is a hash that tells texts of one doc_id apart.
+    """
     ship(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("doc_id").isNotNull(), F.col("text")).alias("text"))
-    signed = store(texts.mapInPandas(_signed, "doc_id long, set binary, least array<int>"), "signed")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"),
+        F.when(F.col("doc_id").isNotNull(), F.col("text")).alias("text"))
+    signed = store(texts.mapInPandas(_signed, "doc_id long, mark long, set binary, least array<int>"), "signed")
     classes = signed.filter(F.col("set").isNotNull()).groupBy("set").agg(
-        F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
-    return signed.select("doc_id", "set"), store(classes, "classes")
+        F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+    return signed.select("doc_id", "mark", "set"), store(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
 
 def _joined(docs: DataFrame, signed: DataFrame, classes: DataFrame, similarity: float, recall: float) -> DataFrame:
@@ -201,35 +209,46 @@ def _joined(docs: DataFrame, signed: DataFrame, classes: DataFrame, similarity:
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "shingles": [shingles(t).tobytes() for t in batch["text"]]})
-
-    # Shuffled at every size: few documents are wanted, but their number grows with the corpus.
-    wanted = needed.select("id").distinct().hint("merge")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    shingled = store(texts.mapInPandas(sets, "id long, shingles binary"), "sets")
+            found = [(i, s.tobytes()) for i, own, s in zip(batch["id"], batch["set"], map(shingles, batch["text"])) if own == _digest(s)]
+            yield pd.DataFrame(found, columns=["id", "shingles"])
+
+    # Shuffled at every size: few documents are wanted, but their number grows with the corpus. A doc_id may have other
+    # texts than that of the class, and repeated ones.
+    wanted = needed.select("id").distinct().join(classes.select("id", "doc", "set"), "id").hint("merge")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted, "doc").dropDuplicates(["doc", "id", "text"])
+    shingled = texts.select("id", "set", "text").mapInPandas(sets, "id long, shingles binary")
+    shingled = store(shingled.dropDuplicates(["id"]), "sets")  # texts that differ can have one set
     rows = needed.join(paths, "id").join(classes.select("id", "n"), "id").join(shingled, "id")
     found = store(grouped(
         _tiled(rows, needed), ["path", "a", "b"], lambda batch: _verified(batch, similarity), "id long, links long, least long"), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    components = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
-    named = classes.select("set", "id", "n").join(links, "id", "left").join(components, F.col("id") == F.col("node"), "left").select(
-        "set", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("component"))
-    out = signed.join(named, "set", "left")
+    linked = connected_components(found.select(F.col("id").alias("u"), F.col("least").alias("v")))
+    # Components are named by their least doc_id; only linked classes have one.
+    members = store(linked.join(classes.select(F.col("id").alias("node"), "doc"), "node"), "members")
+    names = members.groupBy("component").agg(F.min("doc").alias("name"))
+    named = members.join(names, "component").select(F.col("node").alias("id"), "name")
+    described = classes.select("set", "id", "doc", "n").join(links, "id", "left").join(named, "id", "left").select(
+        "set", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("name", "doc").alias("component"))
+    out = signed.join(described, "set", "left")
     component = F.coalesce("component", "doc_id")
     return out.select(
         "doc_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "mark")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
     """One document of each group of near copies, with all its columns: the one of least doc_id.
 
-    Documents without words stay, as they link with nothing; a document repeated as a whole row stays once.
+    Documents without words stay, as they link with nothing; rows equal in doc_id and text stay once. Rows of one
+    doc_id with different texts are told apart.
     """
-    kept = near_texts(docs, **options).filter("kept").select("doc_id").distinct()
-    kept = docs.withColumn("long id", F.col("doc_id").cast("long")).join(
-        kept.withColumnRenamed("doc_id", "kept id"), F.col("long id").eqNullSafe(F.col("kept id")), "left_semi")
-    return kept.dropDuplicates(["long id", "text"]).select(*docs.columns)
+    kept = _joined(docs, *_classes(docs), similarity, recall).filter("kept").select(
+        F.col("doc_id").alias("kept id"), F.col("mark").alias("kept mark")).distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("mark"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept id")) & (F.col("mark") == F.col("kept mark")), "left_semi")
+    rows = rows.withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 OP5_SQL = r"""

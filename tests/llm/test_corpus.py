@@ -372,3 +372,18 @@ def test_chats_over_batch_borders(spark, conf):
             read = [(chat.unescape(m[1], role=True), chat.unescape(m[2])) for m in chat._TURN.finditer(row["formatted"])]
             assert read == own
             assert [chat.unescape(row["formatted"][a:b]) for a, b in zip(row["loss_starts"], row["loss_ends"])] == [x for r, x in own if r == "assistant"]
+
+
+# --- 5 once more ---
+def test_different_texts_of_one_id_are_told_apart(spark):
+    rng = np.random.default_rng(8)
+    base = [" ".join(f"w{i}" for i in rng.integers(0, 900, 120)) for _ in range(4)]
+    near = [t.replace(t.split()[60], "changed", 1) for t in base]
+    rows = [(1, base[0]), (1, base[1]), (2, near[0]), (3, near[1]), (5, base[2]), (5, base[2]), (6, near[2]), (0, base[3]), (6, near[3]), (9, base[3].upper())]
+    docs = spark.createDataFrame([(i, t, "own", 1) for i, t in rows], "doc_id long, text string, `long id` string, mark int")
+    out = sorted(map(tuple, paths.near_texts(docs).collect()))
+    assert out == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (5, 2, 5, True), (5, 2, 5, True), (6, 2, 5, False),
+                          (0, 2, 0, True), (6, 2, 0, False), (9, 2, 0, False)])
+    kept = paths.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == sorted([(1, base[0], "own", 1), (1, base[1], "own", 1), (5, base[2], "own", 1), (0, base[3], "own", 1)])
