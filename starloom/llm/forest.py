@@ -13,6 +13,7 @@ too small to show is looked for again in every leaf that is too large, on the le
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -92,6 +93,35 @@ def _reach(threshold: float, radius: float = 0.5) -> float:
     return float(np.cos(min(np.pi, (1 + radius) * np.arccos(threshold)))) - MARGIN
 
 
+def kept(threshold: float) -> float:
+    """The chance that a split leaves a pair of this cosine together: their projections are normal, correlated by it."""
+    edge = _quantile(0.5 + BAND)
+    x = np.linspace(edge, 10.0, 20_001)
+    density = np.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+    beyond = np.array([0.5 * math.erfc(z / math.sqrt(2)) for z in (edge + threshold * x) / math.sqrt(1 - threshold**2)])
+    return float(1 - 2 * np.trapezoid(density * beyond, x))  # one below the band, the other above it, and the reverse
+
+
+def _quantile(share: float) -> float:
+    """Of the normal distribution, for a share above one half."""
+    low, high = 0.0, 10.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if 0.5 * math.erfc(-middle / math.sqrt(2)) < share else (low, middle)
+    return low
+
+
+def depth_for(vectors: float, leaf: int) -> int:
+    """Splits on the way to a leaf of at most ``leaf`` vectors."""
+    return max(0, math.ceil(math.log(max(1.0, vectors / leaf)) / -math.log(0.5 + BAND)))
+
+
+def trees_for(depth: int, threshold: float, recall: float) -> int:
+    """Trees after which a pair at the threshold has shared a leaf with chance ``recall``; one, if nothing is split."""
+    together = kept(threshold) ** depth
+    return 1 if together >= recall else math.ceil(math.log(1 - recall) / math.log(1 - together))
+
+
 def grow(sample: np.ndarray, levels: int, seed: int) -> tuple[int, np.ndarray, np.ndarray]:
     """A tree of ``levels`` splits: its seed and, by node in heap order, the two ends of the band; NaN: no split."""
     low, high = np.full(2**levels - 1, np.nan), np.full(2**levels - 1, np.nan)
@@ -185,9 +215,14 @@ def _key(leaf: int, tree: int, parent: int = 0) -> int:
     return (x ^ x >> 31) - 2**63
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 12, leaf: int = 640, seed: int = 17) -> DataFrame:
+def near_vectors(
+    vectors: DataFrame, threshold: float = 0.9, trees: int | None = None, leaf: int = 640, seed: int = 17, recall: float = 0.999,
+) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept.
 
+    The number of trees follows from the depth they need for leaves of ``leaf`` vectors and from the target ``recall`` of
+    pairs at the threshold, unless ``trees`` gives it; vectors that fit a leaf are compared once, without a split.
+
     ``vectors`` has vec_id and embedding. Linked are rows whose cosine, in double precision, reaches ``threshold``; the
     forest may miss pairs (see the recall test) and never links others. n_links counts the other rows linked directly,
     component_id is the least vec_id reachable by links. Null, empty and zero vectors, those with null or non-finite
@@ -206,7 +241,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 12, le
     links, edges = [], []
     for width in found:
         of = members.filter(F.col("width") == width)
-        _by_width(of.select("id", "n", "v", "h"), threshold, trees, leaf, seed, links, edges)
+        _by_width(of.select("id", "n", "v", "h"), threshold, trees, leaf, seed, recall, links, edges)
     if links:
         total = reduce(DataFrame.unionByName, links).groupBy("id").agg(F.sum("links").alias("links"))
         components = connected_components(reduce(DataFrame.unionByName, edges))
@@ -223,7 +258,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 12, le
         F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
-def _by_width(classes: DataFrame, threshold: float, trees: int, leaf: int, seed: int, links: list, edges: list) -> None:
+def _by_width(
+    classes: DataFrame, threshold: float, trees: int | None, leaf: int, seed: int, recall: float, links: list, edges: list,
+) -> None:
     spark = classes.sparkSession
     count = classes.count()
     head = classes.orderBy(F.xxhash64(F.lit(seed), "h"), "id").limit(SAMPLE).select("v").toPandas()["v"]
@@ -274,8 +311,9 @@ def _by_width(classes: DataFrame, threshold: float, trees: int, leaf: int, seed:
         return
     if len(centres):
         sample = sample[(_cosines(sample, centres) < inner).all(axis=1)]
-    levels = max(0, min(int(np.ceil(np.log(max(1.0, left / leaf)) / -np.log(0.5 + BAND))), int(np.log2(max(1, len(sample) / 16)))))
-    forest = [grow(sample, levels, seed * 1000 + t) for t in range(trees)]
+    depth = depth_for(left, leaf)
+    levels = min(depth, int(np.log2(max(1, len(sample) / 16))))
+    forest = [grow(sample, levels, seed * 1000 + t) for t in range(trees or trees_for(depth, threshold, recall))]
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -322,7 +360,7 @@ def _split(placed: DataFrame, leaf: int, threshold: float) -> tuple[DataFrame, D
             centres = centres[:0]
         else:
             others = sample[(close < threshold).all(axis=1)]
-            levels = int(np.ceil(np.log(max(1.0, size * len(others) / len(sample) / leaf)) / -np.log(0.5 + BAND)))
+            levels = depth_for(size * len(others) / len(sample), leaf)
             _, low, high = grow(others, max(1, min(levels, int(np.log2(max(2, len(others) / 16))))), abs(name))
         return pd.DataFrame({"leaf": [name], "low": [low.tobytes()], "high": [high.tobytes()], "centres": [centres.tobytes()]})
 

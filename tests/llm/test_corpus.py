@@ -182,6 +182,38 @@ def test_forest_links_groups_that_the_sample_is_too_small_for(spark):
     assert (found <= links).all() and found[12_000:].sum() >= 0.99 * links[12_000:].sum()
 
 
+def test_trees_follow_from_depth_and_recall():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=200_000)
+    y = 0.9 * x + np.sqrt(1 - 0.81) * rng.normal(size=200_000)
+    low, high = np.quantile(x, [0.5 - forest.BAND, 0.5 + forest.BAND])
+    apart = ((x < low) & (y > high)) | ((y < low) & (x > high))
+    assert abs(forest.kept(0.9) - (1 - apart.mean())) < 0.003
+    assert forest.trees_for(0, 0.9, 0.999) == 1 and forest.depth_for(500, 640) == 0
+    counts = [forest.trees_for(forest.depth_for(n, 640), 0.9, 0.999) for n in (10**4, 10**6, 10**8, 10**10)]
+    assert counts == sorted(counts) and 4 <= counts[0] < counts[-1] < 100
+
+
+@pytest.mark.parametrize("sf,leaf", [("sf0.01", 20), ("sf0.1", 160)])
+def test_forest_recall_with_splits(spark, sf, leaf):
+    """Leaves small enough that the vectors are split at three levels or more, against all pairs.
+
+    The given vectors hold no pair at 0.9, so half of them come a second time, turned to a cosine of 0.9 to 0.99.
+    """
+    rows = [r[0] for r in spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").orderBy("vec_id").select("embedding").collect()]
+    unit = np.array([r for r in rows if r and len(r) == len(rows[0]) and np.isfinite(r).all() and np.any(r)], float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    rng = np.random.default_rng(9)
+    turned, cosine = unit[::2], rng.uniform(0.9, 0.99, len(unit[::2]))[:, None]
+    aside = rng.normal(size=turned.shape)
+    aside -= (aside * turned).sum(1)[:, None] * turned
+    every = np.vstack([unit, cosine * turned + np.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside, axis=1)[:, None]])
+    links = (every @ every.T >= 0.9).sum(1) - 1
+    assert forest.depth_for(len(unit), leaf) >= 3 and links.sum() >= len(unit) * 0.95
+    found, _ = forest_links(spark, every, leaf=leaf)
+    assert (found <= links).all() and found.sum() >= 0.99 * links.sum()
+
+
 # --- 5: texts ---
 def test_joins_planted_copies(spark, odd):
     rng = np.random.default_rng(4)
