@@ -44,16 +44,12 @@ def runs_for(similarity: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity))))
 
 
-def _digest(hashes: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(hashes.tobytes())
-
-
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for doc, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"]):
             s = shingles(text)
-            out.append((doc, mark, _digest(s), minhash(s).tolist()) if len(s) else (doc, mark, None, None))
+            out.append((doc, mark, xxhash.xxh3_128_digest(s.tobytes()), minhash(s).tolist()) if len(s) else (doc, mark, None, None))
         yield pd.DataFrame(out, columns=["doc_id", "mark", "set", "least"])
 
 
@@ -184,19 +180,26 @@ def near_texts(docs: DataFrame, similarity: float = 0.8, recall: float = 0.999)
     return _joined(docs, *_classes(docs), similarity, recall).drop("mark")
 
 
+def _mark() -> Column:
+    """Names a row by its doc_id and text, nulls included: rows that share it are repetitions."""
+    own = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null"))
+    return F.unhex(F.md5(F.concat_ws("/", own, F.coalesce(F.concat(F.lit("text"), "text"), F.lit("null")))))
+
+
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, mark, set) and the classes of equal sets: (id, doc, set, n, least).
+    """Rows (doc_id, mark, set) and the classes of equal sets: (id, doc, mark, set, n, least).
 
-    A class has a number of its own, given when it is stored; ``doc`` is the least doc_id that has its set, and ``mark``
-    is a hash that tells texts of one doc_id apart.
+    A class has a number of its own, given when it is stored; ``doc`` is the least doc_id that has its set, ``mark``
+    the name of such a row.
     """
     ship(docs.sparkSession)
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"),
+        F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("mark"),
         F.when(F.col("doc_id").isNotNull(), F.col("text")).alias("text"))
-    signed = store(texts.mapInPandas(_signed, "doc_id long, mark long, set binary, least array<int>"), "signed")
+    signed = store(texts.mapInPandas(_signed, "doc_id long, mark binary, set binary, least array<int>"), "signed")
     classes = signed.filter(F.col("set").isNotNull()).groupBy("set").agg(
-        F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+        F.min(F.struct("doc_id", "mark")).alias("row"), F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+    classes = classes.select("set", F.col("row.doc_id").alias("doc"), F.col("row.mark").alias("mark"), "n", "least")
     return signed.select("doc_id", "mark", "set"), store(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
 
@@ -209,15 +212,12 @@ def _joined(docs: DataFrame, signed: DataFrame, classes: DataFrame, similarity:
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(i, s.tobytes()) for i, own, s in zip(batch["id"], batch["set"], map(shingles, batch["text"])) if own == _digest(s)]
-            yield pd.DataFrame(found, columns=["id", "shingles"])
-
-    # Shuffled at every size: few documents are wanted, but their number grows with the corpus. A doc_id may have other
-    # texts than that of the class, and repeated ones.
-    wanted = needed.select("id").distinct().join(classes.select("id", "doc", "set"), "id").hint("merge")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted, "doc").dropDuplicates(["doc", "id", "text"])
-    shingled = texts.select("id", "set", "text").mapInPandas(sets, "id long, shingles binary")
-    shingled = store(shingled.dropDuplicates(["id"]), "sets")  # texts that differ can have one set
+            yield pd.DataFrame({"id": batch["id"], "shingles": [shingles(t).tobytes() for t in batch["text"]]})
+
+    # Shuffled at every size: few documents are wanted, but their number grows with the corpus.
+    wanted = needed.select("id").distinct().join(classes.select("id", "mark"), "id").hint("merge")
+    texts = docs.select(_mark().alias("mark"), "text").join(wanted, "mark").dropDuplicates(["mark"])
+    shingled = store(texts.select("id", "text").mapInPandas(sets, "id long, shingles binary"), "sets")
     rows = needed.join(paths, "id").join(classes.select("id", "n"), "id").join(shingled, "id")
     found = store(grouped(
         _tiled(rows, needed), ["path", "a", "b"], lambda batch: _verified(batch, similarity), "id long, links long, least long"), "links")
@@ -242,12 +242,9 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8, recall: float = 0.999)
     Documents without words stay, as they link with nothing; rows equal in doc_id and text stay once. Rows of one
     doc_id with different texts are told apart.
     """
-    kept = _joined(docs, *_classes(docs), similarity, recall).filter("kept").select(
-        F.col("doc_id").alias("kept id"), F.col("mark").alias("kept mark")).distinct()
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("mark"))
-    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept id")) & (F.col("mark") == F.col("kept mark")), "left_semi")
-    rows = rows.withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"])
+    kept = _joined(docs, *_classes(docs), similarity, recall).filter("kept").select(F.col("mark").alias("kept")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _mark().alias("mark"))
+    rows = rows.join(kept, F.col("mark") == F.col("kept"), "left_semi").dropDuplicates(["mark"])
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
