@@ -114,8 +114,8 @@ def stage_json(
     """A bulk load of JSON lines with an error budget, in one pass over the files.
 
     Fields carry the columns' names, or the n-th of ``json_paths`` fills the n-th column; invalid bytes become
-    ``replacement``, if given. Each line is parsed once. Rows and rejects are written together, to one scratch table
-    with a directory for each, and are counted in that same write, so reading either costs a scan of it alone. More
+    ``replacement``, if given. Each line is parsed once. Rows and rejects are written together, to one scratch table,
+    and are counted in that same write; reading the few rejects skips the row groups without any. More
     than ``max_rejects`` rejected lines are an error, which leaves nothing loaded; None allows any number.
     With ``keep_file`` the rows have a further column ``_file``.
     Blank lines are no rows. Missing fields, nulls and, where the column is no text, empty values are nulls, not rejects.
@@ -145,7 +145,7 @@ def stage_json(
     counters = [F.count_if(F.array_contains("reject.columns", c)).alias(f"at {i}") for i, c in enumerate(names)]
     stored = materialize(
         judged.observe(observation, F.count(F.lit(1)).alias("all"), F.count_if("rejected").alias("rejects"), *counters),
-        "staged", partition_by=["rejected"])
+        "staged")
     found = observation.get
     return Staged(
         stored.filter("NOT rejected").select("row.*", *["_file"] * keep_file), stored.filter("rejected").select("reject.*"),
