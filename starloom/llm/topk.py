@@ -177,7 +177,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, block: i
     sizes = [(r["n"], r["count"]) for r in rows.groupBy(F.size("v").alias("n")).count().collect()]  # one entry per vector length
     result = None
     for n, count in sizes:
-        part = _search(rows.filter(F.size("v") == n), max(1, -(-count // block), min(64, count // 1_024)), k, scale)
+        part = _search(rows.filter(F.size("v") == n), max(1, -(-count // block)), k, scale)
         result = part if result is None else result.unionByName(part)
     if result is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
