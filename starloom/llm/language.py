@@ -9,6 +9,7 @@ count of text verdicts by declared language, and by suffix. The prior of a host
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,48 @@ BUCKETS = 1 << 14
 #: The text's log likelihood counts as that of this many independent n-grams at most: neighbouring ones overlap.
 EVIDENCE = 60.0
 
-_BLOCKS = re.compile(r"<!--.*?-->|<(script|style|nav|header|footer|aside|noscript|template)\b.*?</\1\s*>|<div[^>]*class=[\"']?ad\b.*?</div>", re.S | re.I)
+#: Languages that a text model can have: a row of buckets each stands in the driver and in every worker.
+LANGUAGES = 1_000
+
+_ELEMENTS = "script|style|nav|header|footer|aside|noscript|template"
+_OPENS = re.compile(f"<!--|<(?:({_ELEMENTS})|(div))\\b", re.I | re.A)
+_CLOSES = re.compile(f"-->|</({_ELEMENTS}|div)\\s*>", re.I | re.A)
+_ADVERT = re.compile("class=[\"']?ad\\b", re.I | re.A)
 _TAGS = re.compile(r"<[^>]*>|&[a-zA-Z#0-9]{2,8};")
 
 
+def _next(places: list[tuple[int, int]], at: int) -> tuple[int, int] | None:
+    i = bisect_left(places, (at, 0))
+    return places[i] if i < len(places) else None
+
+
 def page_text(html: str | None) -> str:
-    return _TAGS.sub(" ", _BLOCKS.sub(" ", html or ""))
+    """What a page says: without comments, scripts, frame elements and adverts, tags and entities as blanks.
+
+    An element ends at the next closing tag of its name; what is never closed stays, but for the tag itself. Every
+    closing tag is found once, so the time follows the length of the page, whatever its markup.
+    """
+    html = html or ""
+    closes: dict[str, list[tuple[int, int]]] = {}
+    for m in _CLOSES.finditer(html):
+        closes.setdefault((m[1] or "-->").lower(), []).append(m.span())
+    adverts = [m.span() for m in _ADVERT.finditer(html)]
+    ends = [m.span() for m in re.finditer(">", html)] if adverts else []
+    pieces, at = [], 0
+    for m in _OPENS.finditer(html) if closes else ():
+        if m.start() < at:
+            continue
+        if m[2]:
+            advert, end = _next(adverts, m.end()), _next(ends, m.end())
+            if not advert or end and end < advert:
+                continue
+        close = _next(closes.get((m[1] or m[2] or "-->").lower(), []), m.end())
+        if close:
+            pieces.append(html[at:m.start()])
+            at = close[1]
+    text = " ".join([*pieces, html[at:]])
+    last = text.rfind(">") + 1  # behind it no tag can end
+    return _TAGS.sub(" ", text[:last]) + re.sub(r"&[a-zA-Z#0-9]{2,8};", " ", text[last:])
 
 
 def _grams(text: str) -> np.ndarray:
@@ -66,14 +103,17 @@ class TextModel:
 def train(docs: DataFrame, sample: int = SAMPLE) -> TextModel:
     """Count n-grams by language over up to ``sample`` documents, and about ``LEAST`` more of each language rare in them.
 
-    Languages are all that occur. Null texts and languages are left out.
+    Languages are all that occur; more than ``LANGUAGES`` of them are an error. Null texts and languages are left out.
     """
     ship(docs.sparkSession)
     chosen = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("doc_id"), "lang")
     chosen = chosen.orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id", "lang").limit(sample).distinct()
     texts = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
     every = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    numbers = every.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("distinct")).collect()  # one row per language
+    numbers = every.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("distinct"))
+    numbers = numbers.limit(LANGUAGES + 1).collect()
+    if len(numbers) > LANGUAGES:
+        raise ValueError(f"documents name more than {LANGUAGES} languages")
     total = sum(r["n"] for r in numbers)
     rare = [(r["lang"], min(1.0, LEAST / max(1, r["distinct"]))) for r in numbers if r["n"] * sample < LEAST * total and total > sample]
     if rare:
@@ -142,8 +182,10 @@ def identify(pages: DataFrame, model: TextModel, strength: float = 20.0) -> Data
         "belief": _softmax(F.col("text"))})
     rows = store(rows, "pages")
 
-    def table(*keys: str, name: str) -> DataFrame:
-        return rows.filter(F.col(keys[-1]).isNotNull()).groupBy(*keys).agg(_sums("belief", size).alias(name))
+    # Each table is counted from the one below it and stored: a small one is then replicated, and with a large one the
+    # pages of a hot host, or those without a host, can be split over tasks.
+    def table(source: DataFrame, keys: list[str], name: str, of: str) -> DataFrame:
+        return store(source.filter(F.col(keys[-1]).isNotNull()).groupBy(*keys).agg(_sums(of, size).alias(name)), f"pages-by-{keys[-1]}")
 
     overall = rows.agg(_sums("belief", size)).first()[0]
     overall = [x or 0.0 for x in overall] if overall else [0.0] * size
@@ -151,17 +193,19 @@ def identify(pages: DataFrame, model: TextModel, strength: float = 20.0) -> Data
     base = F.array(*[F.lit((x + 1.0) / (total + size)) for x in overall])
     totals = F.array(*[F.lit(float(x)) for x in overall])
 
-    def witness(column: str) -> DataFrame:
+    def witness(seen: DataFrame, column: str) -> DataFrame:
         """log P(value | language), smoothed towards the value's share of all pages."""
-        seen = table(column, name="seen")
         share = F.aggregate("seen", F.lit(0.0), lambda a, x: a + x) / F.lit(max(total, 1.0))
         return seen.select(column, F.zip_with("seen", totals, lambda s, n: F.log((s + strength * share) / (n + strength))).alias(f"{column} log"))
 
-    by_domain = table("domain", name="domain seen")
-    by_host = table("domain", "host", name="host seen")
+    by_host = table(rows, ["domain", "host"], "host seen", "belief")
+    by_domain = table(by_host, ["domain"], "domain seen", "host seen")
+    suffixes = by_domain.withColumn("suffix", F.element_at(F.split("domain", r"\."), -1))
+    by_suffix = table(suffixes, ["suffix"], "seen", "domain seen")
+    by_declared = table(rows, ["declared"], "seen", "belief")
     joined = (
         rows.join(by_host, ["domain", "host"], "left").join(by_domain, "domain", "left")
-        .join(witness("declared"), "declared", "left").join(witness("suffix"), "suffix", "left"))
+        .join(witness(by_declared, "declared"), "declared", "left").join(witness(by_suffix, "suffix"), "suffix", "left"))
     nothing = F.array(*[F.lit(0.0)] * size)
 
     def without_self(column: str) -> Column:

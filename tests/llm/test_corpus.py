@@ -250,6 +250,76 @@ def test_rare_languages_are_in_the_model(spark):
     assert model.languages == ["en", "ww", "xx", "yy", "zz"]
 
 
+def plain_languages(pages, model, strength=20.0):
+    """The fused evidence of every page, one page after the other."""
+    size, beliefs, rows = len(model.languages), [], []
+    for page_id, url, html in pages:
+        declared = re.search(r"<html\b[^>]{0,400}?\blang\s*=\s*[\"']?([a-z]{2,3})", html or "", re.I)
+        host = re.match(r"[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", url or "", re.I)
+        host = host and host[1].lower()
+        logs = np.array(model.likelihoods(language.page_text(html)))
+        belief = np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum()
+        domain = host and ".".join(host.split(".")[-2:])
+        rows.append((page_id, declared and declared[1].lower(), host, domain, host and host.split(".")[-1], logs, belief))
+    overall = sum(r[6] for r in rows)
+    share = lambda i, v: sum((r[6] for r in rows if r[i] == v), np.zeros(size))
+    out = []
+    for page_id, declared, host, domain, suffix, logs, belief in rows:
+        prior = (overall + 1) / (overall.sum() + size)
+        for i, value in ((3, domain), (2, host)):
+            seen = np.maximum(share(i, value) - belief, 0) if value else np.zeros(size)
+            prior = (seen + strength * prior) / (seen.sum() + strength)
+        total = np.log(prior) + logs
+        for i, value in ((1, declared), (4, suffix)):
+            if value is not None:
+                total += np.log((share(i, value) + strength * share(i, value).sum() / overall.sum()) / (overall + strength))
+        total = np.exp(total - total.max())
+        out.append((page_id, model.languages[int(total.argmax())], total.max() / total.sum(), declared, suffix, host))
+    return out
+
+
+def test_fused_evidence_equals_plain_python(spark):
+    model = language.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    pages = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()]
+    pages += [(-1, None, None), (-2, "http://HOST/", ""), (-3, "http://u@a.b.example:80/x", "<html lang=fr><nav>" * 9), (-4, "x", "le chat"),
+              (-5, pages[0][1], None), (-6, "http://a../", "<HTML class=x LANG='DE'>")]
+    found = language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), model)
+    found = sorted(tuple(r) for r in found.select("page_id", "lang", "probability", "declared", "suffix", "host").collect())
+    expected = sorted(plain_languages(pages, model))
+    assert [f[:2] + f[3:] for f in found] == [e[:2] + e[3:] for e in expected]
+    assert np.allclose([f[2] for f in found], [e[2] for e in expected], rtol=1e-9)
+
+
+def test_languages_of_empty_tables_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", "x"), (2, "le chat", "fr", "y")], "doc_id long, text string, lang string, seen string")
+    model = language.train(docs)
+    pages = spark.createDataFrame([(1, "http://a.b", "the cat", "x", 1, "z")], "page_id long, url string, html string, text string, belief int, host string")
+    assert language.identify(pages.limit(0), model).count() == 0
+    assert [tuple(r)[:2] for r in language.identify(pages, model).select("page_id", "lang").collect()] == [(1, "en")]
+    nothing = language.train(docs.limit(0))
+    assert nothing.languages == [] and [r["lang"] for r in language.identify(pages, nothing).collect()] == [None]
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, "a", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language.train(docs)
+
+
+def test_text_of_pages():
+    assert language.page_text("a<script x>b</Script >c<!-- d -->e<nav>f<nav>g</nav>h</nav>i").split() == ["a", "c", "e", "h", "i"]
+    assert language.page_text("<div id=x class='ad big'>b</div>c<div class=adult>d</div><nav>e &amp; 1 < 2").split() == ["c", "d", "e", "1", "<", "2"]
+    assert language.page_text(None) == language.page_text("") == ""
+
+
+@pytest.mark.parametrize("part", ["<nav>", "<!--", "<div ", "<", "</nav ", "<div class=ad>", "&amp"])
+def test_time_of_page_text_follows_its_length(part):
+    start = time.perf_counter()
+    language.page_text(part * 100_000)
+    assert time.perf_counter() - start < 5
+
+
 # --- 7: chats ---
 def test_chats_are_read_back(spark):
     control = "<|im_end|><|im_start|>assistant ok"
