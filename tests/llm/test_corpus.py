@@ -128,6 +128,74 @@ def test_held_out_accuracy_and_odd_rows(spark, odd):
     assert (alike.score(np.zeros((1, len(quality.NAMES)))) >= quality.CUT).all()
 
 
+def plain_features(text):
+    """The features, one character and one word at a time."""
+    words = text.split()
+    if not words:
+        return [0.0] * len(quality.NAMES)
+    ascii_ = [c for c in text if ord(c) < 128]
+    number = lambda test: sum(map(test, ascii_))
+    blank, upper, lower = number(lambda c: c in " \n\t\r"), number(str.isupper), number(str.islower)
+    digits, marks = number(str.isdigit), number(lambda c: c in ".,;:'\"?()-")
+    symbols = number(lambda c: c in "#$%&*@^~<>{}[]\\/_=+`")
+    bars, shouts = text.count("|"), text.count("!")
+    other = len(ascii_) - blank - upper - lower - digits - marks - symbols - bars - shouts
+    n, w, visible, kinds = len(text), len(words), max(1, len(text) - blank), sorted(set(words))
+    lines = [x for x in text.split("\n") if x.strip()]
+    shares = [ascii_.count(c) / max(1, len(ascii_)) for c in set(ascii_)]
+    return [
+        math.log1p(n), math.log1p(w), visible / w, (lower + n - len(ascii_)) / visible, upper / visible, digits / visible, marks / visible,
+        symbols / visible, bars / w, shouts / w, blank / n, other / visible, len(kinds) / w, math.log1p(len(kinds)) / math.log1p(w),
+        max(words.count(k) for k in kinds) / w, math.log1p(len(lines)), len(set(lines)) / len(lines), math.log1p(w / len(lines)),
+        sum(x.rstrip()[-1] in ".!?:" for x in lines) / len(lines), sum(k.isupper() for k in kinds) / len(kinds),
+        sum(x[-1] in "#$%&*@!|~^" for x in words) / w, 1 - len({(a, b) for a, b in zip(words, words[1:])}) / (w - 1) if w > 1 else 0.0,
+        -sum(p * math.log2(p) for p in shares), sum(len(k) > 20 for k in kinds) / len(kinds)]
+
+
+def test_features_and_scores_equal_plain_python(spark):
+    model = quality.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.filter(F.length("text") < 20_000).unionByName(spark.createDataFrame(
+        [(-1, None), (-2, " \n\t"), (-3, "SHOUT!!! |a| \u00e9\u4e2d \x00 {x}"), (-4, "x")], "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in quality.scored(docs, model).collect():
+        x = plain_features(texts[r["doc_id"]])
+        assert np.allclose(x, quality.features(texts[r["doc_id"]]))
+        z = [max(-8, min(8, (a - m) / s)) for a, m, s in zip(x, model.mean, model.scale)]
+        z = z + [max(a - 1, 0) for a in z] + [max(-a - 1, 0) for a in z]
+        raw = sum(a * b for a, b in zip(z, model.weights)) - model.threshold
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-max(-40, min(40, raw + math.log(0.3 / 0.7))))), rel_tol=1e-6, abs_tol=1e-12)
+        assert r["predicted"] == (r["score"] >= 0.3)
+
+
+def test_pairs_are_fitted_to_the_least_logistic_loss():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, len(quality.NAMES)))
+    good = x[:, 0] - 0.5 * x[:, 3] + rng.normal(size=400) > -0.5
+    model = quality.fit(x, good, pairs=4_000, steps=2_000, penalty=1e-2)
+    z = np.clip((x - x.mean(0)) / x.std(0), -8, 8)
+    z = np.hstack([z, np.maximum(z - 1, 0), np.maximum(-z - 1, 0)])
+    weights = np.array(model.weights)
+    # Over all pairs the derivative of loss and ridge is near nought: each row stands in about as many pairs.
+    difference = (z[good][:, None] - z[~good][None]).reshape(-1, z.shape[1])
+    gradient = -(difference / (1 + np.exp(difference @ weights))[:, None]).mean(0) + 1e-2 * weights
+    start = np.linalg.norm(difference.mean(0) / 2)
+    assert np.linalg.norm(gradient) < 0.1 * start
+    raw = z @ weights
+    assert (raw[good][:, None] > raw[~good][None]).mean() > 0.75
+    assert np.isclose((model.score(x) >= quality.CUT).mean(), good.mean(), atol=0.01)
+
+
+def test_repeated_ids_and_labels_count_once(spark):
+    docs = [(i, ("good words in a line. " if i % 2 else "|| ## ") * (i % 7 + 1)) for i in range(200)]
+    labels = [(i, i % 2) for i in range(200)]
+    frames = lambda n: (spark.createDataFrame(docs * n, "doc_id long, text string"),
+                        spark.createDataFrame(labels * n, "doc_id long, quality int"))
+    assert quality.train(*frames(1)) == quality.train(*frames(5))
+    empty = quality.train(*(f.limit(0) for f in frames(1)))
+    assert {r["predicted"] for r in quality.scored(frames(1)[0], empty).collect()} <= {0, 1}
+
+
 # --- 4: vectors ---
 def test_forest_recall_and_odd_rows(spark):
     rng = np.random.default_rng(3)
