@@ -58,49 +58,77 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, cap: f
     return table.select("src", "source_size", F.round(F.least(F.col("weight") * level, limit), 6).alias("target"))
 
 
-def mix(docs: DataFrame, payload: list[str] | None = None, weights: tuple[float, ...] = (3, 1, 2),
-        share: float = 1.5, cap: float = 2.0, range_rows: int = 20_000, seed: int = 11) -> DataFrame:
-    """How many words of every row the mix takes.
-
-    Returns one row per input row: doc_id, size, source_size, target, epochs (whole copies taken), partial (words of
-    one more copy) and taken = epochs * size + partial, plus ``row``, a struct of the ``payload`` columns. Over a
-    source the taken words add up to its target, rounded. Null texts have size 0; a null source is a source of its
-    own, last in order; equal rows are interchangeable, so ties in the key do not matter; an empty table or one
-    without words gives targets of 0. Columns beyond doc_id, text, source and the payload are not read. The key is a
-    hash of doc_id and size, so reruns agree.
-    """
-    row = F.struct(*payload) if payload else F.lit(None).cast("string")
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    """doc_id, source, size, src (the source, null included) and key; the key follows from doc_id and size alone."""
     sized = docs.select(
         F.col("doc_id"), F.col("source"), word_count(text_or_empty()).alias("size"),
-        F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")).alias("src"), row.alias("row"))
-    sized = sized.withColumn("key", F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"), "size")))
-    light = sized.drop("row")
-    if payload is None:  # the texts are read once; the counted rows serve every later step
-        sized = store(light, "sized")
-        light, sized = sized, sized.withColumn("row", F.lit(None).cast("string"))
-    else:
-        light = store(light, "sized")
-    rows = light.count()
+        F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")).alias("src"))
+    return sized.withColumn("key", _key(F.col("doc_id"), F.col("size"), seed))
+
+
+def _key(doc_id: Column, size: Column, seed: int) -> Column:
+    return F.md5(F.concat_ws("/", F.lit(seed), doc_id.cast("string"), size))
+
+
+def _planned(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float, range_rows: int) -> tuple[Column, DataFrame]:
+    """The range that a key falls into, and per source and range: words, offset, source_size, target, epochs, rest."""
+    rows = sized.count()
     digits = max(1, math.ceil(math.log(max(1, rows / range_rows), 16)))
     bucket = F.substring("key", 1, digits)
-    ranges = light.groupBy("source", "src", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
+    ranges = sized.groupBy("source", "src", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
     ranges = store(ranges, "ranges")
     sources = ranges.groupBy("source", "src").agg(F.sum("words").alias("source_size"))
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = (
-        ranges.select("src", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
+        ranges.select("src", "bucket", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
         .join(targets(sources, weights, share, cap), "src")
         .withColumn("budget", F.round("target").cast("long"))
         .withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0)))
         .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size")))
+    return bucket, plan
+
+
+def _ahead() -> Column:
+    """The words of a source that stand before a row in the order of keys."""
     inside = Window.partitionBy("src", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("bucket", bucket).join(plan, ["src", "bucket"]).withColumn(
-        "ahead", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0,
+        range_rows: int = 20_000, seed: int = 11) -> DataFrame:
+    """How many words of every row the mix takes.
+
+    Returns one row per input row: doc_id, size, source_size, target, epochs (whole copies taken), partial (words of
+    one more copy) and taken = epochs * size + partial. Over a source the taken words add up to its target, rounded.
+    Null texts have size 0; a null source is a source of its own, last in order; equal rows are interchangeable, so
+    ties in the key do not matter; an empty table or one without words gives targets of 0. Columns beyond doc_id, text
+    and source are not read. The key is a hash of doc_id and size, so reruns agree.
+    """
+    sized = store(_sized(docs, seed), "sized")  # the texts are read once; the counted rows serve every later step
+    bucket, plan = _planned(sized, weights, share, cap, range_rows)
+    placed = sized.withColumn("bucket", bucket).join(plan, ["src", "bucket"]).withColumn("ahead", _ahead())
     partial = F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("ahead")))
     return placed.select(
         "doc_id", "size", "source_size", "target", F.col("epochs").cast("long").alias("epochs"),
         partial.cast("long").alias("partial"),
-        (F.col("epochs") * F.col("size") + partial).cast("long").alias("taken"), "row")
+        (F.col("epochs") * F.col("size") + partial).cast("long").alias("taken"))
+
+
+def cuts(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float, range_rows: int) -> DataFrame:
+    """Per source: epochs, and the row at which its further copies end.
+
+    Rows with a key below ``cut`` are taken once more; of the ``twins`` rows that have this key, ``whole`` are, and
+    the next one up to its word ``words``. Only the range that holds the cut is sorted.
+    """
+    bucket, plan = _planned(sized, weights, share, cap, range_rows)
+    last = plan.filter((F.col("offset") <= F.col("rest")) & (F.col("rest") < F.col("offset") + F.col("words")))
+    near = sized.withColumn("bucket", bucket).join(last.select("src", "bucket", "offset", "rest"), ["src", "bucket"])
+    near = near.withColumn("ahead", _ahead()).groupBy("src", "rest", "key", "size").agg(
+        F.min("ahead").alias("ahead"), F.count(F.lit(1)).alias("twins"))
+    over = F.col("rest") - F.col("ahead")
+    at = near.filter((over >= 0) & (over < F.col("size") * F.col("twins"))).select(
+        "src", F.col("key").alias("cut"), "twins", F.floor(over / F.col("size")).alias("whole"), (over % F.col("size")).alias("words"))
+    return store(plan.select("src", "epochs").distinct().join(at, "src", "left"), "cuts")
 
 
 def first_words(text: Column, count: Column) -> Column:
@@ -109,14 +137,32 @@ def first_words(text: Column, count: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), F.greatest(count, F.lit(1)).cast("int")), "")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0,
+                    range_rows: int = 20_000, seed: int = 11) -> DataFrame:
     """The mixed corpus itself: each document once per whole epoch, the document at the cut once more, up to the cut.
 
     Same columns as ``docs``; n_chars, if there, follows the text. Documents without words belong to no mix: they are
-    taken once, as they cost nothing.
+    taken once, as they cost nothing. Only keys and sizes are ranked; each text is read in place and compared with its
+    source's cut. Equal rows are interchangeable: as many of them are taken as the budget asks for.
     """
     columns = docs.columns
-    taken = mix(docs, payload=columns, **options)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), word_count(text_or_empty()).alias("size"),
+        F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")).alias("src"))
+    rows = rows.withColumn("key", _key(F.col("row.doc_id"), F.col("size"), seed))
+    ends = cuts(store(_sized(docs, seed), "sized"), weights, share, cap, range_rows)
+    # One row per source: texts stay where they are unless there are very many sources.
+    placed = rows.join(ends, "src")
+    at = F.col("key").eqNullSafe(F.col("cut"))
+    alone = F.when(F.col("key") < F.col("cut"), F.col("size")).when(at, F.col("words")).otherwise(0)
+    taken = placed.withColumn("partial", alone)
+    if not ends.filter("twins > 1").isEmpty():  # rows of one key at a cut are told apart by a number
+        again = at & (F.col("twins") > 1)
+        number = F.row_number().over(Window.partitionBy("src").orderBy(F.xxhash64("row.text"))) - 1
+        part = F.when(F.col("number") < F.col("whole"), F.col("size")).when(F.col("number") == F.col("whole"), F.col("words")).otherwise(0)
+        taken = taken.filter(~again).unionByName(
+            placed.filter(again).withColumn("number", number).withColumn("partial", part).drop("number"))
+    taken = taken.withColumn("partial", F.col("partial").cast("long"))
     whole = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("epochs"))
     none = F.array().cast("array<bigint>")
     copies = taken.select("size", "row", F.explode(F.concat(

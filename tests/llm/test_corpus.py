@@ -456,6 +456,31 @@ def test_mix_meets_targets_and_repeats(spark, odd):
     assert mixing.mix(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("range_rows", [20, 20_000])
+def test_mixed_documents_hold_the_words_that_the_mix_takes(spark, range_rows):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("row", F.lit("mine")).withColumn("cut", F.lit("ours"))
+    taken = {r["doc_id"]: r for r in mixing.mix(docs, range_rows=range_rows).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    found = {}
+    for r in mixing.mixed_documents(docs, range_rows=range_rows).collect():
+        assert r["row"] == "mine" and r["cut"] == "ours" and texts[r["doc_id"]].startswith(r["text"] or "")
+        found.setdefault(r["doc_id"], []).append(len(re.findall(mixing.WORD, r["text"] or "")))
+    for i, r in taken.items():
+        expected = [r["size"]] * (r["epochs"] if r["size"] else 1) + [r["partial"]] * (r["partial"] > 0)
+        assert sorted(found.get(i, [])) == sorted(expected)
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_at_the_cut_are_taken_up_to_the_word(spark):
+    docs = [(7, "a b c d e", "x")] * 40 + [(8, "f g", "y")] * 3 + [(None, "h i j", None)] * 5 + [(9, None, "z"), (9, "", "z")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    targets = {(r["source_size"], r["target"]) for r in mixing.mix(docs).collect()}
+    out = mixing.mixed_documents(docs)
+    words = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(mixing.word_count(F.coalesce("text", F.lit("")))).alias("n")).collect()}
+    assert {(200, words["x"]), (6, words["y"]), (15, words[None]), (0, words["z"])} == {(s, round(t)) for s, t in targets}
+    assert out.filter("source = 'z'").count() == 2
+
+
 def test_pipeline_stages_take_effect(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
