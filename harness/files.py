@@ -148,9 +148,9 @@ def clean_events_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events")
     log = play_log(spark, sf_dir).select(*schemas.EVENT_CSV.fieldNames(), "page")
     log = log.withColumn("artist", F.when(F.col("page") == "NextSong", F.col("artist")))
-    log.select(*schemas.EVENT_CSV.fieldNames()).write.csv(f"{path}/raw", header=True)
+    log.select(*schemas.EVENT_CSV.fieldNames()).write.csv(f"{path}/raw", header=True, compression="gzip")
     raw = files.read_csv(spark, f"{path}/raw", schemas.EVENT_CSV)
-    loads.write_csv(query_tables.clean_events(raw), f"{path}/clean")
+    loads.write_csv(query_tables.clean_events(raw), f"{path}/clean", compression="gzip")
     clean = schemas.table(**{c: STRING for c in schemas.CLEAN_EVENTS})
     return files.read_csv(spark, f"{path}/clean", clean)
 

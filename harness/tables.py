@@ -37,8 +37,8 @@ def scratch_database(spark: SparkSession) -> str:
 # --- catalogue: one entry per part ----------------------------------------------------------
 # Twenty neighbouring parts share a title and five a duration, at any table size, so a play
 # matches more than one entry but never a share of the catalogue.
-def _title() -> Column:
-    return F.concat(F.lit("No. "), F.expr("p_partkey div 20"))
+def _title(key: str = "p_partkey") -> Column:
+    return F.concat(F.lit("No. "), F.expr(f"{key} div 20"))
 
 
 def _duration() -> Column:
@@ -74,15 +74,19 @@ CATALOGUE = """catalogue AS (
 
 # --- play log: one event per order line -----------------------------------------------------
 def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as an event log; lines sold at a discount have a length the catalogue lacks."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", _title().alias("title"), _duration().alias("duration"))
+    """Order lines as an event log; lines sold at a discount have a length the catalogue lacks.
+
+    Beyond the broadcast limit every join shuffles, so customers meet the orders, which are fewer than the lines, and
+    the lines shuffle twice, before they have the texts of order and customer.
+    """
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", _duration().alias("duration"))
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    bought = orders.join(replicated(customer), F.col("o_custkey") == F.col("c_custkey"))
     lines = (
         read(spark, sf_dir, "lineitem")
         .join(replicated(part), F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(replicated(customer), F.col("o_custkey") == F.col("c_custkey"))
+        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return lines.select(
         F.col("p_brand").alias("artist"),
@@ -98,7 +102,7 @@ def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "Home").otherwise("NextSong").alias("page"),
         millis(F.col("o_orderdate")).alias("registration"),
         F.col("l_orderkey").alias("sessionId"),
-        F.col("title").alias("song"),
+        _title("l_partkey").alias("song"),
         F.lit(200).alias("status"),
         (millis(F.col("l_shipdate")) + F.col("l_partkey")).alias("ts"),
         F.col("l_returnflag").alias("userAgent"),

@@ -57,9 +57,14 @@ def write_json(
     _writer(df, partition_by, mode, None, ()).json(path)
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ",", mode: str = "overwrite") -> None:
-    """CSV with a header and every field in quotes."""
-    df.write.mode(mode).csv(path, header=True, quoteAll=True, sep=separator, escape='"')
+def write_csv(
+    df: DataFrame, path: str, separator: str = ",", mode: str = "overwrite", compression: str | None = None,
+) -> None:
+    """CSV with a header and every field in quotes.
+
+    ``compression`` is a codec of Spark's, such as ``gzip``; a gzip file is read by one task, so it suits frames of many partitions.
+    """
+    df.write.mode(mode).csv(path, header=True, quoteAll=True, sep=separator, escape='"', compression=compression)
 
 
 def cluster_by(df: DataFrame, partition_key: Sequence[str], clustering: Sequence[str] = ()) -> DataFrame:
