@@ -225,13 +225,21 @@ def views_over_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- end-to-end loads -----------------------------------------------------------------------
 def _write_music_sources(spark: SparkSession, sf_dir: str) -> str:
-    """Song and log files; the logs in one directory per year and month."""
+    """Song and log files; the logs in one directory per year and month.
+
+    JSON lines repeat their field names, so they are compressed, in files small enough to be read by one task each. Log
+    lines are written by the tasks that join them, in time order, with a file in each of their months' directories.
+    """
     source = scratch_path(spark, "music")
-    catalogue(spark, sf_dir).write.json(f"{source}/song_data")
+
+    def write(rows: DataFrame, name: str, *folders: str) -> None:
+        rows.write.option("maxRecordsPerFile", 250_000).partitionBy(*folders).json(f"{source}/{name}", compression="gzip")
+
+    write(catalogue(spark, sf_dir), "song_data")
     log = play_log(spark, sf_dir)
     day = F.timestamp_millis("ts")
-    dated = log.withColumns({"y": F.year(day), "m": F.month(day)})
-    loads.write_json(dated, f"{source}/log_data", ["y", "m"])
+    dated = log.withColumns({"y": F.year(day), "m": F.month(day)}).sortWithinPartitions("y", "m", "ts")
+    write(dated, "log_data", "y", "m")
     return source
 
 

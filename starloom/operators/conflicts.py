@@ -14,7 +14,24 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.operators.joins import in_reach
+from starloom.operators.joins import fits_broadcast, in_reach
+from starloom.session import materialize
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """The distinct rows of a wide frame in which few rows repeat; ``df`` must be a stored one, it is read again.
+
+    A first pass shuffles a hash of each row. Only rows whose hash comes more than once are compared, and so shuffled,
+    whole; all others pass. Where those hashes are too many to replicate, all rows are compared as usual.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    counted = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = materialize(counted.filter("_rows > 1").select("_hash"), "repeated")
+    if not fits_broadcast(repeated):
+        return df.distinct()
+    once = hashed.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
+    return once.unionByName(hashed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash").distinct())
+
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Column, list[str]]:
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -57,6 +74,21 @@ def without_known(new: DataFrame, existing: DataFrame, keys: Sequence[str], prun
     return new.join(known, same, "left_anti")
 
 
+def without_stored(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``without_known`` for stored frames, which are read again: nothing shuffles if nothing is stored, else the keys do.
+
+    Few unknown keys are replicated, so the rows need no shuffle; if they are many, the rows are looked up as usual.
+    """
+    if existing.isEmpty():
+        return new
+    unknown = materialize(without_known(new.select(*keys), existing, keys).distinct(), "unknown")
+    if not fits_broadcast(unknown):
+        return without_known(new, existing, keys)
+    unknown = unknown.toDF(*[f"_unknown_{i}" for i in range(len(keys))])
+    same = reduce(and_, [new[k].eqNullSafe(unknown[f"_unknown_{i}"]) for i, k in enumerate(keys)])
+    return new.join(F.broadcast(unknown), same, "left_semi")
+
+
 def insert_if_absent(
     new: DataFrame, existing: DataFrame | None, keys: Sequence[str], order: Sequence[str] = (), prune: bool = False,
 ) -> DataFrame:

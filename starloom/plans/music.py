@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions.calendar import PRECISIONS, calendar_parts
 from starloom.functions.keys import hash_key
-from starloom.operators.conflicts import keep_first, upsert_columns
+from starloom.operators.conflicts import append_new, distinct_rows, keep_first, upsert_columns, without_known, without_stored
 from starloom.operators.ids import surrogate_id
 from starloom.operators.joins import lookup_join
 from starloom.schemas import DOUBLE, NUMERIC, SCALE0
@@ -28,6 +28,14 @@ MATCHES = {
     "title_artist_duration": ("song", "artist", "length"),
 }
 
+# What the default hashed id of a play is made of.
+HASH_PARTS = ("session_id", "start_time")
+
+
+def hashed_id(parts: Sequence[str] = HASH_PARTS) -> Column:
+    """The hashed id of a play, from its other columns."""
+    return hash_key(*[F.col(c) for c in parts])
+
 
 @dataclass(frozen=True)
 class Variant:
@@ -177,7 +185,9 @@ def build_songplays(
     duration: T.DataType = NUMERIC,
     calendar: bool = False,
     first_id: int = 1,
-    hash_parts: Sequence[str] = ("session_id", "start_time"),
+    hash_parts: Sequence[str] = HASH_PARTS,
+    known: DataFrame | None = None,
+    known_by: Sequence[str] = ("songplay_id",),
 ) -> DataFrame:
     """One row per play and matching catalogue entry.
 
@@ -190,6 +200,8 @@ def build_songplays(
     ``ids`` is ``dense`` (counting up from ``first_id``), ``monotonic``, ``hash`` (md5 of
     ``hash_parts``) or None. Two plays of a session in one second share the default hash; name
     further columns to tell them apart.
+    Rows whose columns ``known_by`` are in ``known``, the stored plays, are left out; where those are columns of the event
+    or its hash, known events go before the catalogue is joined.
     The ``artist`` rule pairs a play with every song of its artist; to count its rows use
     ``artist_match_counts``.
     """
@@ -197,7 +209,7 @@ def build_songplays(
         raise ValueError("distinct catalogue entries carry no duration")
     keys = MATCHES[match]
     plays = only_plays(events)
-    plays = plays.distinct() if distinct else plays
+    plays = distinct_rows(plays) if distinct else plays
     plays = plays.select(
         PRECISIONS[precision](F.col("ts")).alias("start_time"),
         F.col("userId").alias("user_id"),
@@ -207,12 +219,16 @@ def build_songplays(
         F.col("userAgent").alias("user_agent"),
         *[F.col(k).cast(duration).alias(k) if k == "length" else F.col(k) for k in keys],
     )
+    told_by = {*known_by} - {"songplay_id"} | ({*hash_parts} if "songplay_id" in known_by else set())
+    early = known is not None and told_by <= {*plays.columns} and ("songplay_id" not in known_by or ids == "hash")
+    if early:
+        plays = _unknown(plays, known, known_by, hash_parts)
     lookup = _lookup(songs, keys, duration, single_match, distinct)
     joined = lookup_join(plays, lookup, keys, how, unique=single_match)
     columns = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
     fact = joined.select(*columns)
     if ids == "hash":
-        fact = fact.select(hash_key(*[F.col(c) for c in hash_parts]).alias("songplay_id"), *columns)
+        fact = fact.select(hashed_id(hash_parts).alias("songplay_id"), *columns)
     elif ids is not None:
         if ids not in ("dense", "monotonic"):
             raise ValueError(f"unknown id strategy {ids!r}")
@@ -223,7 +239,21 @@ def build_songplays(
         fact = fact.select("songplay_id", *columns)
     if calendar:
         fact = fact.select("*", F.year("start_time").alias("year"), F.month("start_time").alias("month"))
-    return fact
+    return fact if known is None or early else append_new(fact, known, known_by)
+
+
+def _unknown(plays: DataFrame, known: DataFrame, keys: Sequence[str], hash_parts: Sequence[str]) -> DataFrame:
+    """The plays whose key is not stored, before they are matched.
+
+    Equal parts have equal hashes, so hashes, which are long, are compared only for plays whose parts are not stored.
+    """
+    if "songplay_id" not in keys:
+        return without_stored(plays, known, keys)
+    play_id = hashed_id(hash_parts)
+    kinds = {f.name: f.dataType for f in plays.schema}
+    stored = known.withColumns({c: F.col(c).cast(kinds[c]) for c in hash_parts})
+    plays = without_stored(plays, stored.filter(F.col("songplay_id").eqNullSafe(play_id)), hash_parts)
+    return without_known(plays.withColumn("songplay_id", play_id), known, keys, prune=True).drop("songplay_id")
 
 
 def artist_match_counts(events: DataFrame, songs: DataFrame) -> DataFrame:
@@ -242,14 +272,15 @@ def artist_match_counts(events: DataFrame, songs: DataFrame) -> DataFrame:
 
 def build_star(
     events: DataFrame, songs: DataFrame, variant: str | Variant = "row_store", first_id: int = 1,
+    known: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All five tables by one loader's rules."""
+    """All five tables by one loader's rules; plays whose id is in ``known`` are left out."""
     v = VARIANTS[variant] if isinstance(variant, str) else variant
     song_dim, artist_dim = build_songs(songs, v.songs), build_artists(songs, v.artists)
     catalogue = catalogue_of(song_dim, artist_dim) if v.single_match else songs
     songplays = build_songplays(
         events, catalogue, v.match, v.how, v.single_match, v.ids, v.distinct, v.precision,
-        v.numeric, v.calendar, first_id,
+        v.numeric, v.calendar, first_id, known=known,
     )
     times = play_times(events, v.precision) if v.time_distinct else songplays
     return {

@@ -7,8 +7,12 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+#: JSON files, also compressed ones.
+JSON_FILES = "*.json{,.gz,.bz2,.deflate,.lz4,.snappy}"
+
+
 def read_json(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, name_glob: str = "*.json",
+    spark: SparkSession, path: str | list[str], schema: T.StructType, name_glob: str = JSON_FILES,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """JSON lines of one path, a glob, or a whole directory tree.

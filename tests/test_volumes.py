@@ -63,3 +63,51 @@ def test_lines_shuffle_before_they_have_the_texts_of_order_and_customer(spark, c
     joins = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan.splitlines() if "Join Inner" in line]
     assert "l_orderkey" in joins[0][1]  # the last join of the lines: customers have met the orders by then
     assert any("o_custkey" in line and "c_custkey" in line and depth > joins[0][0] for depth, line in joins)
+
+
+def test_music_sources_are_compressed_and_read_whole(spark, tables):
+    source = harness_files._write_music_sources(spark, tables)
+    found, size = stored(f"{source}/log_data", "*.json*")
+    assert size < 150 * LINES and {p.parent.name for p in found} <= {f"m={m}" for m in range(1, 13)}  # 340 as plain text
+    assert files.read_json(spark, f"{source}/log_data", table(sessionId=LONG)).count() == LINES
+    assert files.read_json(spark, f"{source}/song_data", table(song_id=STRING)).count() == 40
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])  # repeated hashes are replicated; too many for that
+def test_distinct_rows(spark, conf, limit):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+    data = [(1, "a", 0.0), (1, "a", -0.0), (2, None, None), (2, None, None), (3, "c", float("nan")), (3, "c", float("nan")), (4, "d", 1.0), (5, None, 2.0)]
+    df = materialize(spark.createDataFrame(data, "k long, t string, x double"), "rows")
+    found = conflicts.distinct_rows(df)
+    assert repr(rows(found)) == repr(rows(df.distinct())) and found.count() == 5 and found.columns == df.columns
+    assert conflicts.distinct_rows(df.filter("k > 5")).count() == 0
+
+
+def test_distinct_rows_shuffles_no_row_that_comes_once(spark):
+    df = materialize(spark.range(2000).withColumn("t", F.lit("x" * 50)), "rows")
+    plan = conflicts.distinct_rows(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan.split("Aggregate")[0]  # one side passes without being grouped
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_without_stored(spark, conf, limit):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+    new = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e"), (3, "f")], "k long, v string")
+    old = spark.createDataFrame([(1,), (None,), (9,)], "k long")
+    assert rows(conflicts.without_stored(new, old, ["k"])) == rows(conflicts.without_known(new, old, ["k"])) == [(2, "c"), (3, "e"), (3, "f")]
+    assert rows(conflicts.without_stored(new, old.filter("k > 99"), ["k"])) == rows(new)
+
+
+@pytest.mark.parametrize("ids, key", [("hash", ("songplay_id",)), (None, ("start_time", "user_id", "session_id")), (None, ("start_time", "song_id"))])
+def test_known_plays_are_left_out_as_after_the_join(spark, ids, key):
+    events = spark.createDataFrame(EVENTS, STAGING_EVENTS)
+    events = events.unionByName(events.limit(2).withColumn("sessionId", F.lit(None).cast(STAGING_EVENTS["sessionId"].dataType)))
+    songs = spark.createDataFrame(SONGS, STAGING_SONGS)
+    options = dict(ids=ids, precision="s", single_match=False)
+    every = music.build_songplays(events, songs, **options)
+    for known in (every.filter("session_id IS NULL OR session_id = 10"), every, every.limit(0)):
+        known = materialize(known, "known")
+        assert rows(music.build_songplays(events, songs, **options, known=known, known_by=key)) == rows(conflicts.append_new(every, known, key))
+    if ids:  # an id that does not follow from the stored columns is known all the same
+        other = materialize(every.withColumn("start_time", F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz")), "known")
+        assert music.build_songplays(events, songs, **options, known=other, known_by=key).count() == 0
