@@ -7,16 +7,17 @@ from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harness.registry import query
 from harness.tables import ARRIVALS, CATALOGUE, PLAY_LOG, arrivals, catalogue, play_log, read, scratch_database
 from starloom import schemas
 from starloom.operators import loads
 from starloom.operators.ids import surrogate_id
+from starloom.operators.joins import lookup_join
 from starloom.plans import jobs, query_tables
 from starloom.schemas import DOUBLE, INT, LONG, STRING, as_text, table
-from starloom.session import scratch_path
+from starloom.session import materialize, scratch_path
 from starloom.sources import files, labels, staging
 
 # --- JSON -----------------------------------------------------------------------------------
@@ -327,8 +328,11 @@ def music_lake_songplays(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _write_music_sources(spark, sf_dir), scratch_path(spark, "lake")
     paths = jobs.run_music_lake(spark, source, target)
     jobs.refresh_music_lake(spark, source, target, datetime(1997, 3, 1), logs="log_data/y={run.year}/m={run.month}")
-    uses = F.count(F.lit(1)).over(Window.partitionBy("songplay_id"))
-    plays = spark.read.parquet(paths["songplays"]).withColumn("rows_with_this_id", uses).drop("songplay_id")
+    plays = spark.read.parquet(paths["songplays"])
+    uses = plays.groupBy("songplay_id").agg(F.count(F.lit(1)).alias("uses"))
+    shared = materialize(uses.filter("uses > 1"), "shared")  # only ids are counted, and only those of several rows joined
+    plays = lookup_join(plays, shared, ["songplay_id"], "left", unique=True)
+    plays = plays.withColumn("rows_with_this_id", F.coalesce("uses", F.lit(1).cast("long"))).drop("songplay_id", "uses")
     return plays.withColumns({"user_id": F.col("user_id").cast("long"), "session_id": F.col("session_id").cast("long")})
 
 

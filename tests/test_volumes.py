@@ -111,3 +111,9 @@ def test_known_plays_are_left_out_as_after_the_join(spark, ids, key):
     if ids:  # an id that does not follow from the stored columns is known all the same
         other = materialize(every.withColumn("start_time", F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz")), "known")
         assert music.build_songplays(events, songs, **options, known=other, known_by=key).count() == 0
+
+
+def test_uses_of_ids_are_counted_without_shuffling_plays(spark, tables):
+    found = harness_files.music_lake_songplays(spark, tables)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() and {r[0] for r in found.select("rows_with_this_id").distinct().collect()} == {1}
