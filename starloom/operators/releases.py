@@ -204,10 +204,13 @@ class Load:
 
     def write(
         self, name: str, rows: DataFrame, keep: bool = True, rules: Mapping | None = None, note: str = "",
-        parts: Sequence[int] | None = None,
+        parts: Sequence[int] | None = None, computed: Mapping[str, Column] | None = None,
     ) -> None:
         """Write the rows of a table, by position, where readers do not look yet.
 
+        ``computed`` columns follow from other columns of the table: they are not shuffled, but computed where the rows
+        are written.
+
         With ``keep`` they count beside the stored rows, else instead of them; a table in parts gets all rows of
         ``parts``, and its other parts stay. While the rows are written they are counted, and so are the violations of
         ``rules``' NOT NULL and length limits.
@@ -216,12 +219,16 @@ class Load:
         if len(schema) != len(rows.columns):
             raise ValueError(f"{name} has {len(schema)} columns, the rows have {len(rows.columns)}")
         fitted = rows.select([F.col(f"`{c}`").cast(f.dataType).alias(f.name) for c, f in zip(rows.columns, schema)])
+        fitted = fitted.drop(*computed or ())
         if layout.part_by:
             if parts is None:
                 raise ValueError(f"{name} is written in parts")
             fitted = fitted.withColumn(PART, r.part_of(name)).hint("rebalance", PART)
         elif layout.bucket_by:  # one task a bucket, more for a bucket that holds much of the rows
             fitted = fitted.hint("rebalance", layout.buckets, *layout.bucket_by)
+        if computed:
+            extra = [PART] * bool(layout.part_by)
+            fitted = fitted.withColumns(dict(computed)).select(*schema.fieldNames(), *extra)
         observation = Observation()
         rules = quality.row_counters(rules or {})
         sketches = statistics.counters(schema, layout.statistics)

@@ -270,8 +270,8 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
     keep = config.dimension_mode == "append-only"
 
     with scratch_tables(spark), releases.load() as load:
-        def write(table: str, rows: DataFrame, keep: bool) -> None:
-            load.write(table, rows, keep, rules.get(table))
+        def write(table: str, rows: DataFrame, keep: bool, **options) -> None:
+            load.write(table, rows, keep, rules.get(table), **options)
 
         def stage_events() -> None:
             path, schema = staging.scoped_path(config.log_path, run_ts), declared["staging_events"]
@@ -290,14 +290,14 @@ def run_music_warehouse(spark: SparkSession, config: WarehouseConfig, run_ts: da
         events, songs = load.rows("staging_events"), load.rows("staging_songs")
         variant = music.VARIANTS[config.variant]
         first_id = _next_id(releases)
-        tables = music.build_star(events, songs, variant, first_id)
+        known = None
+        if config.fact_mode == "append-new":
+            known = loads.stored_within(music.play_times(events, variant.precision), releases.table("songplays"), "start_time")
+        tables = music.build_star(events, songs, variant, first_id, known)
 
         def write_plays() -> None:
-            plays = tables["songplays"]
-            if config.fact_mode == "append-new":
-                times = music.play_times(events, variant.precision)
-                plays = append_new(plays, loads.stored_within(times, releases.table("songplays"), "start_time"), ["songplay_id"])
-            write("songplays", plays, keep=True)
+            computed = {"songplay_id": music.hashed_id()} if variant.ids == "hash" else {}
+            write("songplays", tables["songplays"], keep=True, computed=computed)
 
         dimensions = ["songs", "users", "artists"] + ["time"] * variant.time_distinct
         run_together(spark, [write_plays, *[lambda t=t: write(t, tables[t], keep) for t in dimensions]])

@@ -113,6 +113,18 @@ def test_known_plays_are_left_out_as_after_the_join(spark, ids, key):
         assert music.build_songplays(events, songs, **options, known=other, known_by=key).count() == 0
 
 
+def test_computed_columns_are_written_but_not_dealt_out(spark, tmp_path):
+    schema = table(id=STRING, k=LONG, v=STRING)
+    releases = Releases(spark, "computed_test", {"t": schema}, {"t": Layout(bucket_by=("k",), buckets=2, sort_by=("k",))}, str(tmp_path / "db"))
+    df = spark.range(50).select(F.md5(F.col("id").cast("string")).alias("id"), F.col("id").alias("k"), F.lit("v").alias("v"))
+    with releases.load() as load:
+        load.write("t", df, computed={"id": F.md5(F.col("k").cast("string"))}, rules={"not_null": ["id"], "lengths": {"id": 31}})
+        assert load.violations("t") == {"not null id": 0, "length id": 50}  # rules see them
+        load.publish()
+    assert rows(releases.table("t")) == rows(df)
+    spark.sql("DROP DATABASE computed_test CASCADE")
+
+
 def test_uses_of_ids_are_counted_without_shuffling_plays(spark, tables):
     found = harness_files.music_lake_songplays(spark, tables)
     assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
