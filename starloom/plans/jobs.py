@@ -17,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 
 from starloom import schemas
 from starloom.operators import loads, quality
-from starloom.operators.conflicts import append_new, insert_if_absent
+from starloom.operators.conflicts import insert_if_absent, without_stored
 from starloom.operators.ids import surrogate_id
 from starloom.operators.releases import Layout, Load, Releases, Visible
 from starloom.plans import music, travel
@@ -187,19 +187,17 @@ def run_music_store(spark: SparkSession, config: StoreConfig) -> DataFrame:
         load_rows = {
             "songs": insert_if_absent(music.build_songs(songs, "none"), releases.table("songs"), ["song_id"], prune=True),
             "artists": insert_if_absent(music.build_artists(songs, "none"), releases.table("artists"), ["artist_id"], prune=True),
-            "time": insert_if_absent(music.build_time(times), known_times, ["start_time"]),
+            "time": music.build_time(without_stored(times, known_times, ["start_time"])),
             "users": music.build_users(events, existing=releases.rows_of_parts("users", parts)),
         }
         run_together(spark, [
             lambda t=t, df=df: load.write(t, df, rules=schemas.CONSTRAINTS[t], parts=parts) for t, df in load_rows.items()])
         new = {t: load.rows(t) for t in load_rows}
         catalogue = music.catalogue_of(*[releases.table(t).unionByName(new[t]) for t in ("songs", "artists")])
-        plays = music.build_songplays(events, catalogue, ids=None)
-        if config.plays_key:
-            stored = releases.table("songplays")
-            if "start_time" in config.plays_key:
-                stored = loads.stored_within(times, stored, "start_time")
-            plays = append_new(plays, stored, config.plays_key)
+        stored = releases.table("songplays") if config.plays_key else None
+        if "start_time" in config.plays_key:
+            stored = loads.stored_within(times, stored, "start_time")
+        plays = music.build_songplays(events, catalogue, ids=None, known=stored, known_by=config.plays_key)
         first_id = _next_id(releases)
         numbered = surrogate_id(plays, "songplay_id", dense=True, order=["start_time"], start=first_id)
         load.write(
